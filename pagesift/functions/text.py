@@ -1,63 +1,66 @@
-"""Text helpers with the blank and placeholder rules of the directory pages."""
+"""Text helpers with the blank and placeholder rules of the directory pages.
+
+The helpers of this package take and return SQL expression text; ``F.expr`` turns the result
+into a column. A profile page needs some thousand operations: as text they are one call from
+Python to the session, as Column objects they take seconds to put together.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from pagesift import fixed_values as fv
 
 
-def strip(text: Column) -> Column:
+def quoted(value: str) -> str:
+    """SQL literal; everything outside printable ASCII is written as an escape."""
+    plain = value.replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + "".join(c if " " <= c <= "~" else f"\\u{ord(c):04x}" for c in plain) + "'"
+
+
+def strip(text: str) -> str:
     """Strip every Unicode blank from both ends (SQL ``trim`` removes plain spaces only)."""
-    return F.btrim(text, F.lit(fv.BLANKS))
+    return f"btrim({text}, {quoted(fv.BLANKS)})"
 
 
-def known(value: Column, placeholders: Sequence[str] = tuple(fv.GENERAL_PLACEHOLDERS)) -> Column:
+def known(value: str, placeholders: Sequence[str] = tuple(fv.GENERAL_PLACEHOLDERS)) -> str:
     """NULL where the value is one of the signs that stand for "nothing here"."""
-    return F.when(~value.isin(*placeholders), value)
+    signs = ", ".join(quoted(p) for p in placeholders)
+    return f"get(filter(array({value}), v -> v NOT IN ({signs})), 0)"
 
 
-def none_if_empty(value: Column) -> Column:
-    return F.nullif(value, F.lit(""))
+def none_if_empty(value: str) -> str:
+    return f"nullif({value}, '')"
 
 
-def captured(text: Column, pattern: str, group: int = 1) -> Column:
+def captured(text: str, pattern: str, group: int = 1) -> str:
     """Group of the first match, NULL without a match."""
-    return none_if_empty(F.regexp_extract(text, pattern, group))
+    return none_if_empty(f"regexp_extract({text}, {quoted(pattern)}, {group})")
 
 
-def id_from_text(text: Column) -> Column:
+def id_from_text(text: str) -> str:
     """Identifier that follows the NPSN marker and a colon."""
     return captured(text, fv.NPSN_PATTERN)
 
 
-def id_by_removal(text: Column) -> Column:
+def id_by_removal(text: str) -> str:
     """Identifier left over when the marker and every colon are taken out of the string."""
-    bare = F.replace(F.replace(text, F.lit("NPSN")), F.lit(":"))
-    return none_if_empty(strip(bare))
+    return none_if_empty(strip(f"replace(replace({text}, 'NPSN', ''), ':', '')"))
 
 
-def has_p_prefix(value: Column) -> Column:
-    return F.lower(F.substring(value, 1, 1)) == "p"
+def has_p_prefix(value: str) -> str:
+    return f"lower(left({value}, 1)) = 'p'"
 
 
-def document_url(profile_url: Column, document_base: str) -> Column:
+def document_url(profile_url: str, document_base: str) -> str:
     """Address of the licence document, built from the identifier inside a profile URL."""
-    found = captured(profile_url, fv.PROFILE_ID_PATTERN)
-    return F.concat(F.lit(document_base), found, F.lit(".pdf"))
+    return f"concat({quoted(document_base)}, {captured(profile_url, fv.PROFILE_ID_PATTERN)}, '.pdf')"
 
 
-def observed_profile_url(observed: Column, list_url: Column) -> Column:
+def observed_profile_url(observed: str, list_url: str) -> str:
     """The URL seen after opening a card counts only if it changed and is a profile."""
-    return F.when(observed.contains("profil-sekolah") & ~observed.eqNullSafe(list_url), observed)
-
-
-def built_profile_url(npsn: Column, base_url: str) -> Column:
-    return F.concat(F.lit(base_url + "/profil-sekolah/"), npsn)
+    return f"CASE WHEN contains({observed}, 'profil-sekolah') AND NOT ({observed} <=> {list_url}) THEN {observed} END"
 
 
-def for_publication(value: Column) -> Column:
-    return F.coalesce(value, F.lit(fv.MISSING))
+def built_profile_url(npsn: str, base_url: str) -> str:
+    return f"concat({quoted(base_url + '/profil-sekolah/')}, {npsn})"

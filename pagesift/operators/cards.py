@@ -14,69 +14,73 @@ from pagesift.functions import text as tx
 from pagesift.functions import tree
 
 
-def card_parts(nodes: Column) -> Column:
+def card_parts(nodes: str) -> str:
     """The node slices of all cards of a page, in document order."""
-    cards = F.filter(nodes, tree.element("article"))
-    return F.transform(cards, lambda a: F.slice(nodes, a["ord"], a["last"] - a["ord"] + 1))
+    cards = tree.where(nodes, tree.element("article"))
+    return tree.each(cards, lambda a: f"slice({nodes}, {a}.ord, {a}.last - {a}.ord + 1)")
 
 
-def id_text(card: Column) -> Column:
-    return tree.first(card, tree.string_with("NPSN"))["text"]
+def id_text(card: str) -> str:
+    return tree.first(card, tree.string_with("NPSN")) + ".text"
 
 
-def card_name(card: Column) -> Column:
+def card_name(card: str) -> str:
     return tree.text_of_first(card, tree.element("h3"))
 
 
-def card_status(card: Column) -> Column:
+def card_status(card: str) -> str:
     """The highlighted element decides if there is one, even an empty one."""
     highlighted = tree.first(card, tree.element("div", words=["text-orange-600"]))
     bold = tree.first(card, tree.element("div", words=["font-semibold"]))
-    return tree.text_of(card, F.coalesce(highlighted, bold))
+    return tree.text_of(card, f"coalesce({highlighted}, {bold})")
 
 
-def card_address(card: Column) -> Column:
+def card_address(card: str) -> str:
     return tree.text_of_first(card, tree.element("div", words=["line-clamp", "text-xs"]))
 
 
-def card_record(card: Column) -> Column:
-    return F.struct(
-        tx.id_from_text(id_text(card)).alias("npsn"),
-        tx.none_if_empty(card_name(card)).alias("nama_sekolah"),
-        tx.none_if_empty(card_address(card)).alias("alamat_sekolah"),
-        tx.none_if_empty(card_status(card)).alias("status_sekolah"),
+def _struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
+
+
+def card_record(card: str) -> str:
+    return _struct(
+        npsn=tx.id_from_text(id_text(card)),
+        nama_sekolah=tx.none_if_empty(card_name(card)),
+        alamat_sekolah=tx.none_if_empty(card_address(card)),
+        status_sekolah=tx.none_if_empty(card_status(card)),
     )
 
 
-def loose_card_record(card: Column, base_url: str) -> Column:
+def loose_card_record(base_url: str):
     """Card fields by the wider selectors; the profile URL is built from the identifier."""
-    npsn = tx.id_by_removal(id_text(card))
-    name = tree.text_of_first(card, tree.element("h3"))
-    status = tree.text_of_first(card, tree.element("div", words=["font-semibold"]))
-    street = tree.text_of_first(card, tree.element("div", words=["line-clamp"]))
-    return tree.let(
-        npsn,
-        lambda i: F.struct(
-            i.alias("npsn"),
-            tx.built_profile_url(i, base_url).alias("url"),
-            tx.none_if_empty(name).alias("nama_sekolah"),
-            tx.none_if_empty(status).alias("status_sekolah"),
-            tx.none_if_empty(street).alias("alamat_jalan"),
-        ),
-    )
 
+    def record(card: str) -> str:
+        status = tree.text_of_first(card, tree.element("div", words=["font-semibold"]))
+        street = tree.text_of_first(card, tree.element("div", words=["line-clamp"]))
+        return tree.let(
+            tx.id_by_removal(id_text(card)),
+            lambda npsn: _struct(
+                npsn=npsn,
+                url=tx.built_profile_url(npsn, base_url),
+                nama_sekolah=tx.none_if_empty(card_name(card)),
+                status_sekolah=tx.none_if_empty(status),
+                alamat_jalan=tx.none_if_empty(street),
+            ),
+        )
 
-def page_cards(nodes: Column, record=card_record) -> Column:
+    return record
+
+
+def page_cards(nodes: str, record=card_record) -> Column:
     """All cards of a page with their place in it; cards without an identifier are left out."""
-    records = F.transform(
-        card_parts(nodes), lambda card, i: F.struct(i.cast("int").alias("pos"), record(card).alias("card"))
-    )
-    return F.filter(records, lambda r: r["card"]["npsn"].isNotNull())
+    numbered = f"transform({card_parts(nodes)}, (part, i) -> named_struct('pos', i, 'card', {record('part')}))"
+    return F.expr(f"filter({numbered}, c -> c.card.npsn IS NOT NULL)")
 
 
 def with_cards(pages: DataFrame, record=card_record) -> DataFrame:
     """Page rows with ``cards`` in place of ``nodes``."""
-    return pages.withColumn("cards", page_cards(F.col("nodes"), record)).drop("nodes")
+    return pages.withColumn("cards", page_cards("nodes", record)).drop("nodes")
 
 
 def card_rows(pages: DataFrame, *lineage: str) -> DataFrame:
@@ -91,7 +95,7 @@ def opened_cards(cards: DataFrame, opened: DataFrame, on: list[str]) -> DataFram
     nowhere new get no URL and are left out.
     """
     seen = opened.select(
-        *on, tx.observed_profile_url(F.col("observed_url"), F.col("list_url")).alias("url")
+        *on, F.expr(tx.observed_profile_url("observed_url", "list_url")).alias("url")
     ).where(F.col("url").isNotNull())
     return (
         cards.join(seen, on, "inner")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesift import fixed_values as fv
@@ -25,86 +25,93 @@ CARD_KEYWORDS = [
 ]
 
 
-def keyword_cards(nodes: Column) -> Column:
+def keyword_cards(nodes: str) -> str:
     """Every rounded card with its whole text and the parts a field may be read from."""
 
-    def parts(card: Column) -> Column:
-        part = tree.under(nodes, card)
-        address = tree.first(part, tree.link())["href"]
-        return F.struct(
-            tree.raw_text(part).alias("text"),
-            tree.text_of(nodes, tree.first(part, tree.element("div", words=["text-slate-600"]))).alias("caption"),
-            tree.text_of(nodes, tree.first(part, tree.element("div", words=["font-semibold"]))).alias("bold"),
-            tree.text_of(nodes, tree.first(part, tree.link("tel:"))).alias("phone"),
-            tree.text_of(nodes, tree.first(part, tree.link("mailto:"))).alias("mail"),
-            address.alias("address"),
-            F.when(address.contains("http"), address).alias("web"),
+    def parts(part: str) -> str:
+        def text(test: tree.Predicate) -> str:
+            return tree.text_of(nodes, tree.first(part, test))
+
+        address = tree.first(part, tree.link()) + ".href"
+        return (
+            f"named_struct('text', {tree.raw_text(part)},"
+            f" 'caption', {text(tree.element('div', words=['text-slate-600']))},"
+            f" 'bold', {text(tree.element('div', words=['font-semibold']))},"
+            f" 'phone', {text(tree.link('tel:'))},"
+            f" 'mail', {text(tree.link('mailto:'))},"
+            f" 'address', {address},"
+            f" 'web', get(filter(array({address}), h -> contains(h, 'http')), 0))"
         )
 
-    return F.transform(F.filter(nodes, tree.element("div", words=["rounded"])), parts)
+    cards = tree.where(nodes, tree.element("div", words=["rounded"]))
+    return tree.each(cards, lambda card: tree.let(tree.under(nodes, card), parts))
 
 
-def card_field(cards: Column, words: list[str], part: str) -> Column:
+def card_field(cards: str, words: list[str], part: str) -> str:
     """Value of the last card that mentions one of the words and has the part."""
 
-    def mentions(card: Column) -> Column:
-        hit = F.lit(False)
-        for word in words:
-            hit = hit | card["text"].contains(word)
-        return hit & card[part].isNotNull()
+    def mentions(card: str) -> str:
+        hits = " OR ".join(f"contains({card}.text, {tx.quoted(w)})" for w in words)
+        return f"({hits}) AND {card}.{part} IS NOT NULL"
 
-    return tree.last(cards, mentions)[part]
+    return f"{tree.last(cards, mentions)}.{part}"
 
 
-def card_status(cards: Column) -> Column:
+def card_status(cards: str) -> str:
     """Cards that mention the status always set it; any card sets it while it is still unset."""
-    unset = F.lit(fv.MISSING)
-    bold = F.filter(cards, lambda c: c["bold"].isNotNull())
-    status = F.aggregate(
-        bold,
-        unset,
-        lambda now, c: F.when(c["text"].contains("Status") | (now == unset), c["bold"]).otherwise(now),
-    )
-    return F.nullif(status, unset)
+    unset = tx.quoted(fv.MISSING)
+    bold = f"filter({cards}, c -> c.bold IS NOT NULL)"
+    take = f"CASE WHEN contains(c.text, 'Status') OR now = {unset} THEN c.bold ELSE now END"
+    return f"nullif(aggregate({bold}, {unset}, (now, c) -> {take}), {unset})"
 
 
-def text_after(nodes: Column, page_text: Column, label: str, test: tree.Predicate) -> Column:
+def text_after(nodes: str, page_text: str, label: str, test: tree.Predicate) -> str:
     """Text of the first fitting element after the label, if the page text has the label at all."""
     found = tree.text_of(nodes, tree.after_label(label, nodes, nodes, test))
-    return F.when(page_text.contains(label), found)
+    return f"CASE WHEN contains({page_text}, {tx.quoted(label)}) THEN {found} END"
 
 
-def map_link(nodes: Column) -> Column:
-    return tree.first(nodes, tree.link("maps.google.com"))["href"]
+def map_link(nodes: str) -> str:
+    return tree.first(nodes, tree.link("maps.google.com")) + ".href"
 
 
-def older_details(pages: DataFrame, *lineage: str) -> DataFrame:
-    """Everything an older profile page says, one row per page that could be read."""
-    nodes, cards, statistics = F.col("nodes"), F.col("_cards"), F.col("_stat_pairs")
-    blocks = (
-        pages.where(F.col("parse_error").isNull())
-        .select(*lineage, "url", "nodes")
-        .withColumns(
-            {
-                "_cards": keyword_cards(nodes),
-                "_stat_pairs": statistic_pairs(
-                    nodes, tree.whole(nodes), "text-slate-500", fv.OLDER_STATISTIC_KEYWORDS
-                ),
-                "_text": tree.raw_text(nodes),
-            }
-        )
+def with_blocks(pages: DataFrame) -> DataFrame:
+    """Pages with their keyword cards, statistic pairs and whole text."""
+    statistics = tree.let(
+        tree.whole("nodes"),
+        lambda page: statistic_pairs("nodes", page, "text-slate-500", fv.OLDER_STATISTIC_KEYWORDS),
     )
-    any_div, bold = tree.element("div"), tree.element("div", words=["font-semibold"])
-    fields = {"nama_sekolah": title(nodes), "status_sekolah": card_status(cards)}
-    fields |= {name: card_field(cards, words, part) for name, words, part in CARD_KEYWORDS}
-    fields |= {name: last_value(statistics, name) for name, _, _ in fv.OLDER_STATISTIC_KEYWORDS}
-    fields |= {
-        "kurikulum": text_after(nodes, F.col("_text"), "Kurikulum", bold),
-        "lintang": text_after(nodes, F.col("_text"), "Lintang", any_div),
-        "bujur": text_after(nodes, F.col("_text"), "Bujur", any_div),
-        "link_google_map": map_link(nodes),
+    return pages.selectExpr(
+        "*",
+        f"{keyword_cards('nodes')} AS _cards",
+        f"{statistics} AS _stat_pairs",
+        f"{tree.raw_text('nodes')} AS _text",
+    )
+
+
+def field_expressions() -> dict[str, str]:
+    """Every field of an older profile as an expression over a page with blocks."""
+    bold = tree.element("div", words=["font-semibold"])
+    fields = {
+        "nama_sekolah": title("nodes"),
+        "status_sekolah": card_status("_cards"),
+        "kurikulum": text_after("nodes", "_text", "Kurikulum", bold),
+        "lintang": text_after("nodes", "_text", "Lintang", tree.element("div")),
+        "bujur": text_after("nodes", "_text", "Bujur", tree.element("div")),
+        "link_google_map": map_link("nodes"),
     }
-    none = F.lit(None).cast("string")
-    return blocks.select(
-        *lineage, *[F.col("url") if c == "url" else fields.get(c, none).alias(c) for c in fv.PROFILE_COLUMNS]
+    fields |= {name: card_field("_cards", words, part) for name, words, part in CARD_KEYWORDS}
+    fields |= {name: last_value("_stat_pairs", name) for name, _, _ in fv.OLDER_STATISTIC_KEYWORDS}
+    return fields
+
+
+def older_details(pages: DataFrame, *lineage: str) -> DataFrame:
+    """Everything an older profile page says, one row per page that could be read.
+
+    Fields that this layout does not show are NULL.
+    """
+    read = pages.where(F.col("parse_error").isNull()).select(*lineage, "url", "nodes")
+    fields = field_expressions() | {"url": "url"}
+    return with_blocks(read).selectExpr(
+        *lineage, *[f"{fields.get(c, 'CAST(NULL AS STRING)')} AS {c}" for c in fv.PROFILE_COLUMNS]
     )

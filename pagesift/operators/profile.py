@@ -6,7 +6,7 @@ candidate nodes and sections first, then the label/value pairs of the blocks, th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesift import fixed_values as fv
@@ -19,200 +19,240 @@ _BOLD = tree.element("div", words=["font-semibold"])
 
 def staged(pages: DataFrame) -> DataFrame:
     """Add the candidate nodes and section scopes that several fields share."""
-    nodes = F.col("nodes")
-    return pages.withColumns(
-        {
-            "_strings": F.filter(nodes, tree.is_string),
-            "_bold": F.filter(nodes, _BOLD),
-            "_statistics": tree.section(nodes, fv.SECTION_STATISTICS),
-            "_utilities": tree.section(nodes, fv.SECTION_UTILITIES),
-            "_learning": tree.section(nodes, fv.SECTION_LEARNING),
-            "_address": tree.section(nodes, fv.SECTION_ADDRESS),
-        }
-    )
+    shared = {
+        "_strings": tree.where("nodes", tree.is_string),
+        "_bold": tree.where("nodes", _BOLD),
+        "_statistics": tree.section("nodes", fv.SECTION_STATISTICS),
+        "_utilities": tree.section("nodes", fv.SECTION_UTILITIES),
+        "_learning": tree.section("nodes", fv.SECTION_LEARNING),
+        "_address": tree.section("nodes", fv.SECTION_ADDRESS),
+    }
+    return pages.selectExpr("*", *[f"{value} AS {name}" for name, value in shared.items()])
 
 
 # title, address line, documents -------------------------------------------------------------------
 
 
-def title(nodes: Column) -> Column:
+def title(nodes: str) -> str:
     return tree.text_of_first(nodes, tree.element("h1"))
 
 
-def address_line(nodes: Column) -> Column:
+def address_line(nodes: str) -> str:
     return tree.text_of_first(nodes, tree.element("p", words=["text-slate-600"]))
 
 
-def menu_document_url(nodes: Column) -> Column:
+def menu_document_url(nodes: str) -> str:
     """Address behind the licence entry of the opened menu."""
-    entry = tree.with_sole_string(nodes, "SK Operasional")
-    label = tree.first(
+    entry = tree.first(
         nodes,
-        lambda n: (n["tag"] == "span")
-        & F.array_contains(F.split(n["cls"], r"\s+"), "p-menu-item-label")
-        & entry(n),
+        tree.both(
+            tree.element("span"),
+            lambda n: f"array_contains(split({n}.cls, {tx.quoted(r'\s+')}), 'p-menu-item-label')",
+            tree.with_sole_string(nodes, "SK Operasional"),
+        ),
     )
-    return tx.none_if_empty(tree.enclosing(nodes, label, tree.element("a"))["href"])
+    return tx.none_if_empty(tree.enclosing(nodes, entry, tree.element("a")) + ".href")
 
 
-def licence_url(nodes: Column, profile_url: Column, document_base: str) -> Column:
-    return F.coalesce(tx.document_url(profile_url, document_base), menu_document_url(nodes))
+def licence_url(nodes: str, profile_url: str, document_base: str) -> str:
+    return f"coalesce({tx.document_url(profile_url, document_base)}, {menu_document_url(nodes)})"
 
 
 # labels and identifier ------------------------------------------------------------------------------
 
 
-def labelled(label: str, scope: Column | None = None, bounded: bool = False) -> Column:
+def labelled(label: str, scope: str | None = None, bounded: bool = False) -> str:
     """Label lookup on a staged page."""
-    return tree.value_by_label(
-        F.col("nodes"), label, scope, bounded, strings=F.col("_strings"), candidates=F.col("_bold")
-    )
+    return tree.label_value("nodes", label, scope, bounded, strings="_strings", candidates="_bold")
 
 
-def profile_id(nodes: Column, label_value: Column, registry_host: str) -> Column:
+def profile_id(nodes: str, label_value: str, registry_host: str) -> str:
     """Identifier shown on the profile, if it has the P prefix; a registry link rules out the label."""
-    registry = tree.first(nodes, tree.link(registry_host, "npsn"))
-    return tree.let(
-        registry,
-        lambda a: tree.let(
-            F.when(a.isNotNull(), tree.text_of(nodes, a)).otherwise(label_value),
-            lambda shown: F.when(tx.has_p_prefix(shown), shown),
-        ),
-    )
+
+    def shown(a: str) -> str:
+        value = f"CASE WHEN {a} IS NOT NULL THEN {tree.text_of(nodes, a)} ELSE {label_value} END"
+        return tree.let(value, lambda v: f"CASE WHEN {tx.has_p_prefix(v)} THEN {v} END")
+
+    return tree.let(tree.first(nodes, tree.link(registry_host, "npsn")), shown)
 
 
 # contacts ---------------------------------------------------------------------------------------------
 
 
-def beside_icon(nodes: Column, icon: str) -> Column:
+def beside_icon(nodes: str, icon: str) -> str:
     """Scope of the element that holds the icon."""
     return tree.parent_of(nodes, tree.first(nodes, tree.element("i", words=[icon])))
 
 
-def phone(nodes: Column) -> Column:
-    def read(scope: Column) -> Column:
+def phone(nodes: str) -> str:
+    def read(scope: str) -> str:
         part = tree.under(nodes, scope)
         plain = tree.first(part, tree.element("span", "div", words=["font-semibold"]))
+        otherwise = tx.known(tree.text_of(nodes, plain), fv.PHONE_PLACEHOLDERS)
         return tree.let(
             tree.first(part, tree.link("tel:")),
-            lambda a: F.when(a.isNotNull(), tree.text_of(nodes, a)).otherwise(
-                tx.known(tree.text_of(nodes, plain), fv.PHONE_PLACEHOLDERS)
-            ),
+            lambda a: f"CASE WHEN {a} IS NOT NULL THEN {tree.text_of(nodes, a)} ELSE {otherwise} END",
         )
 
     return tree.let(beside_icon(nodes, "pi-phone"), read)
 
 
-def website(nodes: Column) -> Column:
-    def read(scope: Column) -> Column:
+def website(nodes: str) -> str:
+    def read(scope: str) -> str:
         part = tree.under(nodes, scope)
-        return F.coalesce(
-            tree.first(part, tree.link("http"))["href"],
-            tx.known(tree.text_of(nodes, tree.first(part, _BOLD)), fv.WEBSITE_PLACEHOLDERS),
-        )
+        shown = tx.known(tree.text_of(nodes, tree.first(part, _BOLD)), fv.WEBSITE_PLACEHOLDERS)
+        return f"coalesce({tree.first(part, tree.link('http'))}.href, {shown})"
 
     return tree.let(beside_icon(nodes, "pi-globe"), read)
 
 
-def email_by_icon(nodes: Column) -> Column:
+def email_by_icon(nodes: str) -> str:
     """Mail link nearest to the icon, looked for up to three levels above it."""
     mail = tree.link("mailto:")
+
+    def nearest(one: str, two: str) -> str:
+        three = tree.parent_of(nodes, two)
+        tiers = [tree.first_under(nodes, scope, mail) for scope in (one, two, three)]
+        return tree.text_of(nodes, f"coalesce({', '.join(tiers)})")
+
     return tree.let(
         beside_icon(nodes, "pi-envelope"),
-        lambda one: tree.let(
-            tree.parent_of(nodes, one),
-            lambda two: tree.text_of(
-                nodes,
-                F.coalesce(
-                    tree.first_under(nodes, one, mail),
-                    tree.first_under(nodes, two, mail),
-                    tree.first_under(nodes, tree.parent_of(nodes, two), mail),
-                ),
-            ),
-        ),
+        lambda one: tree.let(tree.parent_of(nodes, one), lambda two: nearest(one, two)),
     )
 
 
-def email_anywhere(nodes: Column) -> Column:
+def email_anywhere(nodes: str) -> str:
     """First mail link of the page that shows an address other than the support desk's."""
-    shown = F.transform(F.filter(nodes, tree.link("mailto:")), lambda a: tree.text_of(nodes, a))
-    return F.get(F.filter(shown, lambda t: t.contains("@") & ~F.lower(t).contains("support")), F.lit(0))
+    shown = tree.each(tree.where(nodes, tree.link("mailto:")), lambda a: tree.text_of(nodes, a))
+    return f"get(filter({shown}, t -> contains(t, '@') AND NOT contains(lower(t), 'support')), 0)"
 
 
-def email(nodes: Column) -> Column:
-    return F.coalesce(F.nullif(email_by_icon(nodes), F.lit(fv.MISSING)), email_anywhere(nodes))
+def email(nodes: str) -> str:
+    return f"coalesce(nullif({email_by_icon(nodes)}, {tx.quoted(fv.MISSING)}), {email_anywhere(nodes)})"
 
 
 # blocks of label/value pairs ----------------------------------------------------------------------------
 
 
-def keyword_field(label: Column, keywords) -> Column:
+def keyword_field(label: str, keywords) -> str:
     """Name of the first field whose words fit the label."""
-    choice = None
+    cases = []
     for name, words, excluded in keywords:
-        fits = F.lit(False)
-        for word in words:
-            fits = fits | label.contains(word)
+        fits = "(" + " OR ".join(f"contains({label}, {tx.quoted(w)})" for w in words) + ")"
         for word in excluded:
-            fits = fits & ~label.contains(word)
-        choice = F.when(fits, name) if choice is None else choice.when(fits, name)
-    return choice
+            fits += f" AND NOT contains({label}, {tx.quoted(word)})"
+        cases.append(f"WHEN {fits} THEN {tx.quoted(name)}")
+    return f"CASE {' '.join(cases)} END"
 
 
-def _pair(label: Column, value: Column, keywords) -> Column:
-    return F.struct(keyword_field(F.lower(label), keywords).alias("field"), value.alias("value"))
+def _pair(label: str, value: str, keywords) -> str:
+    field = tree.let(f"lower({label})", lambda low: keyword_field(low, keywords))
+    return f"named_struct('field', {field}, 'value', {value})"
 
 
-def statistic_pairs(nodes: Column, scope: Column, label_word: str, keywords) -> Column:
+def statistic_pairs(nodes: str, scope: str, label_word: str, keywords) -> str:
     """Big numbers and captions of a block, matched by position up to the shorter list."""
 
-    def pairs(part: Column) -> Column:
-        values = F.transform(
-            F.filter(part, tree.element("div", words=["text-2xl"])), lambda e: tree.text_of(nodes, e)
+    def pairs(part: str) -> str:
+        values = tree.each(
+            tree.where(part, tree.element("div", words=["text-2xl"])), lambda e: tree.text_of(nodes, e)
         )
-        labels = F.transform(
-            F.filter(part, tree.element("div", words=[label_word])), lambda e: tree.text_of(nodes, e)
+        labels = tree.each(
+            tree.where(part, tree.element("div", words=[label_word])), lambda e: tree.text_of(nodes, e)
         )
-        both = F.zip_with(labels, values, lambda l, v: F.when(l.isNotNull() & v.isNotNull(), _pair(l, v, keywords)))
-        return F.filter(both, lambda p: p.isNotNull())
+        pair = f"CASE WHEN l IS NOT NULL AND v IS NOT NULL THEN {_pair('l', 'v', keywords)} END"
+        return f"filter(zip_with({labels}, {values}, (l, v) -> {pair}), p -> p IS NOT NULL)"
 
     return tree.let(tree.under(nodes, scope), pairs)
 
 
-def learning_pairs(nodes: Column, scope: Column) -> Column:
+def learning_pairs(nodes: str, scope: str) -> str:
     """Caption and value of every list item that has both."""
 
-    def pair(item: Column) -> Column:
+    def pair(item: str) -> str:
         part = tree.under(nodes, item)
         label = tree.text_of(nodes, tree.first(part, tree.element("div", words=["text-slate-600"])))
         value = tree.text_of(nodes, tree.first(part, _BOLD))
-        return F.when(label.isNotNull() & value.isNotNull(), _pair(label, value, fv.LEARNING_KEYWORDS))
+        return tree.let(
+            f"named_struct('l', {label}, 'v', {value})",
+            lambda p: f"CASE WHEN {p}.l IS NOT NULL AND {p}.v IS NOT NULL "
+            f"THEN {_pair(f'{p}.l', f'{p}.v', fv.LEARNING_KEYWORDS)} END",
+        )
 
-    items = F.filter(tree.under(nodes, scope), tree.element("li"))
-    return F.filter(F.transform(items, pair), lambda p: p.isNotNull())
+    items = tree.let(
+        tree.under(nodes, scope), lambda part: tree.each(tree.where(part, tree.element("li")), pair)
+    )
+    return f"filter({items}, p -> p IS NOT NULL)"
 
 
-def last_value(pairs: Column, name: str) -> Column:
-    return tree.last(pairs, lambda p: p["field"] == name)["value"]
+def last_value(pairs: str, name: str) -> str:
+    return tree.last(pairs, lambda p: f"{p}.field = {tx.quoted(name)}") + ".value"
 
 
 # coordinates ----------------------------------------------------------------------------------------------
 
 
-def frame_source(nodes: Column, scope: Column) -> Column:
-    return tree.first_under(nodes, scope, tree.element("iframe"))["src"]
+def frame_source(nodes: str, scope: str) -> str:
+    return tree.first_under(nodes, scope, tree.element("iframe")) + ".src"
+
+
+def frame_coordinate(source: str, group: int) -> str:
+    return tx.captured(source, fv.MAP_PATTERN, group)
 
 
-def coordinate_text(nodes: Column, scope: Column, label: str) -> Column:
+def frame_map_link(source: str) -> str:
+    lat, lon = frame_coordinate(source, 1), frame_coordinate(source, 2)
+    return f"concat({tx.quoted(fv.MAP_LINK)}, {lat}, ',', {lon})"
+
+
+def coordinate_text(nodes: str, scope: str, label: str) -> str:
     """Text shown for Lintang or Bujur, searched from the parent of the caption onwards."""
-    caption = tree.with_sole_string(nodes, label)
-    found = tree.first_under(nodes, scope, lambda n: (n["tag"] == "div") & caption(n))
-    return tree.text_of(nodes, tree.next_after(nodes, found["parent"], tree.element("div", words=["font-medium"])))
+    caption = tree.both(tree.element("div"), tree.with_sole_string(nodes, label))
+    found = tree.first_under(nodes, scope, caption)
+    return tree.text_of(nodes, tree.next_after(nodes, f"{found}.parent", tree.element("div", words=["font-medium"])))
+
+
+def coordinate(nodes: str, scope: str, source: str, label: str, group: int) -> str:
+    """The shown text counts before the map frame."""
+    return f"coalesce({coordinate_text(nodes, scope, label)}, {frame_coordinate(source, group)})"
 
 
 # the projection ---------------------------------------------------------------------------------------------
 
 
+def with_blocks(pages: DataFrame) -> DataFrame:
+    """Staged pages with the pairs of their blocks and the address of the map frame."""
+    statistics = statistic_pairs("nodes", "_statistics", "text-slate-600", fv.STATISTIC_KEYWORDS)
+    return staged(pages).selectExpr(
+        "*",
+        f"{statistics} AS _stat_pairs",
+        f"{learning_pairs('nodes', '_learning')} AS _learn_pairs",
+        f"{frame_source('nodes', '_address')} AS _frame",
+    )
+
+
+def field_expressions(site: SiteConfig, bounded: bool = False) -> dict[str, str]:
+    """Every field of a profile as an expression over a page with blocks."""
+    fields = {
+        "npsn": profile_id("nodes", labelled("NPSN"), site.registry_host),
+        "nama_sekolah": title("nodes"),
+        "alamat_sekolah": address_line("nodes"),
+        "alamat_jalan": "CAST(NULL AS STRING)",
+        "url_sk_operasional": licence_url("nodes", "url", site.document_base),
+        "telepon": phone("nodes"),
+        "website": website("nodes"),
+        "email": email("nodes"),
+        "lintang": coordinate("nodes", "_address", "_frame", "Lintang", 1),
+        "bujur": coordinate("nodes", "_address", "_frame", "Bujur", 2),
+        "link_google_map": frame_map_link("_frame"),
+    }
+    fields |= {name: labelled(label) for name, label in fv.PROFILE_LABELS.items()}
+    fields |= {name: labelled(label, "_utilities", bounded) for name, label in fv.UTILITY_LABELS.items()}
+    fields |= {name: last_value("_stat_pairs", name) for name, _, _ in fv.STATISTIC_KEYWORDS}
+    fields |= {name: last_value("_learn_pairs", name) for name, _, _ in fv.LEARNING_KEYWORDS}
+    return fields
+
+
 def profile_details(
     pages: DataFrame, site: SiteConfig, *lineage: str, bounded: bool = False
 ) -> DataFrame:
@@ -221,40 +261,8 @@ def profile_details(
     ``lineage`` names page columns to keep. ``bounded`` keeps the labels of the utilities block
     from reading past their section.
     """
-    nodes, statistics, learning = F.col("nodes"), F.col("_stat_pairs"), F.col("_learn_pairs")
-    lat, lon = (tx.captured(F.col("_frame"), fv.MAP_PATTERN, g) for g in (1, 2))
-    blocks = (
-        staged(pages.where(F.col("parse_error").isNull()).select(*lineage, "url", "nodes"))
-        .withColumns(
-            {
-                "_stat_pairs": statistic_pairs(
-                    nodes, F.col("_statistics"), "text-slate-600", fv.STATISTIC_KEYWORDS
-                ),
-                "_learn_pairs": learning_pairs(nodes, F.col("_learning")),
-                "_frame": frame_source(nodes, F.col("_address")),
-            }
-        )
+    read = pages.where(F.col("parse_error").isNull()).select(*lineage, "url", "nodes")
+    fields = field_expressions(site, bounded)
+    return with_blocks(read).selectExpr(
+        *lineage, *[f"{fields.get(c, c)} AS {c}" for c in fv.PROFILE_COLUMNS]
     )
-    fields = {
-        "npsn": profile_id(nodes, labelled("NPSN"), site.registry_host),
-        "nama_sekolah": title(nodes),
-        "alamat_sekolah": address_line(nodes),
-        "url_sk_operasional": licence_url(nodes, F.col("url"), site.document_base),
-        "telepon": phone(nodes),
-        "website": website(nodes),
-        "email": email(nodes),
-    }
-    fields |= {name: labelled(label) for name, label in fv.PROFILE_LABELS.items()}
-    fields |= {name: last_value(statistics, name) for name, _, _ in fv.STATISTIC_KEYWORDS}
-    fields |= {
-        name: labelled(label, F.col("_utilities"), bounded) for name, label in fv.UTILITY_LABELS.items()
-    }
-    fields |= {name: last_value(learning, name) for name, _, _ in fv.LEARNING_KEYWORDS}
-    fields |= {
-        "lintang": F.coalesce(coordinate_text(nodes, F.col("_address"), "Lintang"), lat),
-        "bujur": F.coalesce(coordinate_text(nodes, F.col("_address"), "Bujur"), lon),
-        "link_google_map": F.concat(F.lit(fv.MAP_LINK), lat, F.lit(","), lon),
-    }
-    fields["alamat_jalan"] = F.lit(None).cast("string")
-    ordered = [fields[c].alias(c) if c != "url" else F.col("url") for c in fv.PROFILE_COLUMNS]
-    return blocks.select(*lineage, *ordered)
