@@ -685,8 +685,7 @@ def column_widths(spark, sf_dir):
     f"""
     WITH found AS (SELECT * FROM (SELECT {PROFILE_URL} AS url, {LABELS_SQL}, {CONTACTS_SQL}, {DOCUMENT_SQL},
                                          {COORDINATES_SQL} FROM {PEOPLE})),
-         cells AS (SELECT column_name, cell FROM
-                   (UNPIVOT INCLUDE NULLS found ON COLUMNS(*) INTO NAME column_name VALUE cell))
+         cells AS (SELECT column_name, cell FROM found UNPIVOT INCLUDE NULLS (cell FOR column_name IN (*)))
     SELECT column_name, count(*) AS n_rows, count(*) FILTER (cell IS NULL OR cell = '-') AS n_missing,
            CAST(count(*) FILTER (cell IS NULL OR cell = '-') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS missing_share
     FROM cells GROUP BY column_name

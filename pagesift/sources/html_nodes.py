@@ -9,7 +9,10 @@ element holds through single-child elements, 0 if there is none.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
+from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
 
@@ -37,80 +40,189 @@ _ARROW_NODE = pa.struct(
 )
 _NODES_PER_BATCH = 200_000
 
+# The markup that browsers write when they save a page: lower-case tags, quoted attributes, closed
+# references. It means the same to every tokenizer, so one pattern may split it.
+_PLAIN = re.compile(
+    r"""([^<&]+)
+    |<([a-z][a-z0-9]*)((?:[ \t\n\r\f]+[a-z][a-z0-9_:.-]*(?:="[^"<>]*")?)*)[ \t\n\r\f]*(/?)>
+    |</([a-z][a-z0-9]*)>
+    |&([a-zA-Z][a-zA-Z0-9]*);
+    |&\#([0-9]{1,7});
+    |<!(--|DOCTYPE[ ]html>)""",
+    re.VERBOSE,
+)
+_ATTRIBUTE = re.compile(r"""([a-z][a-z0-9_:.-]*)(?:="([^"]*)")?""")
+_RAW = {tag: re.compile(rf"</\s*{tag}|<!--", re.IGNORECASE) for tag in ("script", "style")}
+# what these hold is split differently by different versions of the tokenizer
+_UNSETTLED = frozenset(["title", "textarea", "iframe", "noembed", "noframes", "noscript", "xmp", "plaintext", "listing"])
+
+
+@lru_cache(maxsize=4096)
+def _kept_attributes(text: str) -> tuple[str | None, str | None, str | None]:
+    """Class, href and src out of the attributes of one tag; tags repeat, so most are known already."""
+    found = {name: unescape(value) for name, value in _ATTRIBUTE.findall(text)}
+    return found.get("class"), found.get("href"), found.get("src")
+
+
+def _referenced(name: str) -> str:
+    return html5.get(name + ";", html5.get(name, "&" + name))
+
+
+def _character(code: int) -> str:
+    """Character of a numeric reference; the range below 256 is read as the old Windows code page."""
+    try:
+        char = bytes([code]).decode("windows-1252") if code < 256 else chr(code)
+    except UnicodeDecodeError:
+        char = chr(code)
+    except (ValueError, OverflowError):
+        char = "\N{REPLACEMENT CHARACTER}"
+    if "\ud800" <= char <= "\udfff":  # half a pair cannot be stored as text
+        char = "\N{REPLACEMENT CHARACTER}"
+    return char
+
 
 class _NodeWriter(HTMLParser):
-    """Appends the nodes of one page after another to flat columns."""
+    """Collects the nodes of one page after another.
+
+    Plain markup is split by one pattern; a page with anything else goes through the standard
+    tokenizer from its start. Both feed the same tree.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=False)
-        self.columns: dict[str, list] = {f.name: [] for f in NODE_TYPE}
-        self.start_page()
-
-    def start_page(self) -> None:
-        self.reset()
-        self.base = len(self.columns["ord"])
-        self.open: list[tuple[str, int]] = []
-        self.special: list[str] = []
-        self.pending: list[str] = []
-        self.children: dict[int, int] = {}
-        self.closed_void: list[str] = []
+        self.nodes: list[tuple] = []  # ord, parent, tag, cls, href, src, text
+        self.last: list[int] = []
+        self.sole: list[int] = []
 
     def write_page(self, html: str) -> None:
-        self.start_page()
+        base = len(self.nodes)
         try:
-            self.feed(html)
-            self.close()
+            self._start_page()
+            if not self._split_plain(html):
+                self._drop_from(base)
+                self._start_page()
+                self.feed(html)
+                self.close()
             self._flush()
-            self._close_down_to(0)
-            self._fill_sole()
+            self._close_down_to(1)
         except Exception:
-            for column in self.columns.values():
-                del column[self.base :]
+            self._drop_from(base)
             raise
 
-    def _add(self, tag: str, cls=None, href=None, src=None, text=None) -> int:
-        c = self.columns
-        number = len(c["ord"]) - self.base + 1
-        parent = self.open[-1][1] if self.open else 0
-        self.children[parent] = self.children.get(parent, 0) + 1
-        c["ord"].append(number)
-        c["last"].append(number)
-        c["parent"].append(parent)
-        c["sole"].append(0)
-        c["tag"].append(tag)
-        c["cls"].append(cls)
-        c["href"].append(href)
-        c["src"].append(src)
-        c["text"].append(text)
+    def columns(self) -> pa.StructArray:
+        number, parent, tag, cls, href, src, text = zip(*self.nodes) if self.nodes else [()] * 7
+        values = dict(
+            ord=number, last=self.last, parent=parent, sole=self.sole, tag=tag, cls=cls, href=href, src=src, text=text
+        )
+        return pa.StructArray.from_arrays(
+            [pa.array(values[f.name], f.type) for f in _ARROW_NODE], fields=list(_ARROW_NODE)
+        )
+
+    def _drop_from(self, base: int) -> None:
+        del self.nodes[base:], self.last[base:], self.sole[base:]
+
+    def _start_page(self) -> None:
+        self.reset()
+        self.base = len(self.nodes)
+        self.open = [["", 0, 0, 0]]  # tag, ord, number of children, last child
+        self.special: list[str] = []
+        self.kept_blanks = 0
+        self.pending: list[str] = []
+        self.closed_void: dict[str, int] = {}
+
+    def _split_plain(self, html: str) -> bool:
+        """Split a page of plain markup; False as soon as something else turns up."""
+        match, pending, place, end = _PLAIN.match, self.pending, 0, len(html)
+        while place < end:
+            token = match(html, place)
+            if token is None:
+                return False
+            place = token.end()
+            kind = token.lastindex
+            if kind == 1:
+                pending.append(token[1])
+            elif kind == 4:
+                tag = token[2]
+                self._start(tag, *_kept_attributes(token[3]))
+                if token[4]:
+                    self.handle_endtag(tag)
+                elif tag in _RAW:
+                    stop = html.find(f"</{tag}>", place)
+                    if stop < 0 or _RAW[tag].search(html, place, stop):
+                        return False
+                    if stop > place:
+                        pending.append(html[place:stop])
+                    self.handle_endtag(tag)
+                    place = stop + len(tag) + 3
+                elif tag in _UNSETTLED:
+                    stop = html.find("<", place)
+                    if not html.startswith(f"</{tag}>", stop) or "&" in html[place:stop]:
+                        return False
+            elif kind == 5:
+                self.handle_endtag(token[5])
+            elif kind == 6:
+                pending.append(_referenced(token[6]))
+            elif kind == 7:
+                pending.append(_character(int(token[7])))
+            elif token[8] == "--":
+                stop = html.find("-->", place)
+                if stop < 0 or html.startswith((">", "->"), place) or html.find("--", place, stop + 2) != stop:
+                    return False
+                self._marked("#comment", html[place:stop])
+                place = stop + 3
+            else:
+                self._marked("#doctype", token[8][:-1])
+        return True
+
+    def _add(self, tag: str, cls, href, src, text) -> int:
+        nodes = self.nodes
+        number = len(nodes) - self.base + 1
+        top = self.open[-1]
+        top[2] += 1
+        top[3] = number
+        nodes.append((number, top[1], tag, cls, href, src, text))
+        self.last.append(number)
+        self.sole.append(0)
         return number
 
     def _flush(self, kind: str | None = None) -> None:
         """Close the string being collected; adjacent pieces make one string."""
-        if not self.pending:
+        pending = self.pending
+        if not pending:
             return
-        text = "".join(self.pending)
-        self.pending = []
-        if not text.strip(" \n\t\f\r") and not any(t in fv.KEEP_BLANKS_ELEMENTS for t, _ in self.open):
+        text = pending[0] if len(pending) == 1 else "".join(pending)
+        pending.clear()
+        if not self.kept_blanks and not text.strip(" \n\t\f\r"):
             text = "\n" if "\n" in text else " "
         if kind is None:
             kind = "#" + self.special[-1] if self.special else "#text"
-        self._add(kind, text=text)
+        self._add(kind, None, None, None, text)
 
     def _close_down_to(self, depth: int) -> None:
-        end = len(self.columns["ord"]) - self.base
-        last = self.columns["last"]
-        while len(self.open) > depth:
-            tag, number = self.open.pop()
-            last[self.base + number - 1] = end
+        base, open_, sole = self.base, self.open, self.sole
+        end = len(self.nodes) - base
+        while len(open_) > depth:
+            tag, number, children, child = open_.pop()
+            self.last[base + number - 1] = end
+            if children == 1:
+                sole[base + number - 1] = child if self.nodes[base + child - 1][2][0] == "#" else sole[base + child - 1]
             if tag in fv.SPECIAL_STRING_ELEMENTS:
                 self.special.pop()
+            elif tag in fv.KEEP_BLANKS_ELEMENTS:
+                self.kept_blanks -= 1
 
-    def _fill_sole(self) -> None:
-        tag, sole, parent = self.columns["tag"], self.columns["sole"], self.columns["parent"]
-        for i in range(len(tag) - 1, self.base - 1, -1):
-            up = parent[i]
-            if up and self.children[up] == 1:
-                sole[self.base + up - 1] = i - self.base + 1 if tag[i][0] == "#" else sole[i]
+    def _start(self, tag: str, cls: str | None, href: str | None, src: str | None) -> None:
+        if self.pending:
+            self._flush()
+        number = self._add(tag, cls, href, src, None)
+        if tag in fv.VOID_ELEMENTS:
+            self.closed_void[tag] = self.closed_void.get(tag, 0) + 1
+            return
+        self.open.append([tag, number, 0, 0])
+        if tag in fv.SPECIAL_STRING_ELEMENTS:
+            self.special.append(tag)
+        elif tag in fv.KEEP_BLANKS_ELEMENTS:
+            self.kept_blanks += 1
 
     def _marked(self, kind: str, text: str) -> None:
         self._flush()
@@ -120,28 +232,22 @@ class _NodeWriter(HTMLParser):
     # callbacks of the tokenizer
 
     def handle_starttag(self, tag, attrs):
-        self._flush()
-        a = dict(attrs)
-        cls, href, src = (a[k] or "" if k in a else None for k in ("class", "href", "src"))
-        number = self._add(tag, cls, href, src)
-        if tag in fv.VOID_ELEMENTS:
-            self.closed_void.append(tag)
-            return
-        self.open.append((tag, number))
-        if tag in fv.SPECIAL_STRING_ELEMENTS:
-            self.special.append(tag)
+        kept = dict(attrs)
+        self._start(tag, *(kept[k] or "" if k in kept else None for k in ("class", "href", "src")))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in self.closed_void:
-            self.closed_void.remove(tag)
+        if self.closed_void.get(tag):  # already closed when it was opened
+            self.closed_void[tag] -= 1
             return
-        self._flush()
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
+        if self.pending:
+            self._flush()
+        open_ = self.open
+        for depth in range(len(open_) - 1, 0, -1):
+            if open_[depth][0] == tag:
                 self._close_down_to(depth)
                 return
 
@@ -149,20 +255,11 @@ class _NodeWriter(HTMLParser):
         self.pending.append(data)
 
     def handle_entityref(self, name):
-        self.pending.append(html5.get(name + ";", html5.get(name, "&" + name)))
+        self.pending.append(_referenced(name))
 
     def handle_charref(self, name):
-        digits = name.lower()
-        code = int(digits[1:].rstrip(";"), 16) if digits.startswith("x") else int(digits.rstrip(";"))
-        try:
-            char = bytes([code]).decode("windows-1252") if code < 256 else chr(code)
-        except UnicodeDecodeError:
-            char = chr(code)
-        except (ValueError, OverflowError):
-            char = "\N{REPLACEMENT CHARACTER}"
-        if "\ud800" <= char <= "\udfff":  # half a pair cannot be stored as text
-            char = "\N{REPLACEMENT CHARACTER}"
-        self.pending.append(char)
+        hexadecimal = name[0] in "xX"
+        self.pending.append(_character(int(name[1:], 16) if hexadecimal else int(name)))
 
     def handle_comment(self, data):
         self._marked("#comment", data)
@@ -193,15 +290,12 @@ def _node_batches(batches: Iterator[pa.RecordBatch], html_column: str) -> Iterat
                     writer.write_page(html)
                 except Exception as problem:  # a page that cannot be read must not stop the others
                     error = f"{type(problem).__name__}: {problem}"
-            offsets.append(len(writer.columns["ord"]))
+            offsets.append(len(writer.nodes))
             missing.append(error is not None)
             errors.append(error)
             if offsets[-1] >= _NODES_PER_BATCH or i == len(pages) - 1:
-                struct = pa.StructArray.from_arrays(
-                    [pa.array(writer.columns[f.name], f.type) for f in _ARROW_NODE], fields=list(_ARROW_NODE)
-                )
                 nodes = pa.ListArray.from_arrays(
-                    pa.array(offsets, pa.int32()), struct, mask=pa.array(missing, pa.bool_())
+                    pa.array(offsets, pa.int32()), writer.columns(), mask=pa.array(missing, pa.bool_())
                 )
                 done = batch.slice(start, i + 1 - start)
                 arrays = [done.column(n) for n in kept] + [nodes, pa.array(errors, pa.string())]

@@ -30,37 +30,45 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def _read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON documents that span lines; a missing or broken file gives no rows."""
-    marked = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
+# local time as ISO text, with or without a fraction
+ISO_READ = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+ISO_WRITE = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def _read_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """Records of JSON files; a missing file gives no rows and a broken record gives none."""
     try:
         rows = (
-            spark.read.schema(marked)
-            .option("multiLine", True)
+            spark.read.schema(schema)
+            .option("multiLine", multi_line)
             .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt")
+            .option("timestampNTZFormat", ISO_READ)
             .json(path)
         )
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    return rows.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    return rows.na.drop("all")  # what could not be read arrives as a row of NULLs
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """The checkpoint summary: one row, or none if there is no usable file."""
-    return _read_json(spark, path, SUMMARY)
+    return _read_json(spark, path, SUMMARY, multi_line=True)
 
 
-def read_saved_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Rows saved as a JSON array of records, or as JSON lines."""
-    return _read_json(spark, path, strings_schema(columns))
+def read_saved_rows(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
+    """Rows saved as JSON lines, or with ``multi_line`` as one JSON array of records per file.
+
+    A file with an array cannot be split, so it is read by one task; lines are the format to
+    save in.
+    """
+    return _read_json(spark, path, strings_schema(columns), multi_line)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
     """The one-row summary as JSON; every writer replaces the last one."""
-    summary.coalesce(1).write.mode("overwrite").json(path)
+    summary.write.mode("overwrite").option("timestampNTZFormat", ISO_WRITE).json(path)
 
 
 def summary_of(status: DataFrame, total_rows: int, with_failed: bool = True) -> DataFrame:
