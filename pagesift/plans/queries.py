@@ -123,8 +123,10 @@ def page_nodes(spark, sf_dir):
 
 @query(
     """
-    SELECT page_id, trim(replace(replace(replace(
-        regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), E' \\n\\t') AS title
+    SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(
+        regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+        '&amp;', '&'), '&amp$', '&'),
+        E' \\n\\t') AS title
     FROM pages
     """
 )
@@ -134,8 +136,9 @@ def page_title(spark, sf_dir):
 
 @query(
     """
-    SELECT page_id, trim(replace(replace(replace(
-        regexp_extract(html, '<div class="ad">(.*?)</div>', 1, 's'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
+    SELECT page_id, trim(replace(replace(replace(replace(
+        regexp_extract(html, '<div class="ad">(.*?)</div>', 1, 's'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+        '&amp;', '&'),
         E' \\n\\t') AS block
     FROM pages
     """

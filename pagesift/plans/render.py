@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pagesift.config import SiteConfig
 from pagesift.functions.text import quoted
+from pagesift.sources.snapshots import spread_scan
 
 SITE = SiteConfig()
 PAGE_SIZE = 48
@@ -42,8 +43,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey").join(
         table(spark, sf_dir, "region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    people = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    return people.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    people = spread_scan(
+        table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), "c_custkey"
+    )
+    return people.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +290,7 @@ def supplier_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("l_linestatus") == "F").alias("n_f"),
         F.max("l_linenumber").alias("max_line"),
     )
-    suppliers = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_acctbal")
+    suppliers = spread_scan(table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_acctbal"), "s_suppkey")
     return suppliers.join(numbers, F.col("s_suppkey") == F.col("l_suppkey"))
 
 
