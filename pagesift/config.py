@@ -28,7 +28,7 @@ class SiteConfig:
 
 @dataclass(frozen=True)
 class RunConfig:
-    """One run over a page range.
+    """One run over a page range. Calls with the same ``run_id`` and ``work_dir`` continue each other.
 
     ``max_pages`` counts from ``start_page`` (relative limit); ``last_page`` is a page number
     the plan never passes (absolute limit, so that a resumed run gets no extra pages).
@@ -44,4 +44,3 @@ class RunConfig:
     page_size: int = fv.PAGE_SIZE
     batch_size: int = fv.LIST_BATCH_SIZE
     stop_at_empty_page: bool = False
-    resume: bool = True

@@ -29,8 +29,13 @@ def known(value: str, placeholders: Sequence[str] = tuple(fv.GENERAL_PLACEHOLDER
     return f"get(filter(array({value}), v -> v NOT IN ({signs})), 0)"
 
 
+def none_if(value: str, sign: str) -> str:
+    """``nullif`` that computes the value once, also where it stands inside a lambda."""
+    return f"get(filter(array({value}), v -> v <> {quoted(sign)}), 0)"
+
+
 def none_if_empty(value: str) -> str:
-    return f"nullif({value}, '')"
+    return none_if(value, "")
 
 
 def captured(text: str, pattern: str, group: int = 1) -> str:

@@ -84,8 +84,13 @@ def with_cards(pages: DataFrame, record=card_record) -> DataFrame:
 
 
 def card_rows(pages: DataFrame, *lineage: str) -> DataFrame:
-    """One row per card of pages that carry ``cards``; ``lineage`` names page columns to keep."""
-    return pages.select(*lineage, F.inline("cards")).select(*lineage, "pos", "card.*")
+    """One row per card of pages that carry ``cards``; ``lineage`` names page columns to keep.
+
+    The outer form keeps Spark from putting a filter on ``size(cards)`` below the explosion, which
+    would extract all cards of every page a second and third time.
+    """
+    exploded = pages.select(*lineage, F.inline_outer("cards"))
+    return exploded.where(F.col("pos").isNotNull()).select(*lineage, "pos", "card.*")
 
 
 def opened_cards(cards: DataFrame, opened: DataFrame, on: list[str]) -> DataFrame:

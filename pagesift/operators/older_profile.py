@@ -62,7 +62,7 @@ def card_status(cards: str) -> str:
     unset = tx.quoted(fv.MISSING)
     bold = f"filter({cards}, c -> c.bold IS NOT NULL)"
     take = f"CASE WHEN contains(c.text, 'Status') OR now = {unset} THEN c.bold ELSE now END"
-    return f"nullif(aggregate({bold}, {unset}, (now, c) -> {take}), {unset})"
+    return tx.none_if(f"aggregate({bold}, {unset}, (now, c) -> {take})", fv.MISSING)
 
 
 def text_after(nodes: str, page_text: str, label: str, test: tree.Predicate) -> str:

@@ -128,7 +128,7 @@ def email_anywhere(nodes: str) -> str:
 
 
 def email(nodes: str) -> str:
-    return f"coalesce(nullif({email_by_icon(nodes)}, {tx.quoted(fv.MISSING)}), {email_anywhere(nodes)})"
+    return f"coalesce({tx.none_if(email_by_icon(nodes), fv.MISSING)}, {email_anywhere(nodes)})"
 
 
 # blocks of label/value pairs ----------------------------------------------------------------------------

@@ -571,7 +571,8 @@ def still_failed(spark, sf_dir):
 )
 def empty_stop(spark, sf_dir):
     """Pages before the first one that was read and held nothing."""
-    return pages.until_empty_page(_crawl(spark, sf_dir).select("page_num", "success", "n_rows")).drop("success")
+    outcomes = stored(_crawl(spark, sf_dir).select("page_num", "success", "n_rows"), "outcomes")
+    return pages.until_empty_page(outcomes).drop("success")
 
 
 # numbering and batches ------------------------------------------------------------------------------------------

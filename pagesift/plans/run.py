@@ -22,14 +22,30 @@ from pagesift.operators import merge, pages, profile, shape
 from pagesift.operators.metrics import run_totals
 from pagesift.sinks.files import write_csv, write_wide_table
 from pagesift.sources.html_nodes import with_nodes
-from pagesift.sources.page_plan import page_plan
-from pagesift.sources.state import latest_status, read_table
+from pagesift.sources.page_plan import page_bounds, page_plan
+from pagesift.sources.state import PAGE_STATUS, latest_status, read_table, strings_schema
 
-_CARD = "ARRAY<STRUCT<pos INT, card STRUCT<npsn STRING, nama_sekolah STRING, alamat_sekolah STRING, status_sekolah STRING>>>"
-PAGE_RESULTS = T.StructType.fromDDL(
-    f"page_num INT, ok BOOLEAN, success BOOLEAN, n_rows INT, error STRING, ts TIMESTAMP, cards {_CARD}, attempt INT"
+CARDS = T.ArrayType(
+    T.StructType().add("pos", T.IntegerType()).add("card", strings_schema(fv.CARD_COLUMNS))
+)
+PAGE_RESULTS = (
+    T.StructType()
+    .add("page_num", T.IntegerType())
+    .add("ok", T.BooleanType())
+    .add("success", T.BooleanType())
+    .add("n_rows", T.IntegerType())
+    .add("error", T.StringType())
+    .add("ts", T.TimestampType())
+    .add("cards", CARDS)
+    .add("attempt", T.IntegerType())
+)
+RUNS = (
+    T.StructType()
+    .add("run_id", T.StringType())
+    .add("state", T.StringType())
+    .add("path", T.StringType())
+    .add("ts", T.TimestampType())
 )
-RUNS = T.StructType.fromDDL("run_id STRING, state STRING, path STRING, ts TIMESTAMP")
 
 RowHook = Callable[[DataFrame], DataFrame]
 
@@ -64,7 +80,7 @@ def _results(spark: SparkSession, config: RunConfig) -> DataFrame:
 
 
 def _status(results: DataFrame) -> DataFrame:
-    return latest_status(results.select("page_num", "attempt", "ok", "n_rows", "ts"))
+    return latest_status(results.select(*PAGE_STATUS.names))
 
 
 def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> int:
@@ -72,10 +88,8 @@ def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> in
     results = _results(spark, config)
     attempt = (results.agg(F.max("attempt")).first()[0] or 0) + 1
     plan = page_plan(spark, config).select("page_num")
-    bounds = plan.agg(F.min("page_num"), F.max("page_num")).first()
-    if bounds[0] is None:
-        return attempt
-    wanted = snapshots.where(F.col("page_num").between(*bounds))
+    start, end = page_bounds(config)
+    wanted = snapshots.where((F.col("page_num") >= start) & (F.col("page_num") < end))
     open_pages = plan
     if attempt > 1:
         status = _status(results)
@@ -91,7 +105,7 @@ def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> in
         F.lit(0).alias("n_rows"),
         F.lit("no snapshot").alias("error"),
         F.lit(None).cast("timestamp").alias("ts"),
-        F.lit(None).cast(_CARD).alias("cards"),
+        F.lit(None).cast(CARDS).alias("cards"),
     )
     unseen.write.mode("append").parquet(path)
     return attempt

@@ -7,12 +7,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PAGE_STATUS = T.StructType.fromDDL(
-    "run_id STRING, page_num INT, attempt INT, ok BOOLEAN, n_rows INT, error STRING, ts TIMESTAMP"
+PAGE_STATUS = (
+    T.StructType()
+    .add("page_num", T.IntegerType())
+    .add("attempt", T.IntegerType())
+    .add("ok", T.BooleanType())
+    .add("n_rows", T.IntegerType())
+    .add("ts", T.TimestampType())
 )
-SUMMARY = T.StructType.fromDDL(
-    "last_page INT, processed_count INT, total_count INT, timestamp TIMESTAMP_NTZ, "
-    "processed_pages INT, failed_pages ARRAY<INT>"
+SUMMARY = (
+    T.StructType()
+    .add("last_page", T.IntegerType())
+    .add("processed_count", T.IntegerType())
+    .add("total_count", T.IntegerType())
+    .add("timestamp", T.TimestampNTZType())
+    .add("processed_pages", T.IntegerType())
+    .add("failed_pages", T.ArrayType(T.IntegerType()))
 )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +14,15 @@ from pagesift.operators.cards import card_rows, with_cards
 from pagesift.plans.run import page_results
 from pagesift.sources.html_nodes import with_nodes
 
-SNAPSHOT = T.StructType.fromDDL("page_num INT, html STRING, success BOOLEAN, fetched_at TIMESTAMP")
+SNAPSHOT = (
+    T.StructType()
+    .add("page_num", T.IntegerType())
+    .add("html", T.StringType())
+    .add("success", T.BooleanType())
+    .add("fetched_at", T.TimestampType())
+)
+# identifiers a task remembers before the shuffle; forgetting them only lets more rows through
+REMEMBERED = 100_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -43,15 +54,31 @@ def ingest(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _without_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leave out rows whose identifier this task sent on a short while ago."""
+    sent: set[str] = set()
+    for batch in batches:
+        kept = []
+        for i, key in enumerate(batch.column("npsn").to_pylist()):
+            if key not in sent:
+                sent.add(key)
+                kept.append(i)
+        if len(sent) > REMEMBERED:
+            sent.clear()
+        yield batch.take(pa.array(kept, pa.int64()))
+
+
 def first_arrivals(stream: DataFrame) -> DataFrame:
     """One row per identifier, the first to arrive.
 
     The state holds every identifier seen, since nothing on a record says when one can be
-    forgotten; with RocksDB it lives on disk and is split over the shuffle partitions.
+    forgotten; with RocksDB it lives on disk and is split over the shuffle partitions. Each task
+    thins out its own repeats before the shuffle, so an identifier that fills a third of the
+    stream does not send a third of its rows to one task.
     """
     pages = with_cards(with_nodes(stream.where("success").select("page_num", "html")))
     rows = card_rows(pages.where(F.col("parse_error").isNull()), "page_num")
-    return rows.dropDuplicates(["npsn"])
+    return rows.mapInArrow(_without_repeats, rows.schema).dropDuplicates(["npsn"])
 
 
 def ingest_distinct(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
