@@ -58,6 +58,8 @@ def write_batches(batches: DataFrame, path: str, batches_per_folder: int = 1) ->
         )
         dropped = ["row_num", "batch_id"]
     lineage = [c for c in ("page_num", "pos") if c in batches.columns]
+    # a folder name that cannot be NULL lets the writer keep the order made here
+    placed = placed.withColumn("batch", F.coalesce("batch", F.lit("")))
     rows = placed.repartition("batch").sortWithinPartitions("batch", "row_num").drop(*dropped, *lineage)
     _csv(rows.na.fill(fv.MISSING)).partitionBy("batch").csv(path)
     return path
