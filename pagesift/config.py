@@ -32,6 +32,8 @@ class RunConfig:
 
     ``max_pages`` counts from ``start_page`` (relative limit); ``last_page`` is a page number
     the plan never passes (absolute limit, so that a resumed run gets no extra pages).
+    ``pages_per_commit`` cuts a pass into page ranges that are committed one after the other, so
+    that a run that is stopped loses no more than one range.
     """
 
     run_id: str
@@ -44,3 +46,4 @@ class RunConfig:
     page_size: int = fv.PAGE_SIZE
     batch_size: int = fv.LIST_BATCH_SIZE
     stop_at_empty_page: bool = False
+    pages_per_commit: int | None = None

@@ -14,14 +14,15 @@ SALTS = 64
 def hot_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
     """The at most ``share`` keys that hold at least one row in ``share`` (and more than one row)."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total")).select("_total").scalar()
+    total = rows.agg(F.count(F.lit(1)).alias("_total")).scalar()
     return counts.where((F.col("_n") > 1) & (F.col("_n") * share >= total)).select(key)
 
 
 def spread_join(rows: DataFrame, lookup: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
     """Inner join in which the rows of a hot key are spread over ``salts`` tasks.
 
-    ``lookup`` has one row per key; only its hot rows are repeated. ``rows`` is read twice, so
+    ``lookup`` has one row per key; only its hot rows are repeated. ``rows`` carry columns that
+    tell them apart (page and position), from which the salt is taken, and are read twice, so
     hand in a stored table.
     """
     hot = F.broadcast(hot_keys(rows, key).withColumn("_hot", F.lit(True)))

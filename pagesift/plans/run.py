@@ -83,31 +83,43 @@ def _status(results: DataFrame) -> DataFrame:
     return latest_status(results.select(*PAGE_STATUS.names))
 
 
+def _ranges(config: RunConfig) -> list[tuple[int, int]]:
+    start, end = page_bounds(config)
+    step = config.pages_per_commit or max(end - start, 1)
+    return [(low, min(low + step, end)) for low in range(start, end, step)]
+
+
 def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> int:
-    """Read all pages that are still open from ``snapshots``; returns the number of the pass."""
+    """Read all pages that are still open from ``snapshots``; returns the number of the pass.
+
+    ``snapshots`` has one row per page. With ``pages_per_commit`` each range of pages is one job
+    with its own commit; keep the snapshots in page order then, so that a range reads only its
+    own part of the files.
+    """
     results = _results(spark, config)
     attempt = (results.agg(F.max("attempt")).first()[0] or 0) + 1
-    plan = page_plan(spark, config).select("page_num")
-    start, end = page_bounds(config)
-    wanted = snapshots.where((F.col("page_num") >= start) & (F.col("page_num") < end))
-    open_pages = plan
-    if attempt > 1:
-        status = _status(results)
-        open_pages = pages.pending_pages(plan, status)
-        wanted = pages.without_done(wanted, status)
-    path = f"{config.work_dir}/{config.run_id}/page_results/attempt={attempt}"
-    page_results(wanted).write.mode("overwrite").parquet(path)
-    seen = spark.read.schema(PAGE_RESULTS).parquet(path).select("page_num")
-    unseen = open_pages.join(seen, "page_num", "left_anti").select(
-        "page_num",
-        F.lit(False).alias("ok"),
-        F.lit(False).alias("success"),
-        F.lit(0).alias("n_rows"),
-        F.lit("no snapshot").alias("error"),
-        F.lit(None).cast("timestamp").alias("ts"),
-        F.lit(None).cast(CARDS).alias("cards"),
-    )
-    unseen.write.mode("append").parquet(path)
+    status = _status(results) if attempt > 1 else None
+    for low, high in _ranges(config):
+        in_range = (F.col("page_num") >= low) & (F.col("page_num") < high)
+        wanted = snapshots.where(in_range)
+        open_pages = spark.range(low, high).select(F.col("id").cast("int").alias("page_num"))
+        if status is not None:
+            before = status.where(in_range)
+            open_pages = pages.pending_pages(open_pages, before)
+            wanted = pages.without_done(wanted, before)
+        path = f"{config.work_dir}/{config.run_id}/page_results/attempt={attempt}/first_page={low}"
+        page_results(wanted).write.mode("overwrite").parquet(path)
+        seen = spark.read.schema(PAGE_RESULTS).parquet(path).select("page_num")
+        unseen = open_pages.join(seen, "page_num", "left_anti").select(
+            "page_num",
+            F.lit(False).alias("ok"),
+            F.lit(False).alias("success"),
+            F.lit(0).alias("n_rows"),
+            F.lit("no snapshot").alias("error"),
+            F.lit(None).cast("timestamp").alias("ts"),
+            F.lit(None).cast(CARDS).alias("cards"),
+        )
+        unseen.write.mode("append").parquet(path)
     return attempt
 
 

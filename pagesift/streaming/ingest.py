@@ -44,7 +44,7 @@ def ingest(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        page_results(batch).write.mode("overwrite").parquet(f"{out}/attempt={number + 1}")
+        page_results(batch).write.mode("overwrite").parquet(f"{out}/attempt={number + 1}/first_page=0")
 
     return (
         stream.writeStream.foreachBatch(write)

@@ -183,6 +183,17 @@ def test_done_pages_are_not_read_again(spark):
     assert npsns(runs.collected_rows(spark, config)) == [(0, "1"), (1, "2")]
 
 
+def test_ranges_are_committed_one_by_one(spark):
+    all_pages = crawl(spark, *[(n, page(n * 10, n * 10 + 1), n != 3) for n in range(7)])
+    config = make_config(spark, pages=8, pages_per_commit=3)
+    runs.run_pass(spark, all_pages, config)
+    base = local(f"{config.work_dir}/{config.run_id}/page_results/attempt=1")
+    assert sorted(p.name for p in base.iterdir()) == ["first_page=0", "first_page=3", "first_page=6"]
+    result = runs.run_list(spark, all_pages.withColumn("success", all_pages.page_num >= 0), config)
+    assert npsns(result.rows) == [(n, str(n * 10 + k)) for n in range(7) for k in range(2)]
+    assert not result.complete  # page 7 of the plan was never saved
+
+
 def test_limits_and_early_stop(spark):
     pages = crawl(spark, (0, page(1), True), (1, page(2), False), (2, page(3), True), (3, "", True), (4, page(4), True))
     stopped = runs.run_list(spark, pages, make_config(spark, stop_at_empty_page=True))
