@@ -24,7 +24,6 @@ PAGE_SIZE = 48
 LIST_BATCH_SIZE = 100
 PROFILE_BATCH_SIZE = 50
 MAX_COLUMN_WIDTH = 100
-CHECKPOINT_EVERY_PAGES = 50
 
 # --- fixed values: markers ----------------------------------------------------------------------
 

@@ -884,10 +884,10 @@ def profile_run(spark, sf_dir):
 
 
 def _arrivals(spark, sf_dir):
-    """Crawled pages as a folder of files that a stream picks up two at a time."""
+    """Crawled pages as a folder of files that a stream picks up sixteen at a time."""
     path = new_dir(spark, "arrivals")
-    rd.crawled_pages(spark, sf_dir).select(*ingest.SNAPSHOT.names).repartition(8, "page_num").write.parquet(path)
-    return ingest.page_stream(spark, path, max_files=2)
+    rd.crawled_pages(spark, sf_dir).select(*ingest.SNAPSHOT.names).repartition(32, "page_num").write.parquet(path)
+    return ingest.page_stream(spark, path, max_files=16)
 
 
 @query(

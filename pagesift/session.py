@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_WORK_DIR: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 # A page is one row of up to tens of kilobytes, so Arrow batches are cut by rows well below the
 # default of 10,000. Pages cost far more to parse than to read, so a shuffle in front of the
@@ -38,6 +41,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    The workers need it for the parsing stage, wherever the driver was started and whatever is
+    installed on the executors. Spark serves the archive from the driver.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="pagesift-code-")) / package.name
+    context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors see: ``spark.checkpoint.dir`` of the session.
 

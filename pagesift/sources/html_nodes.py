@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from pagesift import fixed_values as fv
+from pagesift.session import ship
 
 NODE_TYPE = T.StructType(
     [
@@ -55,6 +56,8 @@ _ATTRIBUTE = re.compile(r"""([a-z][a-z0-9_:.-]*)(?:="([^"]*)")?""")
 _RAW = {tag: re.compile(rf"</\s*{tag}|<!--", re.IGNORECASE) for tag in ("script", "style")}
 # what these hold is split differently by different versions of the tokenizer
 _UNSETTLED = frozenset(["title", "textarea", "iframe", "noembed", "noframes", "noscript", "xmp", "plaintext", "listing"])
+_UNUSUAL = fv.VOID_ELEMENTS | fv.SPECIAL_STRING_ELEMENTS | fv.KEEP_BLANKS_ELEMENTS
+_NO_ATTRIBUTES = (None, None, None)
 
 
 @lru_cache(maxsize=4096)
@@ -90,7 +93,7 @@ class _NodeWriter(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=False)
-        self.nodes: list[tuple] = []  # ord, parent, tag, cls, href, src, text
+        self.nodes: list[tuple] = []  # ord, parent, tag, attributes, text
         self.last: list[int] = []
         self.sole: list[int] = []
 
@@ -110,7 +113,8 @@ class _NodeWriter(HTMLParser):
             raise
 
     def columns(self) -> pa.StructArray:
-        number, parent, tag, cls, href, src, text = zip(*self.nodes) if self.nodes else [()] * 7
+        number, parent, tag, attributes, text = zip(*self.nodes) if self.nodes else [()] * 5
+        cls, href, src = zip(*attributes) if attributes else [()] * 3
         values = dict(
             ord=number, last=self.last, parent=parent, sole=self.sole, tag=tag, cls=cls, href=href, src=src, text=text
         )
@@ -124,6 +128,7 @@ class _NodeWriter(HTMLParser):
     def _start_page(self) -> None:
         self.reset()
         self.base = len(self.nodes)
+        self.number = 0
         self.open = [["", 0, 0, 0]]  # tag, ord, number of children, last child
         self.special: list[str] = []
         self.kept_blanks = 0
@@ -143,7 +148,7 @@ class _NodeWriter(HTMLParser):
                 pending.append(token[1])
             elif kind == 4:
                 tag = token[2]
-                self._start(tag, *_kept_attributes(token[3]))
+                self._start(tag, _kept_attributes(token[3]))
                 if token[4]:
                     self.handle_endtag(tag)
                 elif tag in _RAW:
@@ -174,13 +179,12 @@ class _NodeWriter(HTMLParser):
                 self._marked("#doctype", token[8][:-1])
         return True
 
-    def _add(self, tag: str, cls, href, src, text) -> int:
-        nodes = self.nodes
-        number = len(nodes) - self.base + 1
+    def _add(self, tag: str, attributes: tuple, text: str | None) -> int:
+        self.number = number = self.number + 1
         top = self.open[-1]
         top[2] += 1
         top[3] = number
-        nodes.append((number, top[1], tag, cls, href, src, text))
+        self.nodes.append((number, top[1], tag, attributes, text))
         self.last.append(number)
         self.sole.append(0)
         return number
@@ -196,33 +200,35 @@ class _NodeWriter(HTMLParser):
             text = "\n" if "\n" in text else " "
         if kind is None:
             kind = "#" + self.special[-1] if self.special else "#text"
-        self._add(kind, None, None, None, text)
+        self._add(kind, _NO_ATTRIBUTES, text)
 
     def _close_down_to(self, depth: int) -> None:
-        base, open_, sole = self.base, self.open, self.sole
-        end = len(self.nodes) - base
+        base, open_, sole, end = self.base, self.open, self.sole, self.number
         while len(open_) > depth:
             tag, number, children, child = open_.pop()
             self.last[base + number - 1] = end
             if children == 1:
                 sole[base + number - 1] = child if self.nodes[base + child - 1][2][0] == "#" else sole[base + child - 1]
-            if tag in fv.SPECIAL_STRING_ELEMENTS:
-                self.special.pop()
-            elif tag in fv.KEEP_BLANKS_ELEMENTS:
-                self.kept_blanks -= 1
+            if tag in _UNUSUAL:
+                if tag in fv.SPECIAL_STRING_ELEMENTS:
+                    self.special.pop()
+                else:
+                    self.kept_blanks -= 1
 
-    def _start(self, tag: str, cls: str | None, href: str | None, src: str | None) -> None:
+    def _start(self, tag: str, attributes: tuple) -> None:
         if self.pending:
             self._flush()
-        number = self._add(tag, cls, href, src, None)
-        if tag in fv.VOID_ELEMENTS:
+        number = self._add(tag, attributes, None)
+        if tag not in _UNUSUAL:
+            self.open.append([tag, number, 0, 0])
+        elif tag in fv.VOID_ELEMENTS:
             self.closed_void[tag] = self.closed_void.get(tag, 0) + 1
-            return
-        self.open.append([tag, number, 0, 0])
-        if tag in fv.SPECIAL_STRING_ELEMENTS:
-            self.special.append(tag)
-        elif tag in fv.KEEP_BLANKS_ELEMENTS:
-            self.kept_blanks += 1
+        else:
+            self.open.append([tag, number, 0, 0])
+            if tag in fv.SPECIAL_STRING_ELEMENTS:
+                self.special.append(tag)
+            else:
+                self.kept_blanks += 1
 
     def _marked(self, kind: str, text: str) -> None:
         self._flush()
@@ -233,7 +239,7 @@ class _NodeWriter(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         kept = dict(attrs)
-        self._start(tag, *(kept[k] or "" if k in kept else None for k in ("class", "href", "src")))
+        self._start(tag, tuple(kept[k] or "" if k in kept else None for k in ("class", "href", "src")))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -246,10 +252,11 @@ class _NodeWriter(HTMLParser):
         if self.pending:
             self._flush()
         open_ = self.open
-        for depth in range(len(open_) - 1, 0, -1):
-            if open_[depth][0] == tag:
-                self._close_down_to(depth)
-                return
+        depth = len(open_) - 1
+        while depth and open_[depth][0] != tag:
+            depth -= 1
+        if depth:
+            self._close_down_to(depth)
 
     def handle_data(self, data):
         self.pending.append(data)
@@ -317,4 +324,5 @@ def with_nodes(pages: DataFrame, html_column: str = "html") -> DataFrame:
             T.StructField("parse_error", T.StringType()),
         ]
     )
+    ship(pages.sparkSession)
     return pages.mapInArrow(lambda batches: _node_batches(batches, html_column), schema)
