@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pagesift import fixed_values as fv
@@ -35,6 +35,16 @@ def run_totals(status: DataFrame, time: str = "ts") -> DataFrame:
     )
 
 
+def observed(results: DataFrame, watch: Observation) -> DataFrame:
+    """Count pages and rows while they are written, without another pass over them."""
+    return results.observe(
+        watch,
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if("ok").alias("pages_ok"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows"),
+    )
+
+
 def retry_yield(first_failed: DataFrame, retried: DataFrame) -> DataFrame:
     """Pages tried again, recovered and still open."""
     outcome = first_failed.select("page_num").join(

@@ -7,19 +7,20 @@ retry is simply another pass over what is still open.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesift import fixed_values as fv
 from pagesift.config import RunConfig
 from pagesift.operators import cards as cd
-from pagesift.operators import merge, pages, profile, shape
-from pagesift.operators.metrics import run_totals
+from pagesift.operators import merge, older_profile, pages, profile, shape
+from pagesift.operators.metrics import observed, run_totals
 from pagesift.sinks.files import write_csv, write_wide_table
 from pagesift.sources.html_nodes import with_nodes
 from pagesift.sources.page_plan import page_bounds, page_plan
@@ -47,6 +48,8 @@ RUNS = (
     .add("ts", T.TimestampType())
 )
 
+log = logging.getLogger(__name__)
+
 RowHook = Callable[[DataFrame], DataFrame]
 
 
@@ -108,7 +111,9 @@ def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> in
             open_pages = pages.pending_pages(open_pages, before)
             wanted = pages.without_done(wanted, before)
         path = f"{config.work_dir}/{config.run_id}/page_results/attempt={attempt}/first_page={low}"
-        page_results(wanted).write.mode("overwrite").parquet(path)
+        watch = Observation()
+        observed(page_results(wanted), watch).write.mode("overwrite").parquet(path)
+        log.info("pass %d, pages %d to %d: %s", attempt, low, high - 1, watch.get)
         seen = spark.read.schema(PAGE_RESULTS).parquet(path).select("page_num")
         unseen = open_pages.join(seen, "page_num", "left_anti").select(
             "page_num",
@@ -173,17 +178,19 @@ def run_profiles(
     """Cards with a URL and the profile pages behind them to the published 39-column table.
 
     ``cards`` has the five profile-card columns, ``page_num`` and ``pos``; ``profile_snapshots``
-    has ``url, html``. Details are written once, so the merge reads 39 short columns instead of
+    has ``url, html``, and ``fetched_at`` if a URL may have been saved more than once: the latest
+    page counts then. Details are written once, so the merge reads 39 short columns instead of
     parsing pages again.
     """
     base = f"{config.work_dir}/{config.run_id}"
-    parsed = with_nodes(profile_snapshots.select("url", "html"))
+    lineage = [c for c in ("fetched_at",) if c in profile_snapshots.columns]
+    parsed = with_nodes(profile_snapshots.select(*lineage, "url", "html"))
     if list_first:
-        from pagesift.operators.older_profile import older_details
-
-        details, merged = older_details(parsed), merge.merge_list_first
+        details, merged = older_profile.older_details(parsed, *lineage), merge.merge_list_first
     else:
-        details, merged = profile.profile_details(parsed, config.site), merge.merge_detail_first
+        details, merged = profile.profile_details(parsed, config.site, *lineage), merge.merge_detail_first
+    if lineage:
+        details = shape.keep_last(details, "url", ("fetched_at",)).drop("fetched_at")
     details.write.mode("overwrite").parquet(base + "/details")
     cards.write.mode("overwrite").parquet(base + "/profile_cards")
     stored_details = spark.read.schema(details.schema).parquet(base + "/details")
