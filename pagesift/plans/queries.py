@@ -802,13 +802,14 @@ def saved_rows_round_trip(spark, sf_dir):
 def state_round_trip(spark, sf_dir):
     """Checkpoint summary written as JSON and read back."""
     status = _event_status(spark, sf_dir).withColumn("attempt", F.lit(1))
-    path = new_dir(spark, "summary")
-    state.write_summary(state.summary_of(status, fv.TOTAL_ROWS), path)
-    read = state.read_summary(spark, path)
-    return read.selectExpr(
-        "* EXCEPT (failed_pages)",
-        "size(failed_pages) AS n_failed",
-        "aggregate(failed_pages, 0L, (s, p) -> s + p) AS failed_sum",
+    path = new_dir(spark, "checkpoint")
+    state.write_checkpoint(status, fv.TOTAL_ROWS, path)
+    summary, failed = state.read_checkpoint(spark, path)
+    return summary.drop("failed_pages").withColumns(
+        {
+            "n_failed": failed.agg(F.count(F.lit(1)).cast("int")).scalar(),
+            "failed_sum": failed.agg(F.sum("page_num")).scalar(),
+        }
     )
 
 

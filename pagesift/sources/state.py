@@ -76,28 +76,40 @@ def read_saved_rows(spark: SparkSession, path: str, columns: list[str], multi_li
     return _read_json(spark, path, strings_schema(columns), multi_line)
 
 
-def write_summary(summary: DataFrame, path: str) -> None:
-    """The one-row summary as JSON; every writer replaces the last one."""
-    summary.write.mode("overwrite").option("timestampNTZFormat", ISO_WRITE).json(path)
-
-
-def summary_of(status: DataFrame, total_rows: int, with_failed: bool = True) -> DataFrame:
-    """Checkpoint summary over the latest outcome of every page, for export.
-
-    Resume reads the status table itself, so the list of open pages may be left out where it
-    would be long.
-    """
-    failed = F.sort_array(F.collect_list(F.when(~F.col("ok"), F.col("page_num"))))
+def summary_of(status: DataFrame, total_rows: int) -> DataFrame:
+    """Checkpoint summary over the latest outcome of every page: one row of fixed size."""
     return latest_status(status).agg(
         F.max("page_num").alias("last_page"),
         F.sum("n_rows").cast("int").alias("processed_count"),
         F.lit(total_rows).alias("total_count"),
         F.max("ts").cast("timestamp_ntz").alias("timestamp"),
         F.count_if("ok").cast("int").alias("processed_pages"),
-        (failed if with_failed else F.lit(None).cast("array<int>")).alias("failed_pages"),
     )
 
 
+def failed_pages(status: DataFrame) -> DataFrame:
+    """Pages whose latest attempt failed, as rows: their number has no bound."""
+    return latest_status(status).where("NOT ok").select("page_num")
+
+
+def listed_failures(summary: DataFrame) -> DataFrame:
+    """The same rows out of a summary file that lists the pages itself."""
+    return summary.select(F.explode("failed_pages").alias("page_num"))
+
+
+def write_checkpoint(status: DataFrame, total_rows: int, path: str) -> None:
+    """Export of the run state as JSON: the summary, and the failed pages as lines beside it."""
+    summary = summary_of(status, total_rows)
+    summary.write.mode("overwrite").option("timestampNTZFormat", ISO_WRITE).json(path + "/summary")
+    failed_pages(status).write.mode("overwrite").json(path + "/failed_pages")
+
+
+def read_checkpoint(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Summary and failed pages of an export; a missing or broken part has no rows."""
+    pages = T.StructType().add("page_num", T.IntegerType())
+    return read_summary(spark, path + "/summary"), _read_json(spark, path + "/failed_pages", pages, multi_line=False)
+
+
 def latest_status(status: DataFrame) -> DataFrame:
     """Latest attempt of every page; of two records of one attempt the successful one counts.
 

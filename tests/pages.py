@@ -15,8 +15,12 @@ def evaluate(spark, html, expression):
     return parsed(spark, html).selectExpr(f"{expression} AS x").first().x
 
 
-def profile_of(spark, html, url="https://x/profil-sekolah/_", bounded=False):
+def profile_of(spark, html, url="https://x/profil-sekolah/_", bounded=False, only=None):
+    """Fields of a profile page; ``only`` names one field and spares planning the others."""
     pages = with_nodes(spark.createDataFrame([(url, html)], "url STRING, html STRING"))
+    if only:
+        field = profile.field_expressions(SITE, bounded)[only]
+        return profile.with_blocks(pages).selectExpr(f"{field} AS {only}").first().asDict()
     return profile.profile_details(pages, SITE, bounded=bounded).first().asDict()
 
 

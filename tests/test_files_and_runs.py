@@ -108,6 +108,21 @@ def test_summary_files(spark, tmp_path):
     assert read("short") == [(5, 250, 0, datetime(2026, 1, 13, 22, 53, 44, 187084), None, None)]
     assert read("long") == [(5, 250, 0, datetime(2026, 1, 13, 22, 53, 44), 4, [2, 3])]
     assert read("bad") == [] and read("missing") == []
+    listed = state.listed_failures(state.read_summary(spark, str(tmp_path / "long.json")))
+    assert [r.page_num for r in listed.collect()] == [2, 3]
+
+
+def test_checkpoint_export(spark):
+    status = spark.createDataFrame(
+        [(0, 1, True, 5, AT), (1, 1, False, 0, AT), (1, 2, True, 4, AT), (2, 1, False, 0, None)], state.PAGE_STATUS
+    )
+    path = new_dir(spark, "checkpoint")
+    state.write_checkpoint(status, 100, path)
+    summary, failed = state.read_checkpoint(spark, path)
+    assert summary.collect() == [(2, 9, 100, AT, 2, None)]
+    assert [r.page_num for r in failed.collect()] == [2]
+    summary, failed = state.read_checkpoint(spark, path + "-none")
+    assert summary.count() == failed.count() == 0
 
 
 def test_saved_rows_files(spark, tmp_path):

@@ -13,7 +13,11 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# these hand back what they wrote, so their plan is a scan
+WRITTEN = {"list_run", "profile_run", "stream_distinct", "stream_ingest", "batch_files", "batch_files_packed"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITTEN))
 def test_no_pairwise_joins(spark, testdata, name):
     plan = plan_of(QUERIES[name](spark, f"{testdata}/sf0.001"))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

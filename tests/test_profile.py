@@ -16,7 +16,7 @@ def test_empty_page_has_all_columns(spark):
 
 
 def test_title_overrides_even_when_empty(spark):
-    assert profile_of(spark, "<h1> </h1>")["nama_sekolah"] == ""
+    assert profile_of(spark, "<h1> </h1>", only="nama_sekolah")["nama_sekolah"] == ""
 
 
 @pytest.mark.parametrize(
@@ -30,7 +30,7 @@ def test_title_overrides_even_when_empty(spark):
     ],
 )
 def test_identifier(spark, html, expected):
-    assert profile_of(spark, html.replace("{h}", SITE.registry_host))["npsn"] == expected
+    assert profile_of(spark, html.replace("{h}", SITE.registry_host), only="npsn")["npsn"] == expected
 
 
 @pytest.mark.parametrize(
@@ -45,7 +45,7 @@ def test_identifier(spark, html, expected):
     ],
 )
 def test_phone(spark, html, expected):
-    assert profile_of(spark, html)["telepon"] == expected
+    assert profile_of(spark, html, only="telepon")["telepon"] == expected
 
 
 MAIL = '<a href="mailto:a">a@b</a>'
@@ -64,7 +64,7 @@ MAIL = '<a href="mailto:a">a@b</a>'
     ],
 )
 def test_email(spark, html, expected):
-    assert profile_of(spark, html)["email"] == expected
+    assert profile_of(spark, html, only="email")["email"] == expected
 
 
 @pytest.mark.parametrize(
@@ -76,16 +76,16 @@ def test_email(spark, html, expected):
     ],
 )
 def test_website(spark, html, expected):
-    assert profile_of(spark, html)["website"] == expected
+    assert profile_of(spark, html, only="website")["website"] == expected
 
 
 def test_licence_from_the_menu_only_without_an_id(spark):
     html = '<a href="/sk.pdf"><span class="p-menu-item-label">Unduh SK Operasional</span></a>'
-    assert profile_of(spark, html)["url_sk_operasional"] == "/sk.pdf"
+    assert profile_of(spark, html, only="url_sk_operasional")["url_sk_operasional"] == "/sk.pdf"
     with_id = profile_of(spark, html, url="https://x/profil-sekolah/a-1")
     assert with_id["url_sk_operasional"] == SITE.document_base + "a-1.pdf"
     empty = '<a href=""><span class="p-menu-item-label">SK Operasional</span></a>'
-    assert profile_of(spark, empty)["url_sk_operasional"] is None
+    assert profile_of(spark, empty, only="url_sk_operasional")["url_sk_operasional"] is None
 
 
 def _statistics(pairs, extra=""):
@@ -137,9 +137,9 @@ def test_learning_items_need_both_parts(spark):
 
 def test_utilities_read_past_their_section_unless_bounded(spark):
     html = '<div><h2>Kurikulum</h2><b>Luas Tanah</b></div><div class="font-semibold">next</div>'
-    assert profile_of(spark, html)["luas_tanah"] == "next"
-    assert profile_of(spark, html)["kurikulum"] == "next"
-    assert profile_of(spark, html, bounded=True)["luas_tanah"] is None
+    assert profile_of(spark, html, only="luas_tanah")["luas_tanah"] == "next"
+    assert profile_of(spark, html, only="kurikulum")["kurikulum"] == "next"
+    assert profile_of(spark, html, bounded=True, only="luas_tanah")["luas_tanah"] is None
 
 
 FRAME = '<iframe src="https://m/?q=-6.5,106.7&z=1"></iframe>'
