@@ -493,7 +493,8 @@ def _crawl(spark, sf_dir):
 @query(
     f"""
     SELECT page_num, success, CAST(CASE WHEN success AND filled THEN n ELSE 0 END AS INTEGER) AS n_rows,
-           success AND filled AS ok, CASE WHEN NOT (success AND filled) THEN 'no rows' END AS error
+           success AND filled AS ok,
+           CASE WHEN NOT success THEN 'not loaded' WHEN NOT filled THEN 'no rows' END AS error
     FROM ({CRAWL})
     """
 )

@@ -72,7 +72,10 @@ def page_results(snapshots: DataFrame) -> DataFrame:
         "ok",
         "success",
         "n_rows",
-        F.when(~F.col("ok"), F.coalesce(F.col("parse_error"), F.lit("no rows"))).alias("error"),
+        F.expr(
+            "CASE WHEN ok THEN NULL WHEN success IS NOT TRUE THEN 'not loaded'"
+            " WHEN parse_error IS NOT NULL THEN parse_error ELSE 'no rows' END"
+        ).alias("error"),
         F.col("fetched_at").cast("timestamp").alias("ts"),
         "cards",
     )

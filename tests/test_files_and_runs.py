@@ -180,6 +180,15 @@ def test_run_with_retry(spark):
     assert published[0] == ("1", "N1", "-", "-") and len(published) == 4
 
 
+def test_every_failure_says_why(spark):
+    config = make_config(spark, pages=5)
+    runs.run_pass(spark, crawl(spark, (0, page(1), True), (1, page(2), False), (2, "<p>", True), (3, None, True)), config)
+    found = runs._results(spark, config).orderBy("page_num").collect()
+    assert [(r.page_num, r.ok, r.error) for r in found] == [
+        (0, True, None), (1, False, "not loaded"), (2, False, "no rows"), (3, False, "no html"), (4, False, "no snapshot"),
+    ]
+
+
 def test_cut_run_ends_like_an_uninterrupted_one(spark):
     all_pages = crawl(spark, *[(n, page(n * 10, n * 10 + 1), True) for n in range(5)])
     whole = runs.run_list(spark, all_pages, make_config(spark))

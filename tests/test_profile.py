@@ -164,7 +164,7 @@ def test_coordinates(spark, body, expected):
 
 
 def older(spark, html):
-    pages = with_nodes(spark.createDataFrame([("u", html)], "url STRING, html STRING"))
+    pages = with_nodes(spark.createDataFrame([("u", html)], "url STRING, html STRING").coalesce(1))
     return older_profile.older_details(pages).first().asDict()
 
 
