@@ -6,12 +6,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import encoding, packing
+from pagesift.llm import encoding, lines, packing, secret_scan
 from pagesift.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    rows = secret_scan.with_spans(documents, secret_scan.train(documents))
+    base = F.filter("secret_spans", lambda s: s["kind"] < 3)
+
+    def number(kind: int):
+        return F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return rows.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        number(3).alias("n_markov"),
+        F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("secret_spans")).alias("spans"),
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return packing.packed(documents, encoding.send_encoder(spark, documents, TOKENIZER))
@@ -28,5 +47,10 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op10_bpe_round_trip)}
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return lines.without_repeats(documents).select("doc_id", "text", "n_lines", "n_removed")
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_best_fit_packing, op9_line_dedup, op10_bpe_round_trip)}
 ORACLES: dict[str, str] = {}
