@@ -402,20 +402,24 @@ class Encoder:
         return b"".join(map(self.pieces.__getitem__, ids.tolist()))
 
 
-@lru_cache(maxsize=2)
-def _powers_cached(bits: int) -> np.ndarray:
+_BASE = 0x2545F4914F6CDD1D
+
+
+@lru_cache(maxsize=4)
+def _powers_cached(bits: int, base: int) -> np.ndarray:
     out = np.empty(1 << bits, np.uint64)
     out[0] = 1
     with np.errstate(over="ignore"):
-        step, filled = np.uint64(0x2545F4914F6CDD1D), 1
+        step, filled = np.uint64(base), 1
         while filled < len(out):
             out[filled : 2 * filled] = out[:filled] * step
             step, filled = step * step, 2 * filled
     return out
 
 
-def _powers(n: int) -> np.ndarray:
-    return _powers_cached(max(int(n - 1).bit_length(), 1))
+def _powers(n: int, inverse: bool = False) -> np.ndarray:
+    """At least ``n`` powers, modulo 2**64, of an odd number or of its inverse."""
+    return _powers_cached(max(int(n - 1).bit_length(), 1), pow(_BASE, -1, 1 << 64) if inverse else _BASE)
 
 
 def _ranges(sizes: np.ndarray) -> np.ndarray:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.session import new_dir, ship, stored
 
-__all__ = ["components", "new_dir", "ship", "stored", "strings", "read_table"]
+__all__ = ["arrow_rows", "components", "new_dir", "ship", "stored", "strings", "read_table"]
 
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,21 @@ def strings(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+@contextmanager
+def arrow_rows(spark, rows: int):
+    """Arrow batches of at most ``rows`` rows for jobs that run inside; the caller's setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` for every node of ``links``; the component is its smallest node.
 

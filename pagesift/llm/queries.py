@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import encoding, lines, packing, secret_scan
+from pagesift.llm import cover_tree, encoding, jaccard, lines, packing, secret_scan, segment_search
 from pagesift.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.linked_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return packing.packed(documents, encoding.send_encoder(spark, documents, TOKENIZER))
@@ -47,10 +55,67 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(read_table(spark, sf_dir, "documents"), jaccard.Similarity(words=3, share=90))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return lines.without_repeats(documents).select("doc_id", "text", "n_lines", "n_removed")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_best_fit_packing, op9_line_dedup, op10_bpe_round_trip)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_embedding_near_dedup,
+        op3_exact_top_k,
+        op4_best_fit_packing,
+        op7_jaccard_join,
+        op9_line_dedup,
+        op10_bpe_round_trip,
+    )
+}
+
+_FINITE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+ORACLES: dict[str, str] = {
+    "op2_embedding_near_dedup": f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), w AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM w a JOIN w b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.95
+), reach AS (
+  SELECT vec_id AS id, vec_id AS c FROM embeddings
+  UNION SELECT l.b, r.c FROM reach r JOIN links l ON r.id = l.a
+), least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
+SELECT e.vec_id, count(l.b) AS n_links, any_value(m.c) AS component_id, e.vec_id = any_value(m.c) AS kept
+FROM embeddings e JOIN least m ON m.id = e.vec_id LEFT JOIN links l ON l.a = e.vec_id GROUP BY e.vec_id
+""",
+    "op3_exact_top_k": f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings WHERE vec_id IS NOT NULL AND {_FINITE}
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+""",
+    "op7_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+both_have AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS k
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n) GROUP BY 1, 2),
+links AS (SELECT a, b FROM both_have WHERE 100 * k >= 90 * (n + m - k)),
+reach AS (SELECT doc_id AS id, doc_id AS c FROM s UNION SELECT l.b, r.c FROM reach r JOIN links l ON r.id = l.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.c) AS component_id FROM s JOIN reach r ON r.id = s.doc_id GROUP BY ALL
+""",
+}

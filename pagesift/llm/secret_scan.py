@@ -97,9 +97,9 @@ def _codes(token: Column) -> Column:
 
 def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE_DOCUMENTS, smoothing: float = 0.5) -> Model:
     """Models from labelled samples: the strings that the patterns find anywhere (random), and the key-character runs
-    of eight or more in at most ``sample`` documents, without those strings (ordinary).
+    of eight or more in a sample of about ``sample`` documents, without those strings (ordinary).
 
-    Only counts of character pairs leave the tasks, at most 6,400 rows for each label.
+    The sample is taken by the hash of the text, so it is spread over all files and never meets in one task. Only counts of character pairs leave the tasks, at most 6,400 rows for each label.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     any_pattern = "|".join((ASSIGN, rf"AKIA[A-Z0-9]{{{ACCESS_LEAST - 4},}}", rf"[0-9a-f]{{{HEX_LEAST},}}"))
@@ -108,7 +108,8 @@ def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE_DOCUMEN
     random = hits.select(
         F.lit(True).alias("random"), F.explode(F.transform(F.concat(*found.values()), lambda s: s["value"])).alias("s")
     )
-    some = documents.select(whole.alias("t")).where("t <> ''").limit(sample)
+    share = max(1, documents.count() // sample)
+    some = documents.select(whole.alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(share)) == 0)
     plain = some.select(
         F.lit(False).alias("random"),
         F.explode(F.regexp_extract_all(F.regexp_replace("t", any_pattern, " "), F.lit(r"[A-Za-z0-9+/_=-]{8,}"), F.lit(0))).alias("s"),
