@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import cover_tree, encoding, jaccard, lines, packing, secret_scan, segment_search
+from pagesift.llm import article, cover_tree, encoding, jaccard, language, lines, packing, quality, secret_scan, segment_search
 from pagesift.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,10 +55,27 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
+    learnable = F.col("doc_id").isNotNull() & ~held_out
+    found = language.with_language(documents, language.learn(documents, learnable))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return quality.with_quality(documents, quality.train(documents)).select("doc_id", "quality_score", "kept")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_documents(read_table(spark, sf_dir, "documents"), jaccard.Similarity(words=3, share=90))
 
 
+def op8_article_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return article.with_main_text(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return lines.without_repeats(documents).select("doc_id", "text", "n_lines", "n_removed")
@@ -71,7 +88,10 @@ QUERIES = {
         op2_embedding_near_dedup,
         op3_exact_top_k,
         op4_best_fit_packing,
+        op5_language_id,
+        op6_quality_classifier,
         op7_jaccard_join,
+        op8_article_text,
         op9_line_dedup,
         op10_bpe_round_trip,
     )
