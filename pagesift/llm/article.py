@@ -45,6 +45,11 @@ LABELLED = (
     (44, 0.0, 51, 0.0, 39, 0.0, 0, 0, 0, 0, 1), (28, 0.1, 3, 1.0, 46, 0.0, 0, 0, 0, 0, 1), (65, 0.2, 40, 0.0, 2, 1.0, 0, 0, 0, 0, 1),
     (19, 0.0, 6, 0.0, 33, 0.0, 0, 0, 0, 0, 1), (7, 0.0, 41, 0.0, 36, 0.0, 0, 0, 0, 0, 1), (4, 0.0, 30, 0.0, 29, 0.1, 0, 0, 0, 0, 1),
     (8, 0.0, 2, 1.0, 52, 0.0, 0, 0, 0, 1, 1), (5, 0.0, 34, 0.0, 61, 0.0, 0, 0, 0, 1, 1), (16, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
+    (22, 0.0, 3, 0.0, 22, 0.0, 0, 0, 0, 0, 1), (22, 0.0, 22, 0.0, 1, 1.0, 0, 0, 0, 0, 1), (18, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0, 1),
+    (31, 0.1, 5, 0.5, 4, 1.0, 0, 0, 0, 0, 1), (27, 0.0, 9, 0.0, 8, 0.0, 0, 0, 0, 0, 1), (60, 0.0, 12, 0.0, 10, 0.2, 0, 0, 0, 0, 1),
+    (40, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 1), (75, 0.2, 3, 0.0, 2, 0.0, 0, 0, 0, 0, 1), (24, 0.0, 55, 0.0, 6, 0.0, 0, 0, 0, 0, 1),
+    (140, 0.0, 4, 1.0, 200, 0.0, 0, 0, 0, 0, 1), (52, 0.1, 70, 0.1, 64, 0.0, 0, 0, 0, 0, 1), (33, 0.0, 5, 0.0, 44, 0.0, 0, 0, 0, 0, 1),
+    (3, 0.0, 2, 1.0, 22, 0.0, 0, 0, 0, 1, 1), (4, 0.0, 26, 0.0, 30, 0.0, 0, 0, 0, 1, 1), (6, 0.0, 5, 0.0, 70, 0.0, 0, 0, 0, 1, 1),
     (35, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (22, 0.0, 18, 0.0, 4, 0.0, 0, 0, 0, 0, 1), (90, 0.3, 1, 1.0, 70, 0.1, 0, 0, 0, 0, 1),
     # pages without an article: link lists, menus without a name, lone short lines
     (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0, 0), (18, 0.9, 4, 1.0, 12, 0.8, 0, 0, 0, 0, 0), (3, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0, 0),

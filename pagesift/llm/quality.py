@@ -27,7 +27,7 @@ from pagesift.llm.common import ship
 SAMPLE = 4_000
 BUCKETS = 4_096
 KEEP = 0.5
-LABELLERS = 7
+LABELLERS = 8
 _UPPER, _LOWER, _DIGIT, _BLANK, _FOREIGN = range(128, 133)
 
 
@@ -73,13 +73,14 @@ def measures(text: str) -> tuple[np.ndarray, dict[str, float]]:
         "again": sum(a == b for a, b in zip(words, words[1:])) / n,
         "bars": int((shape == ord("|")).sum()) / n,
         "stops": sum(w[-1] == "." for w in words) / n,
+        "tails": sum(not (w[-1].isalnum() or w[-2:-1].isalnum() or len(w) == 1) for w in words) / n,
         "top": max(counts.values(), default=0) / n,
         "distinct": len(counts) / n,
     }
 
 
 def votes(m: dict[str, float]) -> tuple[int, ...]:
-    """Vote of each labeller: 1 good, 0 bad, 2 nothing. Six look for one kind of junk each and are silent otherwise, as
+    """Vote of each labeller: 1 good, 0 bad, 2 nothing. Seven look for one kind of junk each and are silent otherwise, as
     a text free of one kind may well be of another; the last one looks for sentences."""
     long = m["words"] >= 20
 
@@ -87,7 +88,8 @@ def votes(m: dict[str, float]) -> tuple[int, ...]:
         return 0 if holds else 2
 
     return (
-        bad(m["signs"] >= 0.14),
+        bad(m["signs"] >= 0.14 and long),
+        bad(m["tails"] >= 0.3),
         bad(m["upper"] >= 0.4 and m["words"] >= 5),
         bad(m["again"] >= 0.2 and long),
         bad(m["bars"] >= 0.1),
@@ -137,7 +139,7 @@ def features(shape: np.ndarray, m: dict[str, float]) -> tuple[np.ndarray, np.nda
     place, count = np.unique(h.astype(np.int64), return_counts=True)
     value = np.sqrt(count / max(len(h), 1))
     extra = []
-    for k, name in enumerate(("signs", "upper", "again", "bars", "top", "distinct")):
+    for k, name in enumerate(("signs", "tails", "upper", "again", "bars", "top", "distinct")):
         extra.append((0x51ED27 * (16 * k + int(10 * min(m[name], 1.0))) + 977) % BUCKETS)
     return np.concatenate([place, extra]).astype(np.int64), np.concatenate([value, np.full(len(extra), 0.3)])
 

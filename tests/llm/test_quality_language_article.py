@@ -35,7 +35,7 @@ def test_quality_of_odd_rows(spark):
 def test_estimated_accuracies():
     rng = np.random.default_rng(5)
     truth = rng.random(6000) < 0.8
-    right = [0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.9]
+    right = [0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.9, 0.8]
     counts = {}
     codes = []
     for t in truth:
