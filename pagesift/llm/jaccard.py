@@ -12,7 +12,11 @@ of differing shingles, which bounds the overlap from above. Survivors are compar
 
 *Without all pairs.* Equal sets are one class. In a first round each class of a tile is compared with the tile's first
 class only. What is linked then is one component; a second round compares pairs of different components only, in tiles
-cut into squares of bounded size. Every link is thus either verified or lies within a component already.
+cut into squares of bounded size. Every link is thus either verified or lies within a component already. A tile is also
+cut where, in order of size, two neighbours differ too much in size to be linked.
+
+Signatures travel with the candidates; shingles are made again from the texts, and only for documents whose candidates
+pass the signatures. A bitmap of fixed size over their ids keeps the other texts out of the shuffle.
 
 Defined results: a null or empty text, or one without words, has an empty set and is linked with nothing. A text with fewer
 words than a shingle is one shingle. Rows with equal ``doc_id`` are one document with several texts: their classes are
@@ -154,8 +158,9 @@ def class_of(shingles: np.ndarray) -> int:
         return int(_mix(np.array([a ^ (b * np.uint64(3)) ^ np.uint64(len(shingles))]))[0].view(np.int64))
 
 
+_NO_KEYS = np.zeros(0, np.int64)
 _SETS = "doc_id long, n long, cls long, keys array<long>, bits binary"
-_ARRAYS = "cls long, n long, bits binary, shingles array<long>"
+_ARRAYS = "cls long, shingles array<long>"
 
 
 def _batches(batches, size: int = 1_000):
@@ -166,8 +171,14 @@ def _batches(batches, size: int = 1_000):
 
 def _sets(how: Similarity):
     def run(batches):
+        seen: set[int] = set()  # classes of this task: only the first row of each brings its keys
         for batch in _batches(batches):
-            rows = [(len(s), class_of(s) if len(s) else None, part_keys(s, how).view(np.int64), signature(s)) for s in shingle_sets(strings(batch.column("_text")), how.words)]
+            rows = []
+            for s in shingle_sets(strings(batch.column("_text")), how.words):
+                cls = class_of(s) if len(s) else None
+                new = cls is not None and cls not in seen
+                seen.add(cls)
+                rows.append((len(s), cls, part_keys(s, how).view(np.int64) if new else _NO_KEYS, signature(s) if new else None))
             keys = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(r[2]) for r in rows)]), pa.int32()), pa.array(np.concatenate([r[2] for r in rows])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), keys, pa.array([r[3] for r in rows], pa.binary())],
@@ -184,67 +195,107 @@ def _arrays(how: Similarity):
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.binary()), lists],
-                names=["cls", "n", "bits", "shingles"],
+                [pa.array([class_of(s) for s in sets], pa.int64()), lists],
+                names=["cls", "shingles"],
             )
 
     return run
 
 
-_TILED = pa.schema([("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("first", pa.int64())])
+_TILED = pa.schema([("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("first", pa.int64()), ("m", pa.int64())])
 
 
-def _runs(batches):
-    """Rows sorted by key and class -> those whose key occurs more than once, with the first class of the key."""
-    last: tuple[int, int, int] | None = None  # key, first class and its size, of the run that is open
-    alone = False  # whether that run has had one row only, which has not been put out
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, cls, n = (np.asarray(batch.column(c)) for c in ("key", "cls", "n"))
-        if last is not None and alone and key[0] == last[0]:
-            key, cls, n = (np.concatenate([[v], x]) for v, x in zip(last, (key, cls, n)))
-        goes_on = last is not None and not alone and key[0] == last[0]
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(begin, len(key)))
-        first = cls[begin].copy()
-        many = size > 1
-        if goes_on:
-            first[0], many[0] = last[1], True
-        out = np.repeat(many, size)
-        if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(cls[out]), pa.array(n[out]), pa.array(np.repeat(first, size)[out])], schema=_TILED)
-        alone = not many[-1]
-        last = (int(key[-1]), int(first[-1]), int(n[begin[-1]]))
+def _runs(how: Similarity):
+    """Rows sorted by key, size and class -> those that have a neighbour of their key and of a fitting size, with the
+    first class of such a run and its size. A class that comes twice under a key counts once."""
+
+    def run(batches):
+        last = None  # key, class, size, first class and its size of the last row, and whether it has been put out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, cls, n = (np.asarray(batch.column(c)) for c in ("key", "cls", "n"))
+            if last is not None:
+                key, cls, n = (np.concatenate([[v], x]) for v, x in zip(last, (key, cls, n)))
+            fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])])
+            key, cls, n = key[fresh], cls[fresh], n[fresh]
+            begin = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (how.share * n[1:] > how.of * n[:-1])]))
+            size = np.diff(np.append(begin, len(key)))
+            first, m, many = cls[begin].copy(), n[begin].copy(), size > 1
+            if last is not None:
+                first[0], m[0] = last[3], last[4]
+                many[0] |= last[5]
+            out = np.repeat(many, size)
+            first_of, m_of = np.repeat(first, size), np.repeat(m, size)
+            last_out = bool(out[-1])
+            if last is not None and last[5]:
+                out[0] = False  # has been put out with the batch before
+            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (key, cls, n, first_of, m_of)], schema=_TILED)
+            last = (int(key[-1]), int(cls[-1]), int(n[-1]), int(first_of[-1]), int(m_of[-1]), last_out)
+
+    return run
 
 
 def _bound_holds(xor_bits: np.ndarray, total: np.ndarray, how: Similarity) -> np.ndarray:
     return xor_bits <= (how.of - how.share) * total // (how.of + how.share)
 
 
+def _sift(how: Similarity):
+    """Pairs with both signatures -> those that the signatures do not rule out."""
+
+    def run(batches):
+        for batch in batches:
+            total = np.asarray(batch.column("n_a")) + np.asarray(batch.column("n_b"))
+            good = np.zeros(batch.num_rows, bool)
+            for k, (bits_a, bits_b) in enumerate(zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())):
+                maps = [np.frombuffer(v, np.uint64)[None, :] for v in (bits_a, bits_b)]
+                size = min(m.shape[1] for m in maps)
+                good[k] = int(np.bitwise_count(fold(maps[0], size) ^ fold(maps[1], size)).sum()) <= how.differing(int(total[k]))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
 def _verify(how: Similarity):
+    """Pairs with both sorted arrays -> those that are linked."""
+
     def run(batches):
         for batch in batches:
-            rows = {c: batch.column(c).to_pylist() for c in ("a", "b", "bits_a", "bits_b")}
             sides = [batch.column(c) for c in ("shingles_a", "shingles_b")]
             flat = [np.asarray(s.values) for s in sides]
             offsets = [np.asarray(s.offsets) for s in sides]
-            good = []
-            for k, (bits_a, bits_b) in enumerate(zip(rows["bits_a"], rows["bits_b"])):
+            good = np.zeros(batch.num_rows, bool)
+            for k in range(batch.num_rows):
                 x, y = (f[o[k] : o[k + 1]] for f, o in zip(flat, offsets))
-                total = len(x) + len(y)
-                maps = [np.frombuffer(v, np.uint64)[None, :] for v in (bits_a, bits_b)]
-                size = min(m.shape[1] for m in maps)
-                apart = int(np.bitwise_count(fold(maps[0], size) ^ fold(maps[1], size)).sum())
-                if apart > how.differing(total) or not how.linked(min(len(x), len(y)), total):
-                    continue
-                if how.linked(len(np.intersect1d(x, y, assume_unique=True)), total):
-                    good.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array([rows[c][k] for k in good], pa.int64()) for c in ("a", "b")], names=["a", "b"])
+                good[k] = how.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
 
     return run
 
 
+FILTER_BITS = 22
+
+
+def _some_of(documents: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows of ``documents`` whose ``key`` is in ``wanted``: first by a bitmap of 2 ** 22 bits, which the driver hands to
+    all tasks whatever the number of keys, then exactly. A full bitmap only means that more rows take the join."""
+    slot = F.shiftrightunsigned(F.xxhash64(key), 64 - FILTER_BITS)
+    cells = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS INT))")).alias("bits"))
+    held = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for r in cells.toLocalIterator():
+        held[r.word] = r.bits
+    flags = documents.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches):
+        for batch in batches:
+            at = np.asarray(batch.column("_slot"))
+            hit = (flags.value[at >> 6] >> (at & 63)) & 1
+            yield batch.filter(pa.array(hit.astype(bool)))
+
+    near = documents.withColumn("_slot", slot)
+    return near.mapInArrow(run, near.schema).drop("_slot").join(wanted.select(key), key, "left_semi")
+
+
 def _squares(how: Similarity):
     """Rows sorted by tile -> pairs of classes of different components that size and signature do not rule out."""
 
@@ -273,9 +324,9 @@ def _squares(how: Similarity):
         held: dict[str, list] = {}
         last = None
         for batch in batches:
-            columns = {c: batch.column(c).to_pylist() for c in ("key", "i", "j", "part", "cls", "comp", "n", "bits")}
+            columns = {c: batch.column(c).to_pylist() for c in ("key", "first", "i", "j", "part", "cls", "comp", "n", "bits")}
             found_a, found_b = [], []
-            tiles = list(zip(columns["key"], columns["i"], columns["j"]))
+            tiles = list(zip(columns["key"], columns["first"], columns["i"], columns["j"]))
             start = 0
             while start < len(tiles):
                 end = start
@@ -310,38 +361,42 @@ def linked_documents(documents: DataFrame, how: Similarity = Similarity(), text:
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
     sets = written(source.mapInArrow(_sets(how), _SETS), "shingle-sets")
     full = sets.where("n > 0")
-    classes = full.groupBy("cls").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("doc_id").alias("doc_id"))
-    keyed = classes.select(F.explode("keys").alias("key"), "cls", "n")
-    tiles = written(keyed.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(_runs, "key long, cls long, n long, first long"), "tiles", 50_000)
-    wanted = tiles.select("cls").distinct()
-    # the texts behind these classes, one each
+    keyed = full.select(F.explode("keys").alias("key"), "cls", "n")
+    sorted_keys = keyed.repartition("key").sortWithinPartitions("key", "n", "cls")
+    tiles = written(sorted_keys.mapInArrow(_runs(how), "key long, cls long, n long, first long, m long"), "tiles", 50_000)
+    signatures = full.where("bits IS NOT NULL").select("cls", "n", "bits")
+    signatures = written(signatures.join(tiles.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "signatures")
     holder = F.coalesce("doc_id", F.lit(2**63 - 1))  # rows without id stand behind classes that no other row has
-    holders = full.join(wanted, "cls").groupBy("cls").agg(F.min(holder).alias("holder")).select("holder").distinct()
-    again = source.withColumn("holder", holder).join(holders, "holder", "left_semi").select("doc_id", "_text").mapInArrow(_arrays(how), _ARRAYS)
-    arrays = again.join(wanted, "cls", "left_semi").groupBy("cls").agg(*(F.first(c).alias(c) for c in ("n", "bits", "shingles")))
-    arrays = written(arrays, "shingle-arrays", 1_000)
 
     def verified(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.inline(F.array(F.struct(F.col("a").alias("cls")), F.struct(F.col("b").alias("cls"))))).distinct()
+        holders = full.join(wanted, "cls").groupBy("cls").agg(F.min(holder).alias("holder")).select("holder").distinct()
+        holders = written(holders, "holders")
+        again = _some_of(source.withColumn("holder", holder), holders, "holder").select("doc_id", "_text").mapInArrow(_arrays(how), _ARRAYS)
+        arrays = again.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+        arrays = written(arrays, "shingle-arrays", 1_000)
         for side in ("a", "b"):
-            own = arrays.select(F.col("cls").alias(side), F.col("bits").alias(f"bits_{side}"), F.col("shingles").alias(f"shingles_{side}"))
-            pairs = pairs.join(own, side)
+            pairs = pairs.join(arrays.select(F.col("cls").alias(side), F.col("shingles").alias(f"shingles_{side}")), side)
         return written(pairs.mapInArrow(_verify(how), "a long, b long"), "links", 500)
 
-    fits = (F.least("n", "m") * how.of >= F.greatest("n", "m") * how.share) & (F.col("cls") != F.col("first"))
-    sizes = arrays.select(F.col("cls").alias("first"), F.col("n").alias("m"))
-    pairs = tiles.select("cls", "first", "n").distinct().join(sizes, "first").where(fits)
-    links = verified(pairs.select(F.col("first").alias("a"), F.col("cls").alias("b")))
+    fits = (F.col("m") * how.of >= F.col("n") * how.share) & (F.col("cls") != F.col("first"))
+    pairs = tiles.where(fits).select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(signatures.select(F.col("cls").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    links = verified(written(pairs.mapInArrow(_sift(how), "a long, b long"), "pairs"))
 
     so_far = components(links).select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-    labelled = tiles.select("key", "cls", "n").join(so_far, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    mixed = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("cls").alias("held")).where("low < high")
-    rest = labelled.join(mixed.select("key", F.ceil(F.col("held") / TILE).cast("int").alias("squares")), "key")
+    labelled = tiles.select("key", "first", "cls", "n").join(so_far, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    mixed = labelled.groupBy("key", "first").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("cls").alias("held")).where("low < high")
+    # where the first class is linked with none of a tile's others and the tile has no more, all has been compared
+    rest = labelled.join(mixed.where("held > 2").select("key", "first", F.ceil(F.col("held") / TILE).cast("int").alias("squares")), ["key", "first"])
     rest = rest.withColumn("part", F.pmod(F.hash("cls"), F.col("squares")))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("squares") - 1)))
     rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other", "squares")
-    rest = rest.join(arrays.select("cls", "bits"), "cls").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    tile = ["key", "first", "i", "j"]
+    rest = rest.join(signatures.select("cls", "bits"), "cls").repartition(*tile).sortWithinPartitions(*tile)
     second = written(rest.mapInArrow(_squares(how), "a long, b long"), "pairs", 4_000)
-    more = verified(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    more = verified(written(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
 
     # rows of one doc_id are one document
     spread = full.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z")
