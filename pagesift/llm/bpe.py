@@ -23,8 +23,8 @@ from pagesift.llm.lexicon import compile_lexicon, look_up, map_arrays, write_arr
 
 OTHER, LETTER, NUMBER, SPACE, BREAK = range(5)
 LONG = 200  # bytes of a word beyond which merges go through a heap
-CHUNK = 3_000_000  # characters that are handled at once
-REMEMBERED = 400_000  # merged words that a worker keeps before it starts anew
+CHUNK = 2_000_000  # characters that are handled at once
+REMEMBERED = 300_000  # merged words that a worker keeps before it starts anew
 _NEVER = np.int32(np.iinfo(np.int32).max)
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 _SLOT_BITS = 19

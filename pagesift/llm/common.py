@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -10,7 +11,16 @@ from pyspark.sql import functions as F
 
 from pagesift.session import new_dir, ship, stored
 
-__all__ = ["arrow_rows", "components", "new_dir", "ship", "stored", "strings", "read_table"]
+__all__ = ["arrow_rows", "components", "new_dir", "ship", "stored", "strings", "read_table", "tidy"]
+
+
+def tidy() -> None:
+    """Give freed memory of a Python worker back to the machine; idle workers then hold little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it keeps
+        pass
 
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:

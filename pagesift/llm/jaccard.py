@@ -10,9 +10,9 @@ that, and a set with more empty parts than these puts them out as well, so nothi
 *Checks.* A signature is a bitmap in which every shingle flips one bit; the number of differing bits is at most the number
 of differing shingles, which bounds the overlap from above. Survivors are compared by intersecting sorted arrays.
 
-*Without all pairs.* Equal sets are one class. In a first round each class of a tile is compared with the tile's first
-class only. What is linked then is one component; a second round compares pairs of different components only, in tiles
-cut into squares of bounded size. Every link is thus either verified or lies within a component already. A tile is also
+*Without all pairs.* Equal sets are one class. In a first rounds each class is compared with at most two of the first
+classes of its tiles, which links most of a group at a cost that follows its size. What is linked then is one component;
+the last round compares pairs of different components only, in tiles cut into squares of bounded size. Every link is thus either verified or lies within a component already. A tile is also
 cut where, in order of size, two neighbours differ too much in size to be linked.
 
 Signatures travel with the candidates; shingles are made again from the texts, and only for documents whose candidates
@@ -34,10 +34,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagesift.llm.bpe import _powers
-from pagesift.llm.common import arrow_rows, components, new_dir, ship, strings
+from pagesift.llm.common import arrow_rows, components, new_dir, ship, strings, tidy
 
 SPARE = 2
 TILE = 2_048
+LINEAR_ROUNDS = 2
 CHUNK = 2_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -180,6 +181,7 @@ def _sets(how: Similarity):
                 seen.add(cls)
                 rows.append((len(s), cls, part_keys(s, how).view(np.int64) if new else _NO_KEYS, signature(s) if new else None))
             keys = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(r[2]) for r in rows)]), pa.int32()), pa.array(np.concatenate([r[2] for r in rows])))
+            tidy()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), keys, pa.array([r[3] for r in rows], pa.binary())],
                 names=["doc_id", "n", "cls", "keys", "bits"],
@@ -379,17 +381,30 @@ def linked_documents(documents: DataFrame, how: Similarity = Similarity(), text:
             pairs = pairs.join(arrays.select(F.col("cls").alias(side), F.col("shingles").alias(f"shingles_{side}")), side)
         return written(pairs.mapInArrow(_verify(how), "a long, b long"), "links", 500)
 
+    def sifted(pairs: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(signatures.select(F.col("cls").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+        return written(pairs.mapInArrow(_sift(how), "a long, b long"), "pairs")
+
+    # linear rounds: a class tries at most two of the first classes of its tiles, of those it is not yet linked with
     fits = (F.col("m") * how.of >= F.col("n") * how.share) & (F.col("cls") != F.col("first"))
-    pairs = tiles.where(fits).select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
-    for side in ("a", "b"):
-        pairs = pairs.join(signatures.select(F.col("cls").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
-    links = verified(written(pairs.mapInArrow(_sift(how), "a long, b long"), "pairs"))
+    stars = written(tiles.where(fits).select("cls", "first").distinct(), "stars")
+    links = None
+    for turn in range(LINEAR_ROUNDS):
+        left = stars
+        if links is not None:
+            left = left.join(so_far, "cls", "left").join(so_far.toDF("first", "other"), "first", "left")
+            left = left.where(F.coalesce("comp", "cls") != F.coalesce("other", "first"))
+        rank = F.struct(F.col("first") if turn == 0 else F.xxhash64("first", F.lit(turn)), F.col("first").alias("f"))
+        tried = left.groupBy("cls").agg(F.min(rank).alias("x"), F.max(rank).alias("y"))
+        tried = tried.select(F.col("cls").alias("b"), F.explode(F.array_distinct(F.array("x.f", "y.f"))).alias("a"))
+        found = verified(sifted(tried.select("a", "b")))
+        links = found if links is None else links.unionByName(found)
+        so_far = components(links).select(F.col("node").alias("cls"), F.col("component").alias("comp"))
 
-    so_far = components(links).select(F.col("node").alias("cls"), F.col("component").alias("comp"))
     labelled = tiles.select("key", "first", "cls", "n").join(so_far, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     mixed = labelled.groupBy("key", "first").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("cls").alias("held")).where("low < high")
-    # where the first class is linked with none of a tile's others and the tile has no more, all has been compared
-    rest = labelled.join(mixed.where("held > 2").select("key", "first", F.ceil(F.col("held") / TILE).cast("int").alias("squares")), ["key", "first"])
+    rest = labelled.join(mixed.select("key", "first", F.ceil(F.col("held") / TILE).cast("int").alias("squares")), ["key", "first"])
     rest = rest.withColumn("part", F.pmod(F.hash("cls"), F.col("squares")))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("squares") - 1)))
     rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other", "squares")

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.common import new_dir
+from pagesift.llm.common import new_dir, tidy
 from pagesift.llm.encoding import encoder_of
 
 CAPACITY = 1024
@@ -112,6 +112,7 @@ def _first_round(encoder: str, capacity: int, end_id: int, slack: int) -> Callab
                     raw = np.concatenate([ids, end]).astype("<u4").tobytes()
                     for piece, (start, length) in enumerate(pieces_of(len(ids) + 1, capacity)):
                         rows.append((doc_id, piece, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)])))
+                tidy()
                 if len(rows) >= FLUSH:
                     yield packed()
         if rows:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesift.llm.bpe import LETTER, NUMBER, SPACE, character_classes
-from pagesift.llm.common import ship
+from pagesift.llm.common import ship, tidy
 
 SAMPLE = 4_000
 BUCKETS = 4_096
@@ -163,6 +163,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 300, dec
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        tidy()
         codes = [code_of(votes(measures(t)[1])) for t in batch.column("_text").to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int32())], names=["code"])
 
@@ -204,7 +205,7 @@ def with_quality(documents: DataFrame, model: Model, text: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = model.array().astype(np.float64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in (whole.slice(k, 1_000) for k in range(0, whole.num_rows, 1_000))):
             scores = []
             for t in batch.column(text).to_pylist():
                 if not t or not t.strip():
@@ -212,6 +213,7 @@ def with_quality(documents: DataFrame, model: Model, text: str = "text") -> Data
                     continue
                 place, value = features(*measures(t))
                 scores.append(float(1 / (1 + np.exp(-np.clip(w[place] @ value + w[-1], -500, 500)))))
+            tidy()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(scores, pa.float64()), pa.array([s >= KEEP for s in scores])], names=schema.names)
 
     return documents.mapInArrow(run, schema)
