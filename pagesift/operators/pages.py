@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # page numbers are INT, so there are at most 32,768 blocks
 BLOCK_BITS = 16
+NO_ROWS = "no rows"
 
 
 def block_of(page_num: Column) -> Column:
@@ -23,8 +24,17 @@ def with_outcome(results: DataFrame) -> DataFrame:
 
 
 def until_empty_page(results: DataFrame) -> DataFrame:
-    """Pages before the first one that was read and held nothing; failures do not stop the run."""
-    empty = results.where(F.col("success") & (F.col("n_rows") == 0))
+    """Pages before the first one that was read and held nothing; failures do not stop the run.
+
+    A page that was loaded but could not be parsed is a failure, so it does not stop a run either. ``results`` has one
+    row per page, its latest attempt.
+    """
+    read = F.col("success")
+    if "parse_error" in results.columns:
+        read = read & F.col("parse_error").isNull()
+    if "error" in results.columns:
+        read = read & (F.col("error") == NO_ROWS)
+    empty = results.where(read & (F.col("n_rows") == 0))
     stop = empty.agg(F.coalesce(F.min("page_num"), F.lit(2**31 - 1)).alias("stop"))
     return results.where(F.col("page_num") < stop.select("stop").scalar())
 

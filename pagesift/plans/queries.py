@@ -744,11 +744,11 @@ def row_alignment(spark, sf_dir):
 
 @query(
     f"""
-    SELECT {SUPPLIER_URL} AS url, CAST(n_lines AS INTEGER) AS guru, CAST(n_a AS INTEGER) AS siswa_laki,
-           CAST(n_n AS INTEGER) AS siswa_perempuan, CAST(max_part AS INTEGER) AS rombongan_belajar,
-           CAST(quantity AS INTEGER) AS daya_tampung, CAST(n_o AS INTEGER) AS ruang_kelas,
-           CAST(n_f AS INTEGER) AS laboratorium,
-           CASE WHEN s_acctbal >= 2000 THEN CAST(max_line AS INTEGER) END AS perpustakaan,
+    SELECT {SUPPLIER_URL} AS url, CAST(n_lines AS BIGINT) AS guru, CAST(n_a AS BIGINT) AS siswa_laki,
+           CAST(n_n AS BIGINT) AS siswa_perempuan, CAST(max_part AS BIGINT) AS rombongan_belajar,
+           CAST(quantity AS BIGINT) AS daya_tampung, CAST(n_o AS BIGINT) AS ruang_kelas,
+           CAST(n_f AS BIGINT) AS laboratorium,
+           CASE WHEN s_acctbal >= 2000 THEN CAST(max_line AS BIGINT) END AS perpustakaan,
            TRY_CAST(n_lines || '.' || n_a % 10 AS DOUBLE) AS rasio_siswa_rombel,
            TRY_CAST(n_o || '.' || n_f % 10 AS DOUBLE) AS rasio_rombel_ruang_kelas,
            CASE WHEN s_acctbal >= 0 THEN CAST(n_lines AS DOUBLE) END AS rasio_siswa_guru,
@@ -792,7 +792,7 @@ def saved_rows_round_trip(spark, sf_dir):
 @query(
     """
     SELECT CAST(max(event_id) AS INTEGER) AS last_page,
-           CAST(sum(CASE WHEN event_type <> 'error' THEN user_id ELSE 0 END) AS INTEGER) AS processed_count,
+           CAST(sum(CASE WHEN event_type <> 'error' THEN user_id ELSE 0 END) AS BIGINT) AS processed_count,
            549894 AS total_count, max(ts) AS timestamp,
            CAST(count(*) FILTER (event_type <> 'error') AS INTEGER) AS processed_pages,
            CAST(count(*) FILTER (event_type = 'error') AS INTEGER) AS n_failed,

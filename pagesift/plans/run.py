@@ -132,8 +132,13 @@ def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> in
 
 
 def collected_rows(spark: SparkSession, config: RunConfig) -> DataFrame:
-    """One row per card of all pages read so far, with ``page_num`` and ``pos``."""
+    """One row per card of all pages, with ``page_num`` and ``pos``; of each page the latest attempt counts.
+
+    A page whose latest attempt failed gives no rows, as in the totals.
+    """
     results = _results(spark, config)
+    newest = _status(results).select("page_num", "attempt")
+    results = results.join(newest, ["page_num", "attempt"], "left_semi")
     if config.stop_at_empty_page:
         results = pages.until_empty_page(results)
     return cd.card_rows(results.where("ok"), "page_num")

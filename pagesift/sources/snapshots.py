@@ -25,12 +25,12 @@ def read_pages(spark: SparkSession, path: str, *columns: str, key: str = "page_i
 
 
 def read_html_files(spark: SparkSession, path: str, pattern: str = "*.html") -> DataFrame:
-    """Saved pages as files, one row per file: ``url`` is the file's path."""
+    """Saved pages as files, one row per file: ``url`` is the file's path. Bytes that are not UTF-8 become U+FFFD."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
     )
     return files.select(
         F.col("path").alias("url"),
         F.col("modificationTime").alias("fetched_at"),
-        F.decode(F.col("content"), "UTF-8").alias("html"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("html"),
     )

@@ -18,7 +18,7 @@ PAGE_STATUS = (
 SUMMARY = (
     T.StructType()
     .add("last_page", T.IntegerType())
-    .add("processed_count", T.IntegerType())
+    .add("processed_count", T.LongType())
     .add("total_count", T.IntegerType())
     .add("timestamp", T.TimestampNTZType())
     .add("processed_pages", T.IntegerType())
@@ -80,7 +80,7 @@ def summary_of(status: DataFrame, total_rows: int) -> DataFrame:
     """Checkpoint summary over the latest outcome of every page: one row of fixed size."""
     return latest_status(status).agg(
         F.max("page_num").alias("last_page"),
-        F.sum("n_rows").cast("int").alias("processed_count"),
+        F.sum("n_rows").cast("long").alias("processed_count"),
         F.lit(total_rows).alias("total_count"),
         F.max("ts").cast("timestamp_ntz").alias("timestamp"),
         F.count_if("ok").cast("int").alias("processed_pages"),

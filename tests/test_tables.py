@@ -207,7 +207,7 @@ def test_typed_view(spark):
         [("1.234", "1.234,5", "12,5 %", "-6.2"), ("-", "-", "", "x"), (" 7 ", "20:1", "100%", None)],
         "guru STRING, rasio_siswa_guru STRING, persen_guru_pns STRING, lintang STRING",
     )
-    assert shape.typed_view(rows).collect() == [(1234, 1234.5, 12.5, -6.2), (None, None, None, None), (7, None, 100.0, None)]
+    assert shape.typed_view(rows).collect() == [(1234, 1234.5, 12.5, -6.2), (None, None, None, None), (7, 20.0, 100.0, None)]
 
 
 def test_latest_status(spark):
