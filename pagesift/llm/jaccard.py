@@ -10,10 +10,12 @@ that, and a set with more empty parts than these puts them out as well, so nothi
 *Checks.* A signature is a bitmap in which every shingle flips one bit; the number of differing bits is at most the number
 of differing shingles, which bounds the overlap from above. Survivors are compared by intersecting sorted arrays.
 
-*Without all pairs.* Equal sets are one class. In a first rounds each class is compared with at most two of the first
-classes of its tiles, which links most of a group at a cost that follows its size. What is linked then is one component;
-the last round compares pairs of different components only, in tiles cut into squares of bounded size. Every link is thus either verified or lies within a component already. A tile is also
-cut where, in order of size, two neighbours differ too much in size to be linked.
+*Without all pairs.* Equal sets are one class. In a first round each class is compared with at most two of the first
+classes of its tiles, which links much of a group at a cost that follows its size. What is linked then is one component,
+and two later rounds look at pairs of different components only, in tiles cut into squares of bounded size. The first takes
+from each square a least spanning forest of the signatures' distances, so a square hands on fewer pairs than it has
+classes; the last takes every pair that is still between components. Every link is thus either verified or lies
+within a component already. A tile is also cut where, in order of size, two neighbours differ too much in size.
 
 Signatures travel with the candidates; shingles are made again from the texts, and only for documents whose candidates
 pass the signatures. A bitmap of fixed size over their ids keeps the other texts out of the shuffle.
@@ -38,7 +40,6 @@ from pagesift.llm.common import arrow_rows, components, new_dir, ship, strings,
 
 SPARE = 2
 TILE = 2_048
-LINEAR_ROUNDS = 2
 CHUNK = 2_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -54,7 +55,7 @@ class Similarity:
     share: int = 80
     of: int = 100
 
-    def differing(self, total: int) -> int:
+    def differing(self, total):
         """Most elements in which two linked sets of ``total`` elements together can differ."""
         return (self.of - self.share) * total // (self.of + self.share)
 
@@ -118,8 +119,8 @@ def _sets_of_chunk(texts: list[str], words: int) -> Iterator[np.ndarray]:
 
 
 def signature(shingles: np.ndarray) -> bytes:
-    """Parity bitmap with as many bits as the size's power of two, at least 64."""
-    bits = max(64, 1 << len(shingles).bit_length())
+    """Parity bitmap with four times the size's power of two as bits, at least 256."""
+    bits = max(256, 4 << len(shingles).bit_length())
     flips = np.bincount((_mix(shingles ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((flips & 1).astype(bool), bitorder="little").tobytes()
 
@@ -238,10 +239,6 @@ def _runs(how: Similarity):
     return run
 
 
-def _bound_holds(xor_bits: np.ndarray, total: np.ndarray, how: Similarity) -> np.ndarray:
-    return xor_bits <= (how.of - how.share) * total // (how.of + how.share)
-
-
 def _sift(how: Similarity):
     """Pairs with both signatures -> those that the signatures do not rule out."""
 
@@ -298,30 +295,61 @@ def _some_of(documents: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return near.mapInArrow(run, near.schema).drop("_slot").join(wanted.select(key), key, "left_semi")
 
 
-def _squares(how: Similarity):
-    """Rows sorted by tile -> pairs of classes of different components that size and signature do not rule out."""
+class _Square:
+    """Classes of one square with their sizes, components and folded signatures."""
 
-    def pairs(rows: dict[str, list]) -> tuple[list[int], list[int]]:
-        n, comp, side = (np.array(rows[c]) for c in ("n", "comp", "part"))
-        cls = np.array(rows["cls"], np.int64)
-        out_a, out_b = [], []
+    def __init__(self, rows: dict[str, list], how: Similarity):
+        self.how, self.across = how, rows["i"][0] != rows["j"][0]
+        self.n, self.comp, self.side, self.cls = (np.array(rows[c], np.int64) for c in ("n", "comp", "part", "cls"))
         size = min(len(b) for b in rows["bits"]) // 8
-        bits = np.concatenate([fold(np.frombuffer(b, np.uint64)[None, :], size) for b in rows["bits"]])
-        across = rows["i"][0] != rows["j"][0]
-        for k in range(len(n)):
-            others = np.arange(k + 1, len(n))
-            low, high = np.minimum(n[k], n[others]), np.maximum(n[k], n[others])
-            fits = (comp[others] != comp[k]) & (low * how.of >= how.share * high)
-            if across:
-                fits &= side[others] != side[k]
-            others = others[fits]
-            if len(others):
-                apart = np.bitwise_count(bits[others] ^ bits[k]).sum(axis=1)
-                others = others[_bound_holds(apart, n[others] + n[k], how)]
-                out_a += [int(cls[k])] * len(others)
-                out_b += cls[others].tolist()
+        self.bits = np.concatenate([fold(np.frombuffer(b, np.uint64)[None, :], size) for b in rows["bits"]])
+
+    def candidates(self, k: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``others`` that are of another component and that size and signature do not rule out, with distances."""
+        low, high = np.minimum(self.n[k], self.n[others]), np.maximum(self.n[k], self.n[others])
+        fits = (self.comp[others] != self.comp[k]) & (low * self.how.of >= self.how.share * high)
+        if self.across:
+            fits &= self.side[others] != self.side[k]
+        others = others[fits]
+        apart = np.bitwise_count(self.bits[others] ^ self.bits[k]).sum(axis=1, dtype=np.int64)
+        near = apart <= self.how.differing(self.n[others] + self.n[k])
+        return others[near], apart[near]
+
+    def every_pair(self) -> tuple[list[int], list[int]]:
+        out_a, out_b = [], []
+        for k in range(len(self.n)):
+            others, _ = self.candidates(k, np.arange(k + 1, len(self.n)))
+            out_a += [int(self.cls[k])] * len(others)
+            out_b += self.cls[others].tolist()
         return out_a, out_b
 
+    def forest(self) -> tuple[list[int], list[int]]:
+        """Pairs of a least spanning forest (Prim's way); classes of one component are at no distance from each other."""
+        far, linked = 2**62, -1
+        best, via = np.full(len(self.n), far), np.zeros(len(self.n), np.int64)
+        left = np.arange(len(self.n))
+        out_a, out_b = [], []
+        while len(left):
+            at = int(np.argmin(best[left]))
+            k = int(left[at])
+            if linked < best[k] < far:
+                out_a.append(int(self.cls[k]))
+                out_b.append(int(self.cls[via[k]]))
+            left = np.delete(left, at)
+            best[left[self.comp[left] == self.comp[k]]] = linked
+            others, apart = self.candidates(k, left)
+            nearer = apart < best[others]
+            best[others[nearer]], via[others[nearer]] = apart[nearer], k
+        return out_a, out_b
+
+
+def _squares(how: Similarity, whole: bool):
+    """Rows sorted by square -> pairs of classes of different components: all that are left, or those of a forest."""
+
+    def pairs(rows: dict[str, list]) -> tuple[list[int], list[int]]:
+        square = _Square(rows, how)
+        return square.every_pair() if whole else square.forest()
+
     def run(batches):
         held: dict[str, list] = {}
         last = None
@@ -386,37 +414,31 @@ def linked_documents(documents: DataFrame, how: Similarity = Similarity(), text:
             pairs = pairs.join(signatures.select(F.col("cls").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
         return written(pairs.mapInArrow(_sift(how), "a long, b long"), "pairs")
 
-    # linear rounds: a class tries at most two of the first classes of its tiles, of those it is not yet linked with
+    def between(so_far: DataFrame, whole: bool) -> DataFrame:
+        """Verified links between the components so far, from squares of the tiles that hold more than one component."""
+        labelled = tiles.select("key", "first", "cls", "n").join(so_far, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        mixed = labelled.groupBy("key", "first").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("cls").alias("held")).where("low < high")
+        rest = labelled.join(mixed.select("key", "first", F.ceil(F.col("held") / TILE).cast("int").alias("squares")), ["key", "first"])
+        rest = rest.withColumn("part", F.pmod(F.hash("cls"), F.col("squares")))
+        rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("squares") - 1)))
+        rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other", "squares")
+        square = ["key", "first", "i", "j"]
+        rest = rest.join(signatures.select("cls", "bits"), "cls").repartition(*square).sortWithinPartitions(*square, "n", "cls")
+        pairs = rest.mapInArrow(_squares(how, whole), "a long, b long")
+        return verified(written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
+
+    # linear round: a class tries at most two of the first classes of its tiles
     fits = (F.col("m") * how.of >= F.col("n") * how.share) & (F.col("cls") != F.col("first"))
-    stars = written(tiles.where(fits).select("cls", "first").distinct(), "stars")
-    links = None
-    for turn in range(LINEAR_ROUNDS):
-        left = stars
-        if links is not None:
-            left = left.join(so_far, "cls", "left").join(so_far.toDF("first", "other"), "first", "left")
-            left = left.where(F.coalesce("comp", "cls") != F.coalesce("other", "first"))
-        rank = F.struct(F.col("first") if turn == 0 else F.xxhash64("first", F.lit(turn)), F.col("first").alias("f"))
-        tried = left.groupBy("cls").agg(F.min(rank).alias("x"), F.max(rank).alias("y"))
-        tried = tried.select(F.col("cls").alias("b"), F.explode(F.array_distinct(F.array("x.f", "y.f"))).alias("a"))
-        found = verified(sifted(tried.select("a", "b")))
-        links = found if links is None else links.unionByName(found)
+    tried = tiles.where(fits).groupBy("cls").agg(F.min("first").alias("x"), F.max("first").alias("y"))
+    links = verified(sifted(tried.select(F.col("cls").alias("b"), F.explode(F.array_distinct(F.array("x", "y"))).alias("a")).select("a", "b")))
+    for whole in (False, True):
         so_far = components(links).select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-
-    labelled = tiles.select("key", "first", "cls", "n").join(so_far, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    mixed = labelled.groupBy("key", "first").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("cls").alias("held")).where("low < high")
-    rest = labelled.join(mixed.select("key", "first", F.ceil(F.col("held") / TILE).cast("int").alias("squares")), ["key", "first"])
-    rest = rest.withColumn("part", F.pmod(F.hash("cls"), F.col("squares")))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("squares") - 1)))
-    rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other", "squares")
-    tile = ["key", "first", "i", "j"]
-    rest = rest.join(signatures.select("cls", "bits"), "cls").repartition(*tile).sortWithinPartitions(*tile)
-    second = written(rest.mapInArrow(_squares(how), "a long, b long"), "pairs", 4_000)
-    more = verified(written(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
+        links = links.unionByName(between(so_far, whole))
 
     # rows of one doc_id are one document
     spread = full.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z")
     own = full.join(spread.select("doc_id", "a"), "doc_id").select("a", F.col("cls").alias("b"))
-    groups = components(links.unionByName(more).unionByName(own)).withColumnRenamed("node", "cls")
+    groups = components(links.unionByName(own)).withColumnRenamed("node", "cls")
     per_class = full.groupBy("cls").agg(F.min("doc_id").alias("least")).join(groups, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     named = per_class.groupBy("component").agg(F.min("least").alias("component_id"))
     known = per_class.join(named, "component").select("cls", "component_id")

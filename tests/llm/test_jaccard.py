@@ -83,6 +83,25 @@ def test_query(spark, testdata):
     assert difference(op7_jaccard_join(spark, f"{testdata}/sf0.01"), connect(f"{testdata}/sf0.01"), ORACLES["op7_jaccard_join"]) is None
 
 
+@pytest.mark.parametrize("across", [False, True])
+def test_forest_joins_what_all_pairs_join(across):
+    rng, how = np.random.default_rng(8), jaccard.Similarity(3, 80)
+    base = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(60) < p, rng.integers(0, 2**63, 60, dtype=np.uint64), base)) for p in rng.uniform(0, 0.2, 80)]
+    rows = {"n": list(map(len, sets)), "comp": [k % 70 for k in range(80)], "part": [k % 2 for k in range(80)], "cls": list(range(80)),
+            "bits": [jaccard.signature(s) for s in sets], "i": [0] * 80, "j": [int(across)] * 80}
+    square = jaccard._Square(rows, how)
+
+    def groups(pairs):
+        name = [k % 70 for k in range(80)]
+        for a, b in zip(*pairs):
+            name = [min(name[a], name[b]) if x in (name[a], name[b]) else x for x in name]
+        return name
+
+    assert 0 < len(square.forest()[0]) < len(set(rows["comp"])) < len(square.every_pair()[0])
+    assert groups(square.forest()) == groups(square.every_pair())
+
+
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(3)
     for share in (80, 90):
