@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagesift.llm import encoding, jaccard, lines, packing, quality, secret_scan
-from pagesift.llm.common import new_dir
+from pagesift.llm.common import new_dir, stored
 from pagesift.llm.queries import TOKENIZER
 
 
@@ -20,9 +20,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repetitions of runs of lines go; so does a document of which nothing but blanks is left by that."""
-    cut = lines.without_repeats(docs)
-    emptied = (F.col("n_removed") > 0) & (F.trim("text") == "")
+    """Later repetitions of runs of lines go, then those of passages of words wherever they begin; so does a document of
+    which nothing but white space is left by that."""
+    cut = stored(lines.without_repeats(docs), "line-dedup")
+    cut = lines.without_passages(cut)
+    emptied = (F.col("n_removed") + F.col("n_words_removed") > 0) & ~F.regexp_like("text", F.lit(r"\S"))
     return cut.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
 
 

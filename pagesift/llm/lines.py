@@ -13,6 +13,12 @@ Defined results: lines are compared without blanks around them; empty lines are
 a line that goes do so with it. Null texts
 stay null. Rows that agree in ``doc_id`` and text are one document and are treated alike. A run that repeats itself
 within a document is cut down to its first period. Documents without ``doc_id`` come last.
+
+Whole lines miss a passage in mid-line and a line edited in one word. ``without_passages`` looks at words, whatever the
+lines: each run of ``PASSAGE`` words that occurs at an earlier place goes. Winnowing (the smallest word hash of every
+window of ``WINDOW`` words, with a hash of the ``PRINT`` words from there) finds the places that can share such a run,
+as any run holds a whole window and its print; around the prints that occur twice every run of ``PASSAGE`` words is
+compared by its hash. A line break that ends a passage stays. Texts of more than 2 ** 26 words would miss passages.
 """
 
 from __future__ import annotations
@@ -20,9 +26,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.common import new_dir
+from pagesift.llm.common import new_dir, stored
 
 MIN_WORDS = 8
+PASSAGE, WINDOW, PRINT = 51, 36, 16  # words; a run of PASSAGE words holds WINDOW places at which PRINT words begin
+POSITION = 2**26  # places of words in a packed number
+BLANKS = " \t\n\x0b\f\r"
 LAST_ID = 2**63 - 1
 
 
@@ -141,3 +150,84 @@ def without_repeats(documents: DataFrame, text: str = "text", min_words: int = M
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
     return out.select(*documents.columns, "n_lines", "n_removed")
+
+
+def _pieces(text: Column) -> Column:
+    """Words with the white space behind them; joined they are the text again."""
+    return F.split(text, r"(?<=\s)(?=\S)")
+
+
+def _prints(words: Column) -> Column:
+    """(print, at) of the places that winnowing selects: the first of the smallest word hashes of every window."""
+    packed = F.transform(words, lambda h, i: h.bitwiseAND(F.lit(-POSITION)).bitwiseOR(i.cast("long")))
+    windows = F.transform(F.array(packed), lambda p: F.transform(
+        F.sequence(F.lit(1), F.size(p) - (WINDOW + PRINT - 2)), lambda i: F.array_min(F.slice(p, i, WINDOW))
+    ))
+    places = F.transform(F.array_distinct(F.get(windows, F.lit(0))), lambda m: m.bitwiseAND(F.lit(POSITION - 1)).cast("int"))
+    return F.transform(places, lambda k: F.struct(F.xxhash64(F.slice(words, k + 1, PRINT)).alias("print"), k.alias("at")))
+
+
+def _runs(words: Column, places: Column) -> Column:
+    """(run, at) of every run of PASSAGE words around the prints at ``places``."""
+    starts = F.flatten(F.transform(places, lambda k: F.sequence(
+        F.greatest(k - (PASSAGE - PRINT), F.lit(0)), F.greatest(F.least(k, F.size(words) - PASSAGE), F.lit(0))
+    )))
+    return F.transform(F.array_distinct(starts), lambda k: F.struct(F.xxhash64(F.slice(words, k + 1, PASSAGE)).alias("run"), k.alias("at")))
+
+
+def _twice(places: DataFrame, key: str, first_too: bool) -> DataFrame:
+    """Rows of ``places`` whose ``key`` occurs at another place, or at an earlier one."""
+    place = F.struct("_doc", "_hash", "at")
+    ends = places.groupBy(key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    found = places.join(ends.select(key, "first"), key)
+    return found if first_too else found.where(place > F.col("first"))
+
+
+def without_passages(documents: DataFrame, text: str = "text") -> DataFrame:
+    """``documents`` without later repetitions of runs of ``PASSAGE`` words or more, and with ``n_words_removed``.
+
+    ``n_chars``, where there is such a column, becomes the length of a text that has changed.
+    """
+    keys = {
+        "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)),
+        "_hash": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
+    }
+    hashes = F.transform("_pieces", lambda p: F.xxhash64(F.btrim(p, F.lit(BLANKS))))
+    rows = documents.withColumns(keys).select("_doc", "_hash", _pieces(F.col(text)).alias("_pieces")).where(F.size("_pieces") >= PASSAGE)
+    rows = rows.select("_doc", "_hash", hashes.alias("_words"))
+    prints = stored(rows.select("_doc", "_hash", F.inline(_prints(F.col("_words")))), "word-prints")
+    shared = _twice(prints, "print", True).groupBy("_doc", "_hash").agg(F.collect_set("at").alias("_places"))
+    runs = rows.join(shared, ["_doc", "_hash"]).select("_doc", "_hash", F.inline(_runs(F.col("_words"), F.col("_places"))))
+    later = _twice(stored(runs, "word-runs"), "run", False)
+    starts = later.groupBy("_doc", "_hash").agg(F.array_sort(F.collect_set("at")).alias("_starts"))
+    # the stretches that stay, and behind each passage its line break
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    stretches = F.aggregate(
+        "_starts",
+        F.struct(F.lit(0).alias("upto"), none.alias("keep")),
+        lambda acc, s: F.struct(
+            (s + PASSAGE).alias("upto"),
+            F.when((s > acc["upto"]) | (acc["upto"] == 0), F.concat(acc["keep"], F.array(F.struct(acc["upto"].alias("a"), s.alias("b")))))
+            .otherwise(acc["keep"])
+            .alias("keep"),
+        ),
+        lambda acc: F.concat(acc["keep"], F.array(F.struct(acc["upto"].alias("a"), F.size("_pieces").alias("b")))),
+    )
+
+    def part(s: Column) -> Column:
+        broken = (s["a"] > 0) & F.get("_pieces", s["a"] - 1).contains("\n")
+        return F.concat(F.when(broken, "\n").otherwise(""), F.array_join(F.slice("_pieces", s["a"] + 1, s["b"] - s["a"]), ""))
+
+    out = documents.withColumns(keys).join(starts, ["_doc", "_hash"], "left")
+    out = out.withColumn("_pieces", F.when(F.col("_starts").isNotNull(), _pieces(F.col(text))))
+    out = out.withColumn("_keep", F.when(F.col("_starts").isNotNull(), stretches))
+    changed = F.col("_keep").isNotNull()
+    kept = F.aggregate("_keep", F.lit(0), lambda n, s: n + s["b"] - s["a"])
+    new = {
+        text: F.when(changed, F.array_join(F.transform("_keep", part), "")).otherwise(F.col(text)),
+        "n_words_removed": F.when(changed, F.size("_pieces") - kept).otherwise(0),
+    }
+    out = out.withColumns(new)
+    if "n_chars" in documents.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_words_removed") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*documents.columns, "n_words_removed")
