@@ -1,4 +1,4 @@
-"""Helpers that several operators share: reading columns in workers, and connected components."""
+"""Helpers that several operators share: reading columns in workers, samples of distinct texts, and connected components."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pagesift.session import new_dir, ship, stored
 
-__all__ = ["arrow_rows", "components", "new_dir", "ship", "stored", "strings", "read_table", "tidy"]
+__all__ = ["arrow_rows", "components", "least_hashes", "new_dir", "ship", "stored", "strings", "read_table", "tidy"]
 
 
 def tidy() -> None:
@@ -47,6 +47,26 @@ def arrow_rows(spark, rows: int):
             spark.conf.set(key, before)
 
 
+def least_hashes(rows: DataFrame, limit: int) -> dict[str, int]:
+    """Of (l, h), a group and the hash of a text: the ``limit``-th smallest distinct hash of every group, or its largest.
+
+    So many distinct texts of a group have a hash up to that, however often they occur. The driver reads a little more
+    than twice ``limit`` hashes of a group: those in a share of the range of hashes that the distinct ones fill evenly.
+    """
+    distinct = stored(rows.select("l", "h").distinct(), "text-hashes")
+    numbers = {r["l"]: r["n"] for r in distinct.groupBy("l").agg(F.count("h").alias("n")).collect()}
+    found: dict[str, list[int]] = {}
+    times = 2
+    while any(len(found.get(name, ())) < min(limit, n) for name, n in numbers.items()):
+        bounds = {name: min(2**63 - 1, -(2**63) + 2**64 * (times * limit + 64) // n) for name, n in numbers.items()}
+        of_group = F.create_map(*(F.lit(v) for pair in bounds.items() for v in pair))
+        found = {}
+        for r in distinct.where(F.col("h") <= of_group[F.col("l")]).collect():
+            found.setdefault(r["l"], []).append(r["h"])
+        times *= 2
+    return {name: sorted(hashes)[:limit][-1] for name, hashes in found.items()}
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` for every node of ``links``; the component is its smallest node.
 

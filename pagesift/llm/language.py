@@ -22,10 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagesift.llm.common import ship
+from pagesift.llm.common import least_hashes, ship
 
-DOCUMENTS = 400  # about so many sample texts of a language
+DOCUMENTS = 400  # so many distinct sample texts of a language, if it has them
 DICTIONARY = 160_000  # bytes of a language's dictionary
+PIECE = DICTIONARY // 8  # bytes of a sample text, from its beginning
 SHARDS = 5
 SHORT = 600  # bytes up to which the smaller dictionaries are asked too
 BLOCK = 16_384
@@ -46,25 +47,38 @@ def normalised(text: str) -> bytes:
 
 
 def learn(documents: DataFrame, usable: Column, text: str = "text", lang: str = "lang", sample: int = DOCUMENTS) -> Model:
-    """Dictionaries from about ``sample`` texts of each language among the ``usable`` rows, chosen by a hash of the text.
+    """Dictionaries from ``sample`` distinct texts of each language among the ``usable`` rows, those with the smallest hashes.
 
-    The languages are counted over all rows first; the sample that reaches the driver is bounded by their number.
+    Copies of a text count once, so a language with any text is learned. What reaches the driver is bounded by the number
+    of languages: hashes, and the first ``PIECE`` bytes of the sample texts.
     """
+    ship(documents.sparkSession)
     rows = documents.where(usable & F.col(lang).isNotNull() & F.regexp_like(F.coalesce(F.col(text), F.lit("")), F.lit(r"\p{L}")))
-    numbers = {r[0]: r[1] for r in rows.groupBy(F.col(lang).alias("l")).count().collect()}
-    if not numbers:
+    rows = rows.select(F.col(lang).alias("l"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
+    upto = least_hashes(rows, sample)
+    if not upto:
         return Model((), ())
-    steps = F.create_map(*(F.lit(v) for name, n in numbers.items() for v in (name, max(1, n // sample))))
-    digest = F.xxhash64(text)
-    some = rows.where(F.pmod(digest, steps[F.col(lang)]) == 0).select(F.col(lang).alias("l"), F.col(text).alias("t"), digest.alias("h"))
-    texts: dict[str, list[tuple[int, str]]] = {}
-    for r in some.toLocalIterator():
-        texts.setdefault(r.l, []).append((r.h, normalised(r.t)[: DICTIONARY // 8]))
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            own = []
+            for row in batch.to_pylist():
+                if (row["l"], row["h"]) not in seen:
+                    seen.add((row["l"], row["h"]))
+                    own.append({"l": row["l"], "h": row["h"], "piece": normalised(row["t"])[:PIECE]})
+            yield pa.RecordBatch.from_pylist(own, schema=pa.schema([("l", pa.string()), ("h", pa.int64()), ("piece", pa.binary())]))
+
+    of_language = F.create_map(*(F.lit(v) for pair in upto.items() for v in pair))
+    some = rows.where(F.col("h") <= of_language[F.col("l")]).mapInArrow(pieces, "l string, h long, piece binary")
+    texts: dict[str, list[tuple[int, bytes]]] = {}
+    for r in some.groupBy("l", "h").agg(F.min("piece").alias("piece")).collect():
+        texts.setdefault(r.l, []).append((r.h, bytes(r.piece)))
     names = tuple(sorted(texts))
     content = []
     for name in names:
         parts, size = [], 0
-        for _, part in sorted(set(texts[name])):
+        for _, part in sorted(texts[name]):
             if size >= DICTIONARY:
                 break
             parts.append(part)

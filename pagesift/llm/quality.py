@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesift.llm.bpe import LETTER, NUMBER, SPACE, character_classes
-from pagesift.llm.common import ship, tidy
+from pagesift.llm.common import least_hashes, ship, tidy
 
 SAMPLE = 4_000
 BUCKETS = 4_096
@@ -169,30 +169,33 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
-    """Votes of all documents, posteriors, and a scorer fitted to about ``sample`` of them, taken by a hash of the text."""
+    """Votes of all documents, posteriors, and a scorer fitted to ``sample`` distinct texts, those with the smallest hashes."""
     ship(documents.sparkSession)
     rows = documents.where(F.regexp_like(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S"))).select(F.col(text).alias("_text"))
     counts = {r.code: r["count"] for r in rows.mapInArrow(_measured, "code int").groupBy("code").count().collect()}
     if not counts:
         return Model(np.zeros(BUCKETS + 1, np.float32).tobytes())
     posterior, chance = estimate(counts)
-    step = max(1, sum(counts.values()) // sample)
+    rows = rows.select(F.lit("").alias("l"), F.xxhash64("_text").alias("h"), "_text")
+    upto = least_hashes(rows, sample)[""]
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             found = []
-            for t in batch.column("_text").to_pylist():
-                shape, m = measures(t)
-                found.append((*features(shape, m), code_of(votes(m))))
+            for h, t in zip(batch.column("h").to_pylist(), batch.column("_text").to_pylist()):
+                if h not in seen:
+                    seen.add(h)
+                    shape, m = measures(t)
+                    found.append((h, *features(shape, m), code_of(votes(m))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64())), pa.array([f[2] for f in found], pa.int32())],
-                names=["place", "value", "code"],
+                [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.int32()))],
+                names=["h", "place", "value", "code"],
             )
 
-    some = rows.where(F.pmod(F.xxhash64("_text"), F.lit(step)) == 0).mapInArrow(sampled, "place array<long>, value array<double>, code int")
-    table = [(np.array(r.place), np.array(r.value), posterior[r.code]) for r in some.toLocalIterator()]
-    if not table:  # a table so small that the hash took none of it
-        return Model(np.zeros(BUCKETS + 1, np.float32).tobytes())
+    some = rows.where(F.col("h") <= upto).select("h", "_text").mapInArrow(sampled, "h long, place array<long>, value array<double>, code int")
+    one = some.groupBy("h").agg(F.min(F.struct("place", "value", "code")).alias("s")).orderBy("h").select("s.*")
+    table = [(np.array(r.place), np.array(r.value), posterior[r.code]) for r in one.collect()]
     accuracies = tuple((float(chance[1, k, 1]), float(chance[0, k, 0])) for k in range(LABELLERS))
     return Model(fit(table).tobytes(), accuracies)
 
