@@ -97,7 +97,8 @@ def _codes(token: Column) -> Column:
 
 def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE_DOCUMENTS, smoothing: float = 0.5) -> Model:
     """Models from labelled samples: the strings that the patterns find anywhere (random), and the key-character runs
-    of eight or more in a sample of about ``sample`` documents, without those strings (ordinary).
+    of eight or more in a sample of about ``sample`` documents, without those strings (ordinary). Each distinct string
+    counts once, so copies of a document give it no more weight.
 
     The sample is taken by the hash of the text, so it is spread over all files and never meets in one task. Only counts of character pairs leave the tasks, at most 6,400 rows for each label.
     """
@@ -114,7 +115,7 @@ def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE_DOCUMEN
         F.lit(False).alias("random"),
         F.explode(F.regexp_extract_all(F.regexp_replace("t", any_pattern, " "), F.lit(r"[A-Za-z0-9+/_=-]{8,}"), F.lit(0))).alias("s"),
     )
-    codes = random.unionByName(plain).select("random", _codes(F.col("s")).alias("c"))
+    codes = random.unionByName(plain).distinct().select("random", _codes(F.col("s")).alias("c"))
     pairs = codes.select(
         "random", F.explode(F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c")), lambda a, b: a * WIDTH + b)).alias("pair")
     )
