@@ -2,7 +2,9 @@
 
 A page is cut at block-level tags into flat text blocks. Of each block, and of the ones before and after it, the number of
 words and the share of words inside links are known, and what encloses it: an article, or something that names itself
-a menu, a footer, an advert, a form, comments and so on. A decision tree, trained on the small labelled table below,
+a menu, a footer, an advert, a form, comments and so on. Words decide where names conflict: an article counts if it is not
+inside such a part and the articles hold most of the page's words without links; the class of a wrapper counts for nothing if
+most words and all articles are inside, nearly all where there is no article. A decision tree, trained on the small labelled table below,
 decides whether a block belongs to the article.
 
 Defined results: null and empty pages give an empty text; markup that is cut off counts as far as it goes; rows that repeat
@@ -77,24 +79,60 @@ _ASIDE_NAMES = frozenset(
     " subscribe subscription signup login search popup modal overlay toolbar pagination pager copyright legal complementary contentinfo".split()
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_CLOSED_BY_BLOCKS = _HEADINGS | {"p"}
+_CLOSED_BY_NEXT = {"li": "ul ol menu", "tr": "table", "td": "tr table", "th": "tr table", "dt": "dl", "dd": "dl"}
+_LAYOUT = frozenset("has no with without".split())  # has-sidebar tells of a layout, not of what is inside
+_WRAPPER, _MOST = 0.8, 0.5  # shares of a page's words without links
 
 
 def _named_aside(rest: str) -> bool:
     for found in _ATTRIBUTE.finditer(rest):
         value = re.sub(r"([a-z])([A-Z])", r"\1 \2", found[1] or found[2] or found[3] or "")
-        if not _ASIDE_NAMES.isdisjoint(re.split(r"[^a-z]+", value.lower())):
-            return True
+        tokens = re.split(r"([^a-z]+)", value.lower())
+        for k in range(0, len(tokens), 2):
+            layout = k and tokens[k - 2] in _LAYOUT and not tokens[k - 1].isspace()
+            if tokens[k] in _ASIDE_NAMES and not layout:
+                return True
     return False
 
 
+def _enclosures(words: np.ndarray, around: list[list[tuple]], scopes: list[tuple]) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Of each block whether it is in an aside and in an article that counts, and whether the page has such an article.
+
+    ``scopes`` and ``around`` are of (number, aside by tag, aside by name, article): what encloses a scope, with itself at
+    the end, and a block.
+    """
+    by_tag = np.array([any(t[1] for t in a) for a in around], bool)
+    text = words * ~by_tag
+    articles = [a for a in scopes if a[-1][3] and not any(t[1] for t in a)]
+    named = set()
+    for a in scopes:
+        number = a[-1][0]
+        if a[-1][2]:
+            held = text @ np.array([any(t[0] == number for t in b) for b in around], float)
+            share = _MOST if articles else _WRAPPER
+            wraps = held >= share * text.sum() > 0 and not any(t[3] for t in a) and all(any(t[0] == number for t in b) for b in articles)
+            if not wraps:
+                named.add(number)
+    aside = by_tag | np.array([any(t[0] in named for t in a) for a in around], bool)
+    counted = {a[-1][0] for a in articles if not any(t[0] in named for t in a)}
+    inside = np.array([any(t[0] in counted for t in a) for a in around], bool)
+    text = words * ~aside
+    if not (has := bool(inside.any() and text @ inside >= _MOST * text.sum())):
+        inside[:] = False
+    return aside, inside, has
+
+
 def blocks_of(html: str) -> tuple[list[str], np.ndarray]:
     """Texts of the blocks and their features, one row each."""
     texts: list[str] = []
     marks: list[tuple[float, ...]] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, aside, article
+    open_tags: list[tuple[str, tuple[int, bool, bool, bool]]] = []  # name; number, aside by tag, aside by name, article
+    around: list[list[tuple]] = []
+    scopes: list[list[tuple]] = []
     parts: list[str] = []
     in_link = linked = 0
-    heading, has_article, head = False, False, 0
+    heading, head = False, 0
 
     def close() -> None:
         nonlocal linked
@@ -103,7 +141,8 @@ def blocks_of(html: str) -> tuple[list[str], np.ndarray]:
             if text:
                 words = text.count(" ") + 1
                 texts.append(text)
-                marks.append((words, min(linked / words, 1.0), any(t[1] for t in open_tags), any(t[2] for t in open_tags), heading))
+                marks.append((words, min(linked / words, 1.0), heading))
+                around.append([t for _, t in open_tags if any(t[1:])])
             parts.clear()
         linked = 0
 
@@ -134,29 +173,41 @@ def blocks_of(html: str) -> tuple[list[str], np.ndarray]:
             head = 0
         if name in _HEADINGS:
             heading = not end
-        if name in _SCOPES:
+        if not end and open_tags and open_tags[-1][0] in _CLOSED_BY_BLOCKS:
+            open_tags.pop()
+        if not end and name in _CLOSED_BY_NEXT:
+            for k in range(len(open_tags) - 1, -1, -1):
+                if open_tags[k][0] in _CLOSED_BY_NEXT[name].split():
+                    break
+                if open_tags[k][0] == name or {open_tags[k][0], name} in ({"td", "th"}, {"dt", "dd"}):
+                    del open_tags[k:]
+                    break
+        if name in _SCOPES or name in _CLOSED_BY_BLOCKS or name in _CLOSED_BY_NEXT:
             if not end:
-                inside = any(t[2] for t in open_tags)
+                inside = any(t[3] for _, t in open_tags)
                 article = name in ("article", "main")
-                has_article |= article
-                aside = name in _ASIDE_TAGS or name == "header" and not inside or name not in ("html", "body", "article", "main") and _named_aside(found["rest"])
+                by_tag = name in _ASIDE_TAGS or name == "header" and not inside
+                by_name = name not in ("html", "body", "article", "main") and _named_aside(found["rest"])
                 if not found["rest"].endswith("/"):
-                    open_tags.append((name, aside, article))
+                    open_tags.append((name, (len(scopes), by_tag, by_name, article)))
+                    if by_tag or by_name or article:
+                        scopes.append([t for _, t in open_tags if any(t[1:])])
             else:
                 places = [k for k, t in enumerate(open_tags) if t[0] == name]
                 if places:
                     del open_tags[places[-1] :]
-            in_link = 0
+            if name in _SCOPES:
+                in_link = 0
     if at < len(html) and not head:
         parts.append(html[at:])
     close()
-    m = np.array(marks, np.float64).reshape(-1, 5)
+    m = np.array(marks, np.float64).reshape(-1, 3)
     none = np.zeros((1, 2))
     before, after = np.concatenate([none, m[:-1, :2]]), np.concatenate([m[1:, :2], none])
     if not len(m):
         before = after = np.zeros((0, 2))
-    outside = (m[:, 3] == 0) & has_article
-    return texts, np.column_stack([m[:, :2], before, after, m[:, 2:4], outside, m[:, 4]])
+    aside, article, has_article = _enclosures(m[:, 0] * (1 - m[:, 1]), around, scopes)
+    return texts, np.column_stack([m[:, :2], before, after, aside, article, ~article & has_article, m[:, 2]])
 
 
 def grow_tree(table: np.ndarray, labels: np.ndarray, least: int = 1) -> tuple:
