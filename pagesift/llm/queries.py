@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import article, cover_tree, encoding, jaccard, language, lines, packing, quality, secret_scan, segment_search
+from pagesift.llm import article, chunk_table, cover_tree, encoding, jaccard, language, lines, packing, quality, secret_scan, segment_search
 from pagesift.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +56,16 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chunk_table.with_ids(read_table(spark, sf_dir, "documents"), PIECES, decoded=True)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
@@ -94,6 +105,7 @@ QUERIES = {
         op8_article_text,
         op9_line_dedup,
         op10_bpe_round_trip,
+        op11_sentencepiece_round_trip,
     )
 }
 
