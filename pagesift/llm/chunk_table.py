@@ -47,7 +47,7 @@ def unpack_numbers(data: bytes) -> np.ndarray:
 
 
 def _pack_words(words: list[bytes]) -> tuple[bytes, bytes]:
-    return pack_numbers(np.fromiter(map(len, words), np.int64, len(words))), zstandard.compress(b"".join(words), 1)
+    return pack_numbers(np.fromiter(map(len, words), np.int64, len(words))), zstandard.compress(b"".join(words), 3)
 
 
 def _unpack_words(lengths: bytes, data: bytes) -> list[bytes]:
@@ -88,7 +88,10 @@ def _numbered(documents: DataFrame, text: str, keep: list[str]) -> DataFrame:
                 sample, kind = Encoder.distinct(data, starts, lengths)
                 raw = data.tobytes()
                 words = [raw[a : a + n] for a, n in zip(starts[sample].tolist(), lengths[sample].tolist())]
-                order = np.argsort(_hashes(words), kind="stable")
+                # frequent words get small numbers, which pack well; within a class of frequency the hash decides, so
+                # that the words of a bucket lie in few runs
+                often = np.bincount(kind, minlength=len(words))
+                order = np.lexsort((_hashes(words), -(np.log2(often) // 2)))
                 words = [words[k] for k in order.tolist()]
                 place = np.empty(len(order), np.int64)
                 place[order] = np.arange(len(order))
