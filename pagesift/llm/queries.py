@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import article, chunk_table, cover_tree, encoding, jaccard, language, lines, packing, quality, secret_scan, segment_search
+from pagesift.llm import alignment, article, chunk_table, cover_tree, encoding, jaccard, language, lines, packing, quality, secret_scan, segment_search
 from pagesift.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,12 @@ def op11_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.aligned(read_table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
@@ -106,6 +112,7 @@ QUERIES = {
         op9_line_dedup,
         op10_bpe_round_trip,
         op11_sentencepiece_round_trip,
+        op13_token_alignment,
     )
 }
 
