@@ -31,7 +31,7 @@ from pagesift.llm.chunk_table import bucketed, pack_numbers, unpack_numbers
 from pagesift.llm.common import ship, stored, strings, tidy
 from pagesift.llm.pieces import Pieces, piece_arrays
 
-BLOCK = 8_000_000  # characters after which a block ends
+BLOCK = 3_000_000  # characters after which a block ends
 FIRST, SECOND, BOTH = 0, 1, 2  # which tokenizer moves on at a link
 _OPENED: dict[str, tuple] = {}
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import codecs
 import heapq
+from itertools import repeat
 
 import numpy as np
 import sentencepiece
@@ -24,6 +25,13 @@ REMEMBERED = 300_000  # words whose ids a worker keeps before it starts anew
 _NEVER = np.int64(1) << 40
 
 
+_SLOT_BITS = 18  # of the table of pairs; a vocabulary of 32,000 pieces has some 60,000
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
 codecs.register_error("each-byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
 
@@ -68,6 +76,11 @@ def piece_arrays(path: str) -> dict[str, np.ndarray]:
         for cut in range(1, len(p))
         if p[:cut] in number and p[cut:] in number
     )
+    slots = np.full(1 << _SLOT_BITS, -1, np.int32)
+    for place, slot in enumerate(_slots(np.array([k for k, _, _ in pairs], np.int64)).tolist()):
+        while slots[slot] >= 0:
+            slot = (slot + 1) % len(slots)
+        slots[slot] = place
     single = sorted((ord(" " if c == MARKER else c), k) for c, k in number.items() if len(c) == 1)
     ends = np.cumsum([len(t) for t in texts])
     return {
@@ -80,6 +93,7 @@ def piece_arrays(path: str) -> dict[str, np.ndarray]:
         "pair_keys": np.array([k for k, _, _ in pairs], np.int64),
         "pair_made": np.array([k for _, k, _ in pairs], np.int64),
         "pair_ranks": np.array([k for _, _, k in pairs], np.int64),
+        "slots": slots,
         "size": np.array([size], np.int64),
         "end_id": np.array([sentencepiece.SentencePieceProcessor(model_file=path).eos_id()], np.int64),
     }
@@ -114,14 +128,20 @@ class Pieces:
         self.pieces = [data[a:b] for a, b in zip([0, *ends], ends)]
         self.of_point = np.full(0x110000, self.size - 1, np.int32)
         self.of_point[arrays["points"]] = arrays["point_ids"]
-        self.known: dict[bytes, np.ndarray] = {}
+        self._forget()
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair, ``_NEVER`` where it makes no piece, and its place in the table."""
         keys = left.astype(np.int64) * self.size + right
-        at = np.minimum(np.searchsorted(self.a["pair_keys"], keys), len(self.a["pair_keys"]) - 1)
-        hit = self.a["pair_keys"][at] == keys
-        return np.where(hit, self.a["pair_ranks"][at], _NEVER), at
+        table = self.a["slots"]
+        slot = _slots(keys)
+        at = table[slot]
+        todo = np.flatnonzero((at >= 0) & (self.a["pair_keys"][at] != keys))
+        while len(todo):  # the slot holds another pair: its own may stand in the next ones
+            slot[todo] = (slot[todo] + 1) % len(table)
+            at[todo] = table[slot[todo]]
+            todo = todo[(at[todo] >= 0) & (self.a["pair_keys"][at[todo]] != keys[todo])]
+        return np.where(at >= 0, self.a["pair_ranks"][at], _NEVER), at
 
     def segment(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the given marked words, one word after the other, and the number of ids of each."""
@@ -226,14 +246,21 @@ class Pieces:
         raw = data.tobytes()
         words = [raw[a : a + n] for a, n in zip(starts[sample].tolist(), lengths[sample].tolist())]
         if len(self.known) + len(words) > REMEMBERED:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        if new:
-            ids, counts = self.segment(new)
-            self.known.update(zip(new, np.split(ids, np.cumsum(counts)[:-1])))
-        found = [self.known[w] for w in words]
-        pool, counts = np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
-        return join_ids(pool, np.cumsum(counts), kind, np.bincount(owner, minlength=len(texts)))
+            self._forget()
+        number = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            fresh = [words[k] for k in new.tolist()]
+            ids, counts = self.segment(fresh)
+            number[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self.known.update(zip(fresh, number[new].tolist()))
+            self.ends = np.concatenate([self.ends, len(self.pool) + np.cumsum(counts)])
+            self.pool = np.concatenate([self.pool, ids])
+        return join_ids(self.pool, self.ends, number[kind], np.bincount(owner, minlength=len(texts)))
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.pool, self.ends = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids as the library gives it: control ids are silent, one leading space of the first piece goes,

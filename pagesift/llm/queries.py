@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import alignment, article, chunk_table, cover_tree, encoding, jaccard, language, lines, packing, quality, secret_scan, segment_search
+from pagesift.llm import alignment, article, chunk_table, cover_tree, encoding, jaccard, language, lines, packing, quality, secret_scan, segment_search, trie
 from pagesift.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,10 @@ def op11_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations"), trie.Lending(group=100, most=6))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = alignment.aligned(read_table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
@@ -112,6 +116,7 @@ QUERIES = {
         op9_line_dedup,
         op10_bpe_round_trip,
         op11_sentencepiece_round_trip,
+        op12_conversation_trie,
         op13_token_alignment,
     )
 }
@@ -132,6 +137,40 @@ links AS (
 ), least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
 SELECT e.vec_id, count(l.b) AS n_links, any_value(m.c) AS component_id, e.vec_id = any_value(m.c) AS kept
 FROM embeddings e JOIN least m ON m.id = e.vec_id LEFT JOIN links l ON l.a = e.vec_id GROUP BY e.vec_id
+""",
+    # crc32 of the decimal id bit by bit: the reflected polynomial 0xEDB88320 = 3988292384, complement 4294967295
+    "op12_conversation_trie": r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT c, c::VARCHAR AS s, 0 AS k, 4294967295::UBIGINT AS v FROM (SELECT DISTINCT c FROM t)
+  UNION ALL SELECT c, s, k + 1, list_reduce(
+    list_prepend(xor(v, ascii(substr(s, k + 1, 1))::UBIGINT), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::UBIGINT) ELSE a // 2 END) FROM crc WHERE k < length(s)
+), h AS (SELECT c, (xor(v, 4294967295::UBIGINT) % 6)::BIGINT AS h FROM crc WHERE k = length(s)),
+rebuilt AS (
+  SELECT h.c, 0 AS own, t.i, t.r, t.x FROM h JOIN t ON t.c = h.c - h.c % 100 AND t.i <= h.h
+  UNION ALL SELECT h.c, 1, t.i, t.r, t.x FROM h JOIN t ON t.c = h.c AND t.i > h.h
+), turns AS (
+  SELECT c, row_number() OVER w AS d, r, x,
+    md5(string_agg(length(r) || ':' || length(x) || ':' || r || x, '') OVER w) AS p FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY own, i)
+), steps AS (
+  SELECT c, d, p, coalesce(lag(p) OVER (PARTITION BY c ORDER BY d), '') AS q, length(x) AS n FROM turns
+  UNION ALL SELECT c, 0, '', NULL, 0 FROM h
+), nodes AS (SELECT d, p, any_value(q) AS q, min(c) AS c, count(*) AS n_convs, any_value(n) AS n FROM steps GROUP BY d, p),
+children AS (SELECT d - 1 AS d, q AS p, count(*) AS k FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(k, 0) AS k FROM nodes n LEFT JOIN children USING (d, p)),
+below AS (
+  SELECT a.d, a.p, sum((b.k = 0)::BIGINT) AS n_leaves, sum((b.n_convs - 1) * b.n) AS saved
+  FROM full_nodes b JOIN steps s ON s.c = b.c AND s.d <= b.d JOIN nodes a ON a.d = s.d AND a.p = s.p GROUP BY ALL
+), ends AS (
+  SELECT d, p, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS e FROM steps
+  WHERE (c, d) IN (SELECT (c, max(d)) FROM steps GROUP BY c) GROUP BY ALL
+)
+SELECT n.c AS conv_id, n.d::BIGINT AS depth, (SELECT m.c FROM nodes m WHERE m.d = n.d - 1 AND m.p = n.q) AS parent_conv_id, n.n_convs, n.k AS n_children,
+  b.n_leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, coalesce(e.e, sha256('')) AS ends_sha256
+FROM full_nodes n JOIN below b USING (d, p) LEFT JOIN ends e USING (d, p)
 """,
     "op3_exact_top_k": f"""
 WITH v AS (
