@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # page numbers are INT, so there are at most 32,768 blocks
 BLOCK_BITS = 16
+# pages to a bitmap: the size that bitmap_construct_agg has
+BITMAP_BITS = 15
+BITMAP_PAGES = 1 << BITMAP_BITS
 NO_ROWS = "no rows"
 
 
@@ -34,9 +37,12 @@ def until_empty_page(results: DataFrame) -> DataFrame:
         read = read & F.col("parse_error").isNull()
     if "error" in results.columns:
         read = read & (F.col("error") == NO_ROWS)
-    empty = results.where(read & (F.col("n_rows") == 0))
-    stop = empty.agg(F.coalesce(F.min("page_num"), F.lit(2**31 - 1)).alias("stop"))
-    return results.where(F.col("page_num") < stop.select("stop").scalar())
+    return results.where(F.col("page_num") < first_empty(results.where(read)).select("stop").scalar())
+
+
+def first_empty(read: DataFrame) -> DataFrame:
+    """One row with ``stop``, the first of the pages that were read which held nothing."""
+    return read.where("n_rows = 0").agg(F.coalesce(F.min("page_num"), F.lit(2**31 - 1)).alias("stop"))
 
 
 def pending_pages(plan: DataFrame, status: DataFrame) -> DataFrame:
@@ -45,23 +51,33 @@ def pending_pages(plan: DataFrame, status: DataFrame) -> DataFrame:
     return plan.join(done, "page_num", "left_anti")
 
 
+def page_bitmaps(numbers: DataFrame) -> DataFrame:
+    """``_bucket, _bits``: the pages of ``numbers`` as one bitmap of 4 KB per 32,768 page numbers.
+
+    Page numbers are INT, so there are at most 65,536 bitmaps (256 MB if every one of them is in use; 1.5 MB for ten
+    million pages): a bound that does not depend on the pages' size.
+    """
+    number = F.col("page_num")
+    bits = F.bitmap_construct_agg(number.bitwiseAND(BITMAP_PAGES - 1)).alias("_bits")
+    return numbers.where(number.isNotNull()).groupBy(F.shiftright(number, BITMAP_BITS).alias("_bucket")).agg(bits)
+
+
+def in_bitmap(bits: str, page_num: str) -> Column:
+    """Whether the bit of a page is set in the bitmap of its bucket."""
+    place = f"({page_num} & {BITMAP_PAGES - 1})"
+    byte = f"CAST(conv(hex(substring({bits}, {place} div 8 + 1, 1)), 16, 10) AS INT)"
+    return F.expr(f"getbit({byte}, {place} % 8) = 1")
+
+
 def without_done(snapshots: DataFrame, status: DataFrame) -> DataFrame:
-    """Snapshots of pages that are not done yet, sparing the HTML a shuffle where that can be.
+    """Snapshots of pages that are not done yet. The HTML stays where it is, however scattered these pages are.
 
-    Blocks of pages that are done completely go out against a broadcast of at most 32,768 block
-    numbers. Only the done pages of unfinished blocks are left for the exact anti join; in a run
-    that was cut these are few, and Spark itself checks their size before it broadcasts them.
+    What is sent to it are the done pages as bitmaps.
     """
-    done = status.where("ok").select("page_num", block_of(F.col("page_num")).alias("_block"))
-    counts = done.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
-    full = F.broadcast(counts.where(F.col("_n") == 1 << BLOCK_BITS).select("_block"))
-    open_done = done.join(full, "_block", "left_anti").select("page_num")
-    return (
-        snapshots.withColumn("_block", block_of(F.col("page_num")))
-        .join(full, "_block", "left_anti")
-        .drop("_block")
-        .join(open_done, "page_num", "left_anti")
-    )
+    done = F.broadcast(page_bitmaps(status.where("ok").select("page_num")))
+    joined = snapshots.withColumn("_bucket", F.shiftright("page_num", BITMAP_BITS)).join(done, "_bucket", "left")
+    is_open = F.col("_bits").isNull() | ~in_bitmap("_bits", "page_num")
+    return joined.where(is_open).select(*snapshots.columns)
 
 
 def still_failed(failed: DataFrame, retried: DataFrame) -> DataFrame:

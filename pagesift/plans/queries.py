@@ -576,6 +576,12 @@ def empty_stop(spark, sf_dir):
     return pages.until_empty_page(outcomes).drop("success")
 
 
+def _order_results(spark, sf_dir):
+    """Order pages with their cards, written once as a run writes them."""
+    pages_read = rd.order_pages(spark, sf_dir).withColumn("success", F.lit(True)).withColumn("fetched_at", F.lit(None).cast("timestamp"))
+    return stored(runs.page_results(pages_read).select("page_num", "n_rows", "cards"), "order-pages")
+
+
 # numbering and batches ------------------------------------------------------------------------------------------
 
 NUMBERED = f"SELECT *, row_number() OVER (ORDER BY page_num, pos) AS row_num FROM ({ORDER_CARDS})"
@@ -591,8 +597,8 @@ LABEL = "'batch_' || ((row_num - 1) // {s} * {s} + 1) || '-' || {high}"
     """
 )
 def batch_rows(spark, sf_dir):
-    rows = stored(_order_cards(spark, sf_dir).select("page_num", "pos", "npsn"), "rows")
-    return numbering.batched(rows, fv.LIST_BATCH_SIZE)
+    rows = numbering.batched_pages(_order_results(spark, sf_dir), fv.LIST_BATCH_SIZE)
+    return rows.select("page_num", "pos", "npsn", "row_num", "batch_id", "batch_label")
 
 
 @query(
@@ -604,8 +610,7 @@ def batch_rows(spark, sf_dir):
     """
 )
 def batch_manifest(spark, sf_dir):
-    rows = stored(_order_cards(spark, sf_dir).select("page_num", "pos", "npsn"), "rows")
-    return numbering.batch_manifest(numbering.batched(rows, fv.PROFILE_BATCH_SIZE, clip=False))
+    return numbering.batch_manifest(numbering.batched_pages(_order_results(spark, sf_dir), fv.PROFILE_BATCH_SIZE, clip=False))
 
 
 @query(
@@ -618,8 +623,7 @@ def batch_manifest(spark, sf_dir):
 )
 def batch_files(spark, sf_dir):
     """Batch CSV files written and read back with their labels."""
-    rows = stored(_order_cards(spark, sf_dir).select("page_num", "pos", *fv.CARD_COLUMNS), "rows")
-    path = files.write_batches(numbering.batched(rows), new_dir(spark, "batches"))
+    path = files.write_batches(numbering.batched_pages(_order_results(spark, sf_dir)), new_dir(spark, "batches"))
     return csv_files.read_published_csv(spark, path, [*fv.CARD_COLUMNS, "batch"])
 
 
@@ -633,8 +637,8 @@ def batch_files(spark, sf_dir):
 )
 def batch_files_packed(spark, sf_dir):
     """Sixteen batches to a folder."""
-    rows = stored(_order_cards(spark, sf_dir).select("page_num", "pos", "npsn"), "rows")
-    path = files.write_batches(numbering.batched(rows, clip=False), new_dir(spark, "batches"), 16)
+    rows = numbering.batched_pages(_order_results(spark, sf_dir), clip=False).drop("nama_sekolah", "alamat_sekolah", "status_sekolah")
+    path = files.write_batches(rows, new_dir(spark, "batches"), 16)
     return csv_files.read_published_csv(spark, path, ["npsn", "batch_label", "batch"])
 
 

@@ -78,10 +78,10 @@ def test_wide_table_keeps_its_widths(spark):
 
 
 def test_stamped_name(spark):
-    assert files.stamped_name(AT) == "data_sekolah_20260113_225344"
+    assert files.stamped_name(AT) == AT.strftime("data_sekolah_%Y%m%d_%H%M%S")
     from pyspark.sql import functions as F
 
-    assert spark.range(1).select(files.stamp(F.lit(AT)).alias("s")).first().s == "data_sekolah_20260113_225344"
+    assert spark.range(1).select(files.stamp(F.lit(AT)).alias("s")).first().s == AT.strftime("data_sekolah_%Y%m%d_%H%M%S")
 
 
 def test_html_files(spark, tmp_path):

@@ -70,3 +70,30 @@ def test_hot_keys_are_the_only_broadcast_of_the_spread_join(spark):
                 assert "LeftOuter, BuildRight" in line  # against the hot keys
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_retry_moves_no_html(spark):
+    """Neither for scattered failures nor for a run that was cut."""
+    from pagesift.operators import pages
+
+    snapshots = stored(spark.range(200_000).selectExpr("CAST(id AS INT) AS page_num", "'x' AS html"), "snapshots")
+    scattered = stored(spark.range(200_000).selectExpr("CAST(id AS INT) AS page_num", "id % 97 <> 5 AS ok"), "status")
+    for status, left in ((scattered, {n for n in range(200_000) if n % 97 == 5}), (scattered.where("page_num < 70000"), {n for n in range(200_000) if n >= 70_000 or n % 97 == 5})):
+        found = pages.without_done(snapshots, status)
+        plan = plan_of(found)
+        assert "SortMergeJoin" not in plan and "html" not in "".join(x for x in plan.split("Exchange")[1:] if "html" in x.split("\n")[0])
+        assert {r.page_num for r in found.select("page_num").collect()} == left
+
+
+def test_numbering_in_the_page_row_moves_no_card(spark):
+    pages = spark.range(50).selectExpr("CAST(id AS INT) AS page_num", "CAST(id % 3 AS INT) AS n_rows", "transform(sequence(1, id % 3), i -> named_struct('pos', CAST(i * 2 AS INT), 'card', named_struct('npsn', concat(id, '-', i)))) AS cards")
+    pages = pages.selectExpr("page_num", "n_rows", "slice(cards, 1, n_rows) AS cards")
+    rows = numbering.batched_pages(stored(pages, "pages"), 7)
+    plan = plan_of(rows)
+    assert "Sort [pos" not in plan
+    for part in plan.split("Exchange")[1:]:
+        assert "cards" not in part.split("\n")[0]
+    assert "SortMergeJoin" not in plan
+    got = [(r.page_num, r.pos, r.row_num, r.batch_label) for r in rows.orderBy("row_num").collect()]
+    places = [(p, 2 * (i + 1)) for p in range(50) for i in range(p % 3)]
+    assert got == [(p, pos, k + 1, f"batch_{k // 7 * 7 + 1}-{min(k // 7 * 7 + 7, len(places))}") for k, (p, pos) in enumerate(places)]
