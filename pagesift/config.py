@@ -33,7 +33,9 @@ class RunConfig:
     ``max_pages`` counts from ``start_page`` (relative limit); ``last_page`` is a page number
     the plan never passes (absolute limit, so that a resumed run gets no extra pages).
     ``pages_per_commit`` cuts a pass into page ranges that are committed one after the other, so
-    that a run that is stopped loses no more than one range.
+    that a run that is stopped loses no more than one range. ``batch_files`` writes the rows in files
+    of ``batch_size`` as the commits bring them. ``profile_ranges`` cuts a pass over profile pages into as
+    many commits, by a hash of the URL; every one of them reads the snapshots once.
     """
 
     run_id: str
@@ -45,5 +47,7 @@ class RunConfig:
     total_rows: int = fv.TOTAL_ROWS
     page_size: int = fv.PAGE_SIZE
     batch_size: int = fv.LIST_BATCH_SIZE
+    batch_files: bool = False
     stop_at_empty_page: bool = False
     pages_per_commit: int | None = None
+    profile_ranges: int = 1

@@ -105,12 +105,12 @@ def field_expressions() -> dict[str, str]:
     return fields
 
 
-def older_details(pages: DataFrame, *lineage: str) -> DataFrame:
+def older_details(pages: DataFrame, *lineage: str, rejected: bool = False) -> DataFrame:
     """Everything an older profile page says, one row per page that could be read.
 
-    Fields that this layout does not show are NULL.
+    Fields that this layout does not show are NULL. ``rejected`` keeps pages that could not be read.
     """
-    read = pages.where(F.col("parse_error").isNull()).select(*lineage, "url", "nodes")
+    read = (pages if rejected else pages.where(F.col("parse_error").isNull())).select(*lineage, "url", "nodes")
     fields = field_expressions() | {"url": "url"}
     return with_blocks(read).selectExpr(
         *lineage, *[f"{fields.get(c, 'CAST(NULL AS STRING)')} AS {c}" for c in fv.PROFILE_COLUMNS]

@@ -254,14 +254,15 @@ def field_expressions(site: SiteConfig, bounded: bool = False) -> dict[str, str]
 
 
 def profile_details(
-    pages: DataFrame, site: SiteConfig, *lineage: str, bounded: bool = False
+    pages: DataFrame, site: SiteConfig, *lineage: str, bounded: bool = False, rejected: bool = False
 ) -> DataFrame:
     """Everything a profile page says, one row per page that could be read.
 
     ``lineage`` names page columns to keep. ``bounded`` keeps the labels of the utilities block
-    from reading past their section.
+    from reading past their section. ``rejected`` keeps pages that could not be read, with nothing
+    but their URL; name ``parse_error`` in the lineage then.
     """
-    read = pages.where(F.col("parse_error").isNull()).select(*lineage, "url", "nodes")
+    read = (pages if rejected else pages.where(F.col("parse_error").isNull())).select(*lineage, "url", "nodes")
     fields = field_expressions(site, bounded)
     return with_blocks(read).selectExpr(
         *lineage, *[f"{fields.get(c, c)} AS {c}" for c in fv.PROFILE_COLUMNS]

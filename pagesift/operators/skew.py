@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds at least one row in HOT_SHARE, so there are never more than
-# HOT_SHARE hot keys: the broadcast below has that bound whatever the data looks like.
+# A key is hot when it holds at least one row in HOT_SHARE. Keys are looked for in a sample of SAMPLED rows, of which a hot
+# key has some two hundred, and taken from half that share on: at most twice HOT_SHARE keys, whatever the data looks
+# like. The sample decides which rows are spread over tasks, never which rows there are.
 HOT_SHARE = 1000
+SAMPLED = 200_000
 SALTS = 64
 
 
-def hot_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    """The at most ``share`` keys that hold at least one row in ``share`` (and more than one row)."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = rows.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    return counts.where((F.col("_n") > 1) & (F.col("_n") * share >= total)).select(key)
+def hot_keys(rows: DataFrame, key: str, share: int = HOT_SHARE, sampled: int = SAMPLED) -> DataFrame:
+    """The at most ``2 * share`` keys that hold much of the rows (and more than one row of a sample)."""
+    total = rows.count()
+    chosen = rows.select(key).sample(min(1.0, sampled / max(total, 1)), seed=1)
+    size = min(total, sampled)
+    return chosen.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) & (F.col("_n") * 2 * share >= size)).select(key)
 
 
 def spread_join(rows: DataFrame, lookup: DataFrame, key: str, salts: int = SALTS) -> DataFrame:

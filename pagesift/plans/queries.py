@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagesift import fixed_values as fv
@@ -886,6 +887,127 @@ def profile_run(spark, sf_dir):
     return runs.run_profiles(spark, cards, rd.profile_pages(spark, sf_dir), config)
 
 
+def _list_config(spark, sf_dir, name, **settings):
+    total = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    return RunConfig(name, new_dir(spark, "run"), rd.SITE, total_rows=total, **settings)
+
+
+@query(
+    f"""
+    WITH numbered AS (
+        SELECT cards.*, row_number() OVER (ORDER BY NOT success, cards.page_num, pos) AS row_num
+        FROM ({ORDER_CARDS}) AS cards JOIN ({CRAWL}) AS crawl ON cards.page_num = crawl.page_num WHERE filled
+    ), size AS (SELECT count(*) AS n FROM numbered),
+    whole AS (SELECT bool_and(filled) AS w FROM ({CRAWL}))
+    SELECT {LABEL.format(s=100, high='least((row_num - 1) // 100 * 100 + 100, n)')} AS batch, npsn, nama_sekolah,
+           alamat_sekolah, coalesce(status_sekolah, '-') AS status_sekolah
+    FROM numbered, size, whole WHERE w OR row_num <= n // 100 * 100
+    """
+)
+def list_run_batches(spark, sf_dir):
+    """Batch files of a run in three commits a pass that was cut in its middle, went on, and tried failures again."""
+    fetched = stored(rd.crawled_pages(spark, sf_dir), "snapshots")
+    config = _list_config(spark, sf_dir, "batches", batch_files=True)
+    pages_planned = page_plan.page_bounds(config)[1]
+    config = replace(config, pages_per_commit=-(-pages_planned // 3))
+    runs.run_pass(spark, fetched, replace(config, last_page=2 * config.pages_per_commit - 1))
+    runs.run_list(spark, fetched, config, retries=[fetched.withColumn("success", F.lit(True))])
+    path = f"{config.work_dir}/{config.run_id}/batches"
+    return csv_files.read_published_csv(spark, path, [*fv.CARD_COLUMNS, "batch", "commit"]).drop("commit")
+
+
+@query(
+    f"""
+    WITH first AS (
+        SELECT npsn, cards.page_num, pos FROM ({ORDER_CARDS}) AS cards JOIN ({CRAWL}) AS crawl ON cards.page_num = crawl.page_num
+        WHERE success AND filled QUALIFY row_number() OVER (PARTITION BY npsn ORDER BY cards.page_num, pos) = 1
+    )
+    SELECT npsn, row_number() OVER (ORDER BY page_num, pos) AS row_num FROM first
+    """
+)
+def list_run_order(spark, sf_dir):
+    """The published rows with the place that the order of files and of lines in them gives."""
+    fetched = stored(rd.crawled_pages(spark, sf_dir), "snapshots")
+    config = _list_config(spark, sf_dir, "order")
+    runs.run_list(spark, fetched, config)
+    rows = csv_files.read_in_published_order(spark, runs.published_path(spark, config), fv.CARD_COLUMNS)
+    placed = numbering.numbered(stored(rows.select(F.col("file").alias("page_num"), F.col("line").alias("pos"), "npsn"), "published"))
+    return placed.select("npsn", "row_num")
+
+
+@query(
+    f"""
+    WITH crawl AS ({CRAWL}),
+         stop AS (SELECT coalesce(min(page_num) FILTER (success AND NOT filled), 2147483647) AS once,
+                         coalesce(min(page_num) FILTER (NOT filled), 2147483647) AS retried FROM crawl)
+    SELECT 'all' AS run_id, CASE WHEN bool_and(filled) THEN 'complete' ELSE 'partial' END AS state FROM crawl
+    UNION ALL SELECT 'stops', CASE WHEN coalesce(bool_and(success) FILTER (page_num < once), true) THEN 'complete' ELSE 'partial' END FROM crawl, stop
+    UNION ALL SELECT 'stops-retried', CASE WHEN coalesce(bool_and(filled) FILTER (page_num < retried), true) THEN 'complete' ELSE 'partial' END
+    FROM crawl, stop
+    """
+)
+def run_states(spark, sf_dir):
+    """What three runs over one crawl say of themselves: all pages wanted, or those before the first empty one."""
+    fetched = stored(rd.crawled_pages(spark, sf_dir), "snapshots")
+    again = fetched.withColumn("success", F.lit(True))
+    states = []
+    for name, stops, retries in (("all", False, [again]), ("stops", True, []), ("stops-retried", True, [again])):
+        config = _list_config(spark, sf_dir, name, stop_at_empty_page=stops)
+        runs.run_list(spark, fetched, config, retries)
+        states.append(spark.read.schema(runs.RUNS).parquet(config.work_dir + "/runs").select("run_id", "state"))
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
+def _profile_run_in_two(spark, sf_dir):
+    """A run over profile pages of which some could not be read or were not there at first, and were later."""
+    links = rd.customers(spark, sf_dir).selectExpr("CAST(c_custkey AS STRING) AS npsn", f"{rd.PROFILE_URL} AS url", "c_custkey")
+    cards = _customer_cards(spark, sf_dir).withColumnRenamed("alamat_sekolah", "alamat_jalan").join(links.drop("c_custkey"), "npsn")
+    cards, saved = stored(cards, "cards"), rd.profile_pages(spark, sf_dir)
+    kept = saved.join(links.withColumn("part", F.expr("c_custkey % 5")).drop("npsn"), "url")
+    first = kept.where("part <> 3").withColumn("html", F.when(F.col("part") != 1, F.col("html"))).select("url", "html")
+    config = RunConfig("profiles", new_dir(spark, "run"), rd.SITE, profile_ranges=2)
+    runs.run_profiles(spark, cards, stored(first, "first"), config)
+    return cards, stored(saved, "saved"), config
+
+
+@query(ORACLES["profile_run"])
+def profile_run_resumed(spark, sf_dir):
+    """The wide table of a run that first found two fifths of its profiles missing or unreadable, and was called again."""
+    cards, saved, config = _profile_run_in_two(spark, sf_dir)
+    return runs.run_profiles(spark, cards, saved, config)
+
+
+@query(
+    f"""
+    SELECT {PROFILE_URL} AS url, CASE WHEN c_custkey % 5 = 1 THEN 'no html' ELSE 'no snapshot' END AS reason
+    FROM {PEOPLE} WHERE c_custkey % 5 IN (1, 3)
+    """
+)
+def profile_rejects(spark, sf_dir):
+    """Listed profiles without a row, and why."""
+    _, _, config = _profile_run_in_two(spark, sf_dir)
+    return spark.read.parquet(runs.published_path(spark, config) + "/rejects")
+
+
+@query(ORACLES["profile_run"].replace(f"FROM {PEOPLE})", f"FROM {PEOPLE} WHERE {PROFILE_URL} LIKE '%profil-sekolah%')"))
+def directory_run(spark, sf_dir):
+    """List pages, the profiles that their cards led to, and the merge of both, in one run."""
+    lists = rd.customer_pages(spark, sf_dir).withColumn("success", F.lit(True)).withColumn("fetched_at", F.lit(None).cast("timestamp"))
+    people = rd.customers(spark, sf_dir)
+    opened = people.selectExpr(
+        f"CAST(c_custkey div {rd.PAGE_SIZE} AS INT) AS page_num",
+        f"'{BASE}/sekolah' AS list_url",
+        f"{rd.PROFILE_URL} AS observed_url",
+        "c_custkey",
+    )
+    in_page = Window.partitionBy("page_num").orderBy("c_custkey")
+    opened = opened.withColumn("pos", (F.row_number().over(in_page) - 1).cast("int")).drop("c_custkey")
+    profiles = rd.profile_pages(spark, sf_dir)
+    last = people.agg(F.max("c_custkey")).first()[0]
+    config = RunConfig("directory", new_dir(spark, "run"), rd.SITE, total_rows=(last // rd.PAGE_SIZE + 1) * fv.PAGE_SIZE)
+    return runs.run_directory(spark, stored(lists, "lists"), opened, stored(profiles, "profiles"), config)
+
+
 # streams ----------------------------------------------------------------------------------------------------------
 
 
@@ -920,3 +1042,22 @@ def stream_ingest(spark, sf_dir):
     out = new_dir(spark, "results")
     ingest.ingest(_arrivals(spark, sf_dir), out, new_dir(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(out).select("page_num", "ok", "n_rows")
+
+
+@query(
+    f"""
+    SELECT cards.page_num, pos, npsn FROM ({ORDER_CARDS}) AS cards JOIN ({CRAWL}) AS crawl ON cards.page_num = crawl.page_num WHERE filled
+    """
+)
+def stream_then_pass(spark, sf_dir):
+    """Pages that came by a stream, failures that a pass read, and a third of all pages streamed again: each counts once."""
+    config = _list_config(spark, sf_dir, "mixed")
+    out, checkpoint = f"{config.work_dir}/{config.run_id}/page_results", new_dir(spark, "checkpoint")
+    arrivals, crawled = new_dir(spark, "arrivals"), stored(rd.crawled_pages(spark, sf_dir), "snapshots")
+    again = crawled.withColumn("success", F.lit(True))
+    crawled.select(*ingest.SNAPSHOT.names).repartition(8, "page_num").write.parquet(arrivals)
+    ingest.ingest(ingest.page_stream(spark, arrivals, max_files=5), out, checkpoint).awaitTermination()
+    runs.run_pass(spark, again, config)
+    again.where("page_num % 3 = 1").select(*ingest.SNAPSHOT.names).repartition(2, "page_num").write.mode("append").parquet(arrivals)
+    ingest.ingest(ingest.page_stream(spark, arrivals, max_files=5), out, checkpoint).awaitTermination()
+    return runs.collected_rows(spark, config).select("page_num", "pos", "npsn")

@@ -8,6 +8,7 @@ retry is simply another pass over what is still open.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -21,10 +22,13 @@ from pagesift.config import RunConfig
 from pagesift.operators import cards as cd
 from pagesift.operators import merge, older_profile, pages, profile, shape
 from pagesift.operators.metrics import observed, run_totals
-from pagesift.sinks.files import write_csv, write_wide_table
+from pagesift.plans import batches
+from pagesift.session import stored
+from pagesift.sinks.files import new_publish_path, write_csv_in_order, write_wide_table
+from pagesift.sources.commits import claim_attempt
 from pagesift.sources.html_nodes import with_nodes
-from pagesift.sources.page_plan import page_bounds, page_plan
-from pagesift.sources.state import PAGE_STATUS, latest_status, read_table, strings_schema
+from pagesift.sources.page_plan import page_bounds
+from pagesift.sources.state import PAGE_STATUS, latest_records, latest_status, read_table, strings_schema
 
 CARDS = T.ArrayType(
     T.StructType().add("pos", T.IntegerType()).add("card", strings_schema(fv.CARD_COLUMNS))
@@ -38,8 +42,16 @@ PAGE_RESULTS = (
     .add("error", T.StringType())
     .add("ts", T.TimestampType())
     .add("cards", CARDS)
+    .add("row", T.LongType())
     .add("attempt", T.IntegerType())
 )
+PROFILE_RESULTS = (
+    T.StructType([T.StructField("fetched_at", T.TimestampType()), *strings_schema(["reason", *fv.PROFILE_COLUMNS]).fields])
+    .add("attempt", T.IntegerType())
+    .add("range", T.IntegerType())
+    .add("outcome", T.StringType())
+)
+BROADCAST_URLS = 2_000_000
 RUNS = (
     T.StructType()
     .add("run_id", T.StringType())
@@ -64,9 +76,9 @@ class RunResult:
     complete: bool
 
 
-def page_results(snapshots: DataFrame) -> DataFrame:
+def page_results(snapshots: DataFrame, record=cd.card_record) -> DataFrame:
     """Outcome and cards of every snapshot: a map over the pages, without a shuffle."""
-    read = cd.with_cards(with_nodes(snapshots.select("page_num", "html", "success", "fetched_at")))
+    read = cd.with_cards(with_nodes(snapshots.select("page_num", "html", "success", "fetched_at")), record)
     return pages.with_outcome(read).select(
         "page_num",
         "ok",
@@ -78,6 +90,7 @@ def page_results(snapshots: DataFrame) -> DataFrame:
         ).alias("error"),
         F.col("fetched_at").cast("timestamp").alias("ts"),
         "cards",
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
@@ -86,7 +99,7 @@ def _results(spark: SparkSession, config: RunConfig) -> DataFrame:
 
 
 def _status(results: DataFrame) -> DataFrame:
-    return latest_status(results.select(*PAGE_STATUS.names))
+    return latest_status(results.select(*PAGE_STATUS.names, *[c for c in ("row",) if c in results.columns]))
 
 
 def _ranges(config: RunConfig) -> list[tuple[int, int]]:
@@ -98,13 +111,13 @@ def _ranges(config: RunConfig) -> list[tuple[int, int]]:
 def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> int:
     """Read all pages that are still open from ``snapshots``; returns the number of the pass.
 
-    ``snapshots`` has one row per page. With ``pages_per_commit`` each range of pages is one job
-    with its own commit; keep the snapshots in page order then, so that a range reads only its
-    own part of the files.
+    Of a page that ``snapshots`` has more than once, one record counts. With ``pages_per_commit`` each range of pages is
+    one job with its own commit; keep the snapshots in page order then, so that a range reads only its own part of the
+    files. The number of the pass comes from the order of attempts that streams into the same run share.
     """
-    results = _results(spark, config)
-    attempt = (results.agg(F.max("attempt")).first()[0] or 0) + 1
-    status = _status(results) if attempt > 1 else None
+    folder = f"{config.work_dir}/{config.run_id}/page_results"
+    attempt = claim_attempt(spark, folder, f"pass {uuid.uuid4().hex}")
+    status = _status(_results(spark, config)) if attempt > 1 else None
     for low, high in _ranges(config):
         in_range = (F.col("page_num") >= low) & (F.col("page_num") < high)
         wanted = snapshots.where(in_range)
@@ -113,7 +126,7 @@ def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> in
             before = status.where(in_range)
             open_pages = pages.pending_pages(open_pages, before)
             wanted = pages.without_done(wanted, before)
-        path = f"{config.work_dir}/{config.run_id}/page_results/attempt={attempt}/first_page={low}"
+        path = f"{folder}/attempt={attempt}/first_page={low}"
         watch = Observation()
         observed(page_results(wanted), watch).write.mode("overwrite").parquet(path)
         log.info("pass %d, pages %d to %d: %s", attempt, low, high - 1, watch.get)
@@ -126,8 +139,11 @@ def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> in
             F.lit("no snapshot").alias("error"),
             F.lit(None).cast("timestamp").alias("ts"),
             F.lit(None).cast(CARDS).alias("cards"),
+            F.lit(-1).cast("long").alias("row"),
         )
         unseen.write.mode("append").parquet(path)
+        if config.batch_files:
+            batches.write_filled_batches(spark, config, PAGE_RESULTS)
     return attempt
 
 
@@ -136,14 +152,23 @@ def collected_rows(spark: SparkSession, config: RunConfig) -> DataFrame:
 
     A page whose latest attempt failed gives no rows, as in the totals.
     """
-    results = _results(spark, config)
-    newest = _status(results).select("page_num", "attempt")
-    results = results.join(newest, ["page_num", "attempt"], "left_semi")
+    results = latest_records(_results(spark, config))
     if config.stop_at_empty_page:
         results = pages.until_empty_page(results)
     return cd.card_rows(results.where("ok"), "page_num")
 
 
+def is_complete(spark: SparkSession, config: RunConfig) -> bool:
+    """Whether every page that the run should bring is there: all planned ones, or those before the page it stops at."""
+    start, end = page_bounds(config)
+    planned = _results(spark, config).where((F.col("page_num") >= start) & (F.col("page_num") < end))
+    records = latest_records(planned.drop("cards", "ts"))
+    if config.stop_at_empty_page:
+        read_empty = records.where(F.col("success") & (F.col("error") == pages.NO_ROWS))
+        end = min(end, pages.first_empty(read_empty).first().stop)
+    return records.where((F.col("page_num") < end) & F.col("ok")).count() == max(end - start, 0)
+
+
 def run_list(
     spark: SparkSession,
     snapshots: DataFrame,
@@ -161,20 +186,67 @@ def run_list(
         run_pass(spark, fetched, config)
     rows = process(collected_rows(spark, config))
     distinct_rows = shape.keep_first(rows)
-    path = f"{config.work_dir}/{config.run_id}/published"
-    write_csv(cd.published_cards(distinct_rows), path)
-    open_left = pages.pending_pages(page_plan(spark, config), _status(_results(spark, config)))
-    complete = open_left.isEmpty()
+    complete = is_complete(spark, config)
+    if config.batch_files:
+        batches.write_filled_batches(spark, config, PAGE_RESULTS, close=complete)
+    path = new_publish_path(spark, f"{config.work_dir}/{config.run_id}/published", datetime.now(timezone.utc))
+    write_csv_in_order(distinct_rows.select("page_num", "pos", *fv.CARD_COLUMNS), path, ["page_num", "pos"])
     close_run(spark, config, path, "complete" if complete else "partial")
     return RunResult(rows, distinct_rows, run_totals(_status(_results(spark, config))), path, complete)
 
 
+def published_path(spark: SparkSession, config: RunConfig) -> str | None:
+    """Where the run's rows were published last. A publish that was cut has no entry, so the one before it still counts."""
+    entries = read_table(spark, f"{config.work_dir}/runs", RUNS).where(F.col("run_id") == config.run_id)
+    return entries.agg(F.max_by("path", "ts")).first()[0]
+
+
 def close_run(spark: SparkSession, config: RunConfig, path: str, state: str) -> None:
-    """Record the state of a run; called only after its publish was committed."""
+    """Record the state of a run and the path of its publish; called only after that publish was committed."""
     row = spark.createDataFrame([(config.run_id, state, path, datetime.now(timezone.utc))], RUNS)
     row.write.mode("append").parquet(f"{config.work_dir}/runs")
 
 
+def run_profile_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig, list_first: bool = False) -> int:
+    """Read the profile pages that no pass before has read; what each says, or why it says nothing, is appended.
+
+    One parse feeds both: details and rejects are one write, parted by outcome. URLs that are done go out by their names,
+    of which up to ``BROADCAST_URLS`` are sent to the pages; HTML is shuffled only beyond that.
+    """
+    folder = f"{config.work_dir}/{config.run_id}/profile_results"
+    attempt = claim_attempt(spark, folder, f"pass {uuid.uuid4().hex}")
+    fetched = F.col("fetched_at").cast("timestamp") if "fetched_at" in snapshots.columns else F.lit(None).cast("timestamp")
+    wanted = snapshots.select("url", "html", fetched.alias("fetched_at")).where(F.col("url").isNotNull())
+    if attempt > 1:
+        done = _profile_results(spark, config).where("outcome = 'ok'").select("url").distinct()
+        wanted = wanted.join(F.broadcast(done) if done.count() <= BROADCAST_URLS else done, "url", "left_anti")
+    for part in range(config.profile_ranges):
+        in_range = F.pmod(F.xxhash64("url"), F.lit(config.profile_ranges)) == part
+        parsed = with_nodes(wanted.where(in_range) if config.profile_ranges > 1 else wanted)
+        if list_first:
+            details = older_profile.older_details(parsed, "fetched_at", "parse_error", rejected=True)
+        else:
+            details = profile.profile_details(parsed, config.site, "fetched_at", "parse_error", rejected=True)
+        outcome = F.when(F.col("parse_error").isNull(), "ok").otherwise("rejected").alias("outcome")
+        rows = details.select("fetched_at", F.col("parse_error").alias("reason"), *fv.PROFILE_COLUMNS, outcome)
+        path = f"{folder}/attempt={attempt}/range={part}"
+        rows.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    return attempt
+
+
+def _profile_results(spark: SparkSession, config: RunConfig) -> DataFrame:
+    return read_table(spark, f"{config.work_dir}/{config.run_id}/profile_results", PROFILE_RESULTS)
+
+
+def profile_rejects(spark: SparkSession, cards: DataFrame, config: RunConfig) -> DataFrame:
+    """``url, reason`` of every listed profile that no pass could read; a page that nobody saved has the reason so."""
+    results = _profile_results(spark, config)
+    listed = cards.select("url").where(F.col("url").isNotNull() & (F.col("url") != "")).distinct()
+    left = listed.join(results.where("outcome = 'ok'").select("url"), "url", "left_anti")
+    last = results.where("outcome = 'rejected'").groupBy("url").agg(F.max_by("reason", F.struct("attempt", "fetched_at")).alias("reason"))
+    return left.join(last, "url", "left").select("url", F.coalesce("reason", F.lit("no snapshot")).alias("reason"))
+
+
 def run_profiles(
     spark: SparkSession,
     cards: DataFrame,
@@ -187,23 +259,43 @@ def run_profiles(
 
     ``cards`` has the five profile-card columns, ``page_num`` and ``pos``; ``profile_snapshots``
     has ``url, html``, and ``fetched_at`` if a URL may have been saved more than once: the latest
-    page counts then. Details are written once, so the merge reads 39 short columns instead of
-    parsing pages again.
+    page that can be read counts then. A call with the same run goes on: pages that were read are not read again.
+    The wide rows, their widths, the same as CSV in the cards' order, and the rejected profiles are published in one
+    folder. The run is complete when no listed profile is missing.
     """
     base = f"{config.work_dir}/{config.run_id}"
-    lineage = [c for c in ("fetched_at",) if c in profile_snapshots.columns]
-    parsed = with_nodes(profile_snapshots.select(*lineage, "url", "html"))
-    if list_first:
-        details, merged = older_profile.older_details(parsed, *lineage), merge.merge_list_first
-    else:
-        details, merged = profile.profile_details(parsed, config.site, *lineage), merge.merge_detail_first
-    if lineage:
-        details = shape.keep_last(details, "url", ("fetched_at",)).drop("fetched_at")
-    details.write.mode("overwrite").parquet(base + "/details")
-    cards.write.mode("overwrite").parquet(base + "/profile_cards")
-    stored_details = spark.read.schema(details.schema).parquet(base + "/details")
-    stored_cards = spark.read.schema(cards.schema).parquet(base + "/profile_cards")
+    run_profile_pass(spark, profile_snapshots, config, list_first)
+    read = _profile_results(spark, config).where("outcome = 'ok'")
+    details = shape.keep_last(read.select("fetched_at", "attempt", *fv.PROFILE_COLUMNS), "url", ("fetched_at", "attempt"))
+    stored_details = stored(details.select(*fv.PROFILE_COLUMNS), "details")
+    stored_cards = stored(cards, "profile-cards")
+    merged = merge.merge_list_first if list_first else merge.merge_detail_first
     rows = process(merged(stored_cards, stored_details, "page_num", "pos"))
-    write_wide_table(rows.select(*fv.PROFILE_COLUMNS).na.fill(fv.MISSING), base + "/wide")
-    close_run(spark, config, base + "/wide", "complete")
-    return spark.read.parquet(base + "/wide/rows")
+    rows = stored(rows.select("page_num", "pos", *fv.PROFILE_COLUMNS), "merged")
+    path = new_publish_path(spark, base + "/wide", datetime.now(timezone.utc))
+    write_wide_table(rows.select(*fv.PROFILE_COLUMNS).na.fill(fv.MISSING), path)
+    write_csv_in_order(rows, path + "/csv", ["page_num", "pos"])
+    profile_rejects(spark, stored_cards, config).write.parquet(path + "/rejects")
+    complete = spark.read.parquet(path + "/rejects").isEmpty()
+    close_run(spark, config, path, "complete" if complete else "partial")
+    return spark.read.parquet(path + "/rows")
+
+
+def run_directory(
+    spark: SparkSession,
+    list_snapshots: DataFrame,
+    opened: DataFrame,
+    profile_snapshots: DataFrame,
+    config: RunConfig,
+    retries: list[DataFrame] | None = None,
+    list_first: bool = False,
+    process: RowHook = lambda rows: rows,
+) -> DataFrame:
+    """The whole way from list pages to wide rows: list run, the profiles that its cards led to, merge, publish.
+
+    ``opened`` has ``page_num, pos, observed_url, list_url``: where a card led when it was opened. A call with the same
+    run goes on where the last one ended, in its list pages as in its profiles.
+    """
+    listed = run_list(spark, list_snapshots, config, retries)
+    cards = cd.opened_cards(listed.rows, opened, ["page_num", "pos"])
+    return run_profiles(spark, cards, profile_snapshots, config, list_first, process)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagesift import fixed_values as fv
 from pagesift.operators.metrics import column_widths
+from pagesift.sources.commits import path_exists
 
 
 def stamped_name(at: datetime, prefix: str = "data_sekolah") -> str:
@@ -40,6 +41,24 @@ def write_csv(rows: DataFrame, path: str) -> str:
     return path
 
 
+def new_publish_path(spark: SparkSession, folder: str, at: datetime) -> str:
+    """A path that no publish has used: the stamp of the time, and a number where that second has one already."""
+    path, number = f"{folder}/{stamped_name(at)}", 1
+    while path_exists(spark, path):
+        number += 1
+        path = f"{folder}/{stamped_name(at)}_{number}"
+    return path
+
+
+def write_csv_in_order(rows: DataFrame, path: str, order: list[str]) -> str:
+    """CSV part files whose numbers follow ``order``: rows are dealt by range, so no task sorts more than its share.
+
+    The columns of ``order`` are not written.
+    """
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
+    return write_csv(placed, path)
+
+
 def write_batches(batches: DataFrame, path: str, batches_per_folder: int = 1) -> str:
     """Batch files, in a folder named after the rows they hold.
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagesift.sources.commits import path_exists
+
 PAGE_STATUS = (
     T.StructType()
     .add("page_num", T.IntegerType())
@@ -32,12 +33,9 @@ def strings_schema(columns: list[str]) -> T.StructType:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet table that may not have been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 # local time as ISO text, with or without a fraction
@@ -47,18 +45,15 @@ ISO_WRITE = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def _read_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
     """Records of JSON files; a missing file gives no rows and a broken record gives none."""
-    try:
-        rows = (
-            spark.read.schema(schema)
-            .option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE")
-            .option("timestampNTZFormat", ISO_READ)
-            .json(path)
-        )
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    rows = (
+        spark.read.schema(schema)
+        .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("timestampNTZFormat", ISO_READ)
+        .json(path)
+    )
     return rows.na.drop("all")  # what could not be read arrives as a row of NULLs
 
 
@@ -110,12 +105,27 @@ def read_checkpoint(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     return read_summary(spark, path + "/summary"), _read_json(spark, path + "/failed_pages", pages, multi_line=False)
 
 
+def record_order(records: DataFrame) -> Column:
+    """A number that puts the records of a page in order: the later attempt counts, of one attempt the one that succeeded,
+    and of equal ones the row that was written last (``row``, where the records have it)."""
+    row = F.col("row") if "row" in records.columns else F.lit(0)
+    newest = (F.col("attempt").cast("long") * 2 + F.col("ok").cast("int")).cast("decimal(19,0)")
+    return (newest * F.lit(str(2**63)).cast("decimal(19,0)") + row.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def latest_records(records: DataFrame) -> DataFrame:
+    """The one record of every page that counts. Only numbers are grouped; the records meet them by a semi join."""
+    ordered = records.withColumn("_order", record_order(records))
+    newest = ordered.groupBy("page_num").agg(F.max("_order").alias("_order"))
+    return ordered.join(newest, ["page_num", "_order"], "left_semi").drop("_order")
+
+
 def latest_status(status: DataFrame) -> DataFrame:
-    """Latest attempt of every page; of two records of one attempt the successful one counts.
+    """Latest outcome of every page, by :func:`record_order`.
 
     Keys and buffers are plain numbers, so this is a hash aggregation with a map-side part.
     """
-    newest = F.col("attempt") * 2 + F.col("ok").cast("int")
+    newest = record_order(status)
     return status.groupBy("page_num").agg(
         F.max("attempt").alias("attempt"),
         F.max_by("ok", newest).alias("ok"),

@@ -12,6 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from pagesift.operators.cards import card_rows, with_cards
 from pagesift.plans.run import page_results
+from pagesift.sources.commits import claim_attempt
 from pagesift.sources.html_nodes import with_nodes
 
 SNAPSHOT = (
@@ -41,12 +42,14 @@ def page_stream(
 def ingest(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append the outcome and cards of every arriving page, failed pages included.
 
-    Each micro-batch writes a folder named after its number and overwrites it when it is
-    replayed, so a restart neither loses nor doubles a page. No batch pass writes to that folder.
+    Each micro-batch asks for a number among the attempts of the run, in which passes take theirs as well, and writes the
+    folder of that number. A batch that is replayed finds its number again and overwrites its folder, so a restart
+    neither loses nor doubles a page.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        page_results(batch).write.mode("overwrite").parquet(f"{out}/attempt={number + 1}/first_page={STREAMED}")
+        attempt = claim_attempt(batch.sparkSession, out, f"stream {checkpoint} batch {number}")
+        page_results(batch).write.mode("overwrite").parquet(f"{out}/attempt={attempt}/first_page={STREAMED}")
 
     return (
         stream.writeStream.foreachBatch(write)
