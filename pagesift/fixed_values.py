@@ -28,7 +28,7 @@ MAX_COLUMN_WIDTH = 100
 # --- fixed values: markers ----------------------------------------------------------------------
 
 MISSING = "-"
-BOM = "﻿"
+BOM = "\ufeff"
 TIMESTAMP_FORMAT = "yyyyMMdd_HHmmss"
 
 # U+2014, U+2013, U+002D, U+2212, U+2015, U+2010, U+2011, U+2012
@@ -121,3 +121,6 @@ VOID_ELEMENTS = frozenset(
 SPECIAL_STRING_ELEMENTS = frozenset(["script", "style", "template", "rt", "rp"])
 KEEP_BLANKS_ELEMENTS = frozenset(["pre", "textarea"])
 TEXT_KINDS = ["#text", "#cdata"]
+
+# Characters that pages labelled windows-1252 or ISO-8859-1 mean by the bytes 0x80 to 0x9F (fixed values of the encoding).
+WINDOWS_1252 = {b: bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}

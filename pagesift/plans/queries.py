@@ -1061,3 +1061,81 @@ def stream_then_pass(spark, sf_dir):
     again.where("page_num % 3 = 1").select(*ingest.SNAPSHOT.names).repartition(2, "page_num").write.mode("append").parquet(arrivals)
     ingest.ingest(ingest.page_stream(spark, arrivals, max_files=5), out, checkpoint).awaitTermination()
     return runs.collected_rows(spark, config).select("page_num", "pos", "npsn")
+
+
+@query(
+    f"""
+    SELECT npsn, cards.page_num, pos FROM ({ORDER_CARDS}) AS cards JOIN ({CRAWL}) AS crawl ON cards.page_num = crawl.page_num
+    WHERE success AND filled QUALIFY row_number() OVER (PARTITION BY npsn ORDER BY cards.page_num % 2 = 0, cards.page_num, pos) = 1
+    """
+)
+def stream_first_arrival(spark, sf_dir):
+    """Where the first arrival of every identifier stood: odd pages come first, even ones later."""
+    arrivals, out, checkpoint = new_dir(spark, "arrivals"), new_dir(spark, "distinct"), new_dir(spark, "checkpoint")
+    crawled = stored(rd.crawled_pages(spark, sf_dir).select(*ingest.SNAPSHOT.names), "snapshots")
+    for rest in (1, 0):
+        crawled.where(F.col("page_num") % 2 == rest).repartition(8, "page_num").write.mode("append").parquet(arrivals)
+        ingest.ingest_distinct(ingest.page_stream(spark, arrivals), out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select("npsn", "page_num", "pos")
+
+
+@query(
+    f"""
+    WITH crawl AS ({CRAWL}), planned AS (SELECT CAST(ceil(count(*) / 48.0) AS BIGINT) AS n FROM orders)
+    SELECT CAST(2 AS BIGINT) AS batches, count(*) AS total_pages, count(*) FILTER (success AND filled) AS total_pages_ok,
+           CAST(sum(CASE WHEN success AND filled THEN crawl.n ELSE 0 END) AS BIGINT) AS total_rows,
+           count(*) FILTER (success AND filled) * 100.0::DOUBLE / any_value(planned.n) AS percent
+    FROM crawl, planned
+    """
+)
+def stream_progress(spark, sf_dir):
+    """What the progress of a stream says after its last micro-batch."""
+    out = new_dir(spark, "results")
+    planned = page_plan.page_count(spark.read.parquet(f"{sf_dir}/orders.parquet").count())
+    ingest.ingest(_arrivals(spark, sf_dir), out, new_dir(spark, "checkpoint"), planned).awaitTermination()
+    rows = ingest.live_progress(spark, out)
+    totals = ("total_pages", "total_pages_ok", "total_rows", "percent")
+    return rows.agg(F.count("*").alias("batches"), *(F.max_by(c, "attempt").alias(c) for c in totals))
+
+
+@query(
+    f"""
+    SELECT npsn, replace(nama_sekolah, 'Customer', 'Cüstömer') AS nama_sekolah, alamat_sekolah, coalesce(status_sekolah, '-') AS status_sekolah
+    FROM ({ORDER_CARDS}) QUALIFY row_number() OVER (PARTITION BY npsn ORDER BY page_num, pos) = 1
+    """
+)
+def html_files_run(spark, sf_dir):
+    """A run over saved files, half of them in UTF-8 and half in windows-1252 as their meta element says."""
+    html = F.regexp_replace(F.replace("html", F.lit("Customer"), F.lit("Cüstömer")), r"\s+", " ")
+    saved = stored(rd.order_pages(spark, sf_dir).select(F.col("page_num").alias("page"), html.alias("html")), "saved")
+    folder = new_dir(spark, "html")
+    saved.where("page % 2 = 0").repartition(8, "page").write.partitionBy("page").text(folder + "/utf8")
+    meta = F.concat(F.lit('<meta http-equiv="content-type" content="text/html; charset=ISO-8859-1">'), "html").alias("html")
+    writer = saved.where("page % 2 = 1").select("page", meta).repartition(8, "page").write.partitionBy("page")
+    writer.option("encoding", "ISO-8859-1").option("quote", "").option("escapeQuotes", False).option("sep", "\u0001").csv(folder + "/latin")
+    files_read = snapshots.read_html_files(spark, folder, "part-*")
+    pages_read = snapshots.list_snapshots(files_read, r"page=(\d+)/")
+    result = runs.run_list(spark, pages_read, _list_config(spark, sf_dir, "files"))
+    return csv_files.read_published_csv(spark, result.path, fv.CARD_COLUMNS)
+
+
+@query(
+    f"""
+    SELECT npsn, nama_sekolah, alamat_sekolah, status_sekolah
+    FROM ({ORDER_CARDS}) AS cards JOIN ({CRAWL}) AS crawl ON cards.page_num = crawl.page_num WHERE success AND filled
+    """
+)
+def resume_from_summary(spark, sf_dir):
+    """A run that goes on from another program's checkpoint: summary with failed pages, and saved rows."""
+    fetched = stored(rd.crawled_pages(spark, sf_dir), "snapshots")
+    config = _list_config(spark, sf_dir, "seeded")
+    last = page_plan.page_bounds(config)[1] // 2
+    before = stored(runs.page_results(fetched.where(F.col("page_num") <= last)), "before")
+    folder = new_dir(spark, "checkpoint")
+    failed = F.collect_list(F.when(~F.col("ok"), F.col("page_num"))).alias("failed_pages")
+    summary = before.agg(F.max("page_num").alias("last_page"), F.sum("n_rows").alias("processed_count"), failed)
+    summary.coalesce(1).write.json(folder + "/summary")
+    files.write_saved_rows(cd.card_rows(before.where("ok"), "page_num").select(*fv.CARD_COLUMNS), folder + "/rows")
+    saved = state.read_saved_rows(spark, folder + "/rows", fv.CARD_COLUMNS)
+    runs.resume_from_summary(spark, config, state.read_summary(spark, folder + "/summary"), saved)
+    return runs.run_list(spark, fetched, config).rows.select(*fv.CARD_COLUMNS)

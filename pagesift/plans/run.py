@@ -25,10 +25,10 @@ from pagesift.operators.metrics import observed, run_totals
 from pagesift.plans import batches
 from pagesift.session import stored
 from pagesift.sinks.files import new_publish_path, write_csv_in_order, write_wide_table
-from pagesift.sources.commits import claim_attempt
+from pagesift.sources.commits import claim_attempt, path_exists
 from pagesift.sources.html_nodes import with_nodes
 from pagesift.sources.page_plan import page_bounds
-from pagesift.sources.state import PAGE_STATUS, latest_records, latest_status, read_table, strings_schema
+from pagesift.sources.state import PAGE_STATUS, latest_records, latest_status, listed_failures, read_table, strings_schema
 
 CARDS = T.ArrayType(
     T.StructType().add("pos", T.IntegerType()).add("card", strings_schema(fv.CARD_COLUMNS))
@@ -117,7 +117,8 @@ def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> in
     """
     folder = f"{config.work_dir}/{config.run_id}/page_results"
     attempt = claim_attempt(spark, folder, f"pass {uuid.uuid4().hex}")
-    status = _status(_results(spark, config)) if attempt > 1 else None
+    begun = attempt > 1 or path_exists(spark, f"{folder}/attempt=0")
+    status = _status(_results(spark, config)) if begun else None
     for low, high in _ranges(config):
         in_range = (F.col("page_num") >= low) & (F.col("page_num") < high)
         wanted = snapshots.where(in_range)
@@ -147,15 +148,56 @@ def run_pass(spark: SparkSession, snapshots: DataFrame, config: RunConfig) -> in
     return attempt
 
 
+def resume_from_summary(spark: SparkSession, config: RunConfig, summary: DataFrame, saved_rows: DataFrame) -> None:
+    """Begin a run where another program's checkpoint ended: its pages are attempt 0, its rows come before all others.
+
+    ``summary`` is what ``read_summary`` or ``read_checkpoint`` gave: pages up to ``last_page`` are done but for those in
+    ``failed_pages``. Saved rows do not say which page they came from; they are kept as a table of their own.
+    Without a usable summary nothing is seeded, and all pages are open. Call it before the first pass.
+    """
+    base = f"{config.work_dir}/{config.run_id}"
+    start, end = page_bounds(config)
+    planned = spark.range(start, end).select(F.col("id").cast("int").alias("page_num"))
+    last = summary.agg(F.max("last_page").alias("last")).first().last
+    failed = listed_failures(summary).distinct().withColumn("failed", F.lit(True))
+    seen = planned.where(F.col("page_num") <= (last if last is not None else -1)).join(failed, "page_num", "left")
+    ok = F.col("failed").isNull()
+    seeded = seen.select(
+        "page_num",
+        ok.alias("ok"),
+        ok.alias("success"),
+        F.lit(0).alias("n_rows"),
+        F.when(~ok, "failed before").alias("error"),
+        F.lit(None).cast("timestamp").alias("ts"),
+        F.lit(None).cast(CARDS).alias("cards"),
+        F.lit(-1).cast("long").alias("row"),
+    )
+    seeded.write.mode("overwrite").parquet(f"{base}/page_results/attempt=0/first_page={start}")
+    kept = saved_rows.select(F.monotonically_increasing_id().alias("place"), *fv.CARD_COLUMNS)
+    kept.write.mode("overwrite").parquet(f"{base}/saved_rows")
+
+
+SAVED = T.StructType([T.StructField("place", T.LongType()), *strings_schema(fv.CARD_COLUMNS).fields])
+SAVED_PAGE = -1  # stands for the page of rows that a checkpoint brought
+
+
 def collected_rows(spark: SparkSession, config: RunConfig) -> DataFrame:
     """One row per card of all pages, with ``page_num`` and ``pos``; of each page the latest attempt counts.
 
-    A page whose latest attempt failed gives no rows, as in the totals.
+    A page whose latest attempt failed gives no rows, as in the totals. Rows that a checkpoint brought come first, as page
+    -1.
     """
     results = latest_records(_results(spark, config))
     if config.stop_at_empty_page:
         results = pages.until_empty_page(results)
-    return cd.card_rows(results.where("ok"), "page_num")
+    rows = cd.card_rows(results.where("ok"), "page_num")
+    saved_path = f"{config.work_dir}/{config.run_id}/saved_rows"
+    if not path_exists(spark, saved_path):
+        return rows
+    saved = spark.read.schema(SAVED).parquet(saved_path)
+    return saved.select(F.lit(SAVED_PAGE).alias("page_num"), F.col("place").alias("pos"), *fv.CARD_COLUMNS).unionByName(
+        rows.withColumn("pos", F.col("pos").cast("long"))
+    )
 
 
 def is_complete(spark: SparkSession, config: RunConfig) -> bool:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagesift import fixed_values as fv
+
 
 def spread_scan(scan: DataFrame, key: str) -> DataFrame:
     """Give every core a share when a small input comes in fewer splits than there are cores.
@@ -25,12 +27,47 @@ def read_pages(spark: SparkSession, path: str, *columns: str, key: str = "page_i
 
 
 def read_html_files(spark: SparkSession, path: str, pattern: str = "*.html") -> DataFrame:
-    """Saved pages as files, one row per file: ``url`` is the file's path. Bytes that are not UTF-8 become U+FFFD."""
+    """Saved pages as files, one row per file: ``url`` is the file's path, ``charset`` what it was read as.
+
+    The charset is named by the byte order mark or by a ``meta`` element among the first 1,024 bytes; without either it
+    is UTF-8. Names that Spark cannot decode are read as windows-1252, which has a character for every byte. Bytes that
+    are not UTF-8 become U+FFFD.
+    """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
     )
-    return files.select(
-        F.col("path").alias("url"),
-        F.col("modificationTime").alias("fetched_at"),
-        F.make_valid_utf8(F.col("content").cast("string")).alias("html"),
+    head = "decode(substring(content, 1, 1024), 'ISO-8859-1')"
+    named = rf"nullif(lower(regexp_extract({head}, '(?i)<meta[^>]+charset\\s*=\\s*[\\x22\\x27]?\\s*([-_A-Za-z0-9]+)', 1)), '')"
+    marked = files.withColumn("_head", F.hex(F.substring("content", 1, 3))).withColumn(
+        "charset",
+        F.expr(
+            "CASE WHEN _head = 'EFBBBF' THEN 'utf-8' WHEN _head LIKE 'FEFF%' THEN 'utf-16be' WHEN _head LIKE 'FFFE%' THEN 'utf-16le'"
+            f" ELSE CASE WHEN coalesce({named}, 'utf-8') IN ('utf-8', 'utf8', 'us-ascii', 'ascii', 'utf-16', 'utf-16be', 'utf-16le') THEN 'utf-8'"
+            " ELSE 'windows-1252' END END"
+        ),
+    )
+    latin = F.translate(F.decode("content", "ISO-8859-1"), "".join(map(chr, fv.WINDOWS_1252)), "".join(fv.WINDOWS_1252.values()))
+    text = (
+        F.when(F.col("charset") == "utf-16be", F.decode(F.expr("substring(content, 3)"), "UTF-16BE"))
+        .when(F.col("charset") == "utf-16le", F.decode(F.expr("substring(content, 3)"), "UTF-16LE"))
+        .when(F.col("charset") == "windows-1252", latin)
+        .otherwise(F.make_valid_utf8(F.expr("IF(_head = 'EFBBBF', substring(content, 4), content)").cast("string")))
+    )
+    return marked.select(
+        F.col("path").alias("url"), F.col("modificationTime").alias("fetched_at"), text.alias("html"), "charset"
     )
+
+
+def list_snapshots(files: DataFrame, page_pattern: str = r"(\d+)[^/\d]*$") -> DataFrame:
+    """Saved list pages as the snapshots of a run: the page number is the last number of the file's path.
+
+    Files without a number are left out; a file of white space is a page that was not loaded. Spark leaves out files of no
+    bytes, so their pages count as not saved.
+    """
+    number = F.regexp_extract("url", page_pattern, 1)
+    return files.select(
+        number.try_cast("int").alias("page_num"),
+        "html",
+        F.regexp_like("html", F.lit(r"\S")).alias("success"),
+        F.col("fetched_at").cast("timestamp").alias("fetched_at"),
+    ).where(F.col("page_num").isNotNull())

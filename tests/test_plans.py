@@ -16,7 +16,8 @@ def plan_of(df):
 # these hand back what they wrote, so their plan is a scan
 WRITTEN = {
     "list_run", "profile_run", "stream_distinct", "stream_ingest", "batch_files", "batch_files_packed", "list_run_batches", "list_run_order", "run_states",
-    "profile_run_resumed", "profile_rejects", "directory_run", "stream_then_pass",
+    "profile_run_resumed", "profile_rejects", "directory_run", "stream_then_pass", "stream_first_arrival",
+    "stream_progress", "html_files_run", "resume_from_summary",
 }
 
 
