@@ -6,14 +6,18 @@ of its centre, and centres lie further apart than it. Two trees are walked toget
 the distance of its centres exceeds both covering radii plus the threshold, is taken as a whole when every pair below
 it must be within the threshold, and is opened otherwise. Pairs of single points are compared by their cosine.
 
+Distances never grow in a projection, so centres are first compared in their first axes, with the norm of the rest as
+one more: that bounds the cosine from above, and only what comes near the threshold there is compared as a whole.
+
 Across the cluster, pivots (a bounded sample) are the top level: every vector goes to its nearest pivot's cell, cells are
-cut into blocks of bounded size, and each block gets its tree once. Cells whose covering radii keep them apart are never
-compared; the blocks of all other cells meet pair by pair, one pair a task. A task returns a count per vector and the
-edges of a spanning forest, never all pairs, so a large group of copies costs no more than its members. Equal vectors
-are one node with a weight from the start.
+cut into blocks of bounded size, and each block gets its tree once. Neighbouring blocks make a group. Groups all of whose
+cells are kept apart by their covering radii are never brought together; of all others a task walks the trees of two
+groups, so a tree is sent once per group and not once per tree. A task returns a count per vector and the edges of a
+spanning forest, never all pairs, so a large group of copies costs no more than its members. Equal vectors are one node
+with a weight from the start.
 
 Vectors without any structure (random directions in many dimensions) leave nothing to prune between cells; the search
-is then as quadratic as every exact one.
+is then quadratic in products over the first axes, as every exact one is in something.
 """
 
 from __future__ import annotations
@@ -31,6 +35,10 @@ from pagesift.llm.vectors import finite, matrix, pack, unpack
 COSINE = 0.95
 BLOCK = 2_048
 MAX_PIVOTS = 1_024
+GROUP = 64  # trees of a side that a task holds at most
+GROUPS = 8  # groups to begin with: 36 tasks
+AXES = 24  # axes that are compared first
+_NEAR = 1e-5  # rounding of products in single precision
 _SAFE = 1e-6  # distances come from cosines, whose rounding grows to this near zero
 
 
@@ -40,6 +48,7 @@ class Tree:
 
     def __init__(self, x: np.ndarray, **parts: np.ndarray):
         self.x = x
+        self.coarse = _coarse(x)
         self.parts = parts
         for name, value in parts.items():
             setattr(self, name, value)
@@ -53,7 +62,8 @@ class Tree:
             node, r = todo.pop()
             a, b = low[node], high[node]
             points = order[a:b]
-            away = _distance(x[points] @ x[centre[node]])
+            own = x[points]
+            away = _distance(own @ x[centre[node]])
             radius[node] = float(away.max())
             if b - a == 1:
                 radius[node] = 0.0
@@ -76,7 +86,7 @@ class Tree:
                 if nearest[far] <= r:
                     break
                 centres.append(int(points[far]))
-                d = _distance(x[points] @ x[points[far]])
+                d = _distance(own @ own[far])
                 closer = d < nearest
                 owner[closer] = len(centres) - 1
                 nearest = np.where(closer, d, nearest)
@@ -102,6 +112,39 @@ class Tree:
         return found if len(found) else np.array([node])
 
 
+def _coarse(x: np.ndarray) -> np.ndarray:
+    """The first axes and the norm of the others: products of these are never below those of the whole vectors."""
+    if x.shape[1] <= AXES + 8:
+        return x.astype(np.float32)
+    first = x[:, :AXES]
+    rest = np.sqrt(np.maximum((x[:, AXES:] ** 2).sum(axis=1, keepdims=True), 0.0))
+    return np.concatenate([first, rest], axis=1).astype(np.float32)
+
+
+def _near(a: Tree, left: np.ndarray, b: Tree, right: np.ndarray, cosine: float, limit: float) -> tuple[np.ndarray, ...]:
+    """Places in ``left`` and ``right`` of nodes that may hold linked pairs, and the cosines of their centres.
+
+    Points are compared by the cosine itself, other nodes by the bound of their radii.
+    """
+    found = []
+    ra, rb = a.radius[left], b.radius[right]
+    for p in (np.flatnonzero(ra == 0), np.flatnonzero(ra > 0)):
+        for q in (np.flatnonzero(rb == 0), np.flatnonzero(rb > 0)):
+            if not len(p) or not len(q):
+                continue
+            ca, cb = a.centre[left[p]], b.centre[right[q]]
+            pointlike = ra[p[0]] == 0 and rb[q[0]] == 0
+            least = cosine if pointlike else 1.0 - (ra[p].max() + rb[q].max() + limit + _SAFE) ** 2 / 2.0
+            i, j = np.divmod(np.flatnonzero(a.coarse[ca] @ b.coarse[cb].T >= np.float32(least - _NEAR)), len(q))
+            dots = np.einsum("ij,ij->i", a.x[ca[i]], b.x[cb[j]])
+            bound = cosine if pointlike else 1.0 - (ra[p[i]] + rb[q[j]] + limit + _SAFE) ** 2 / 2.0
+            keep = dots >= bound
+            found.append((p[i[keep]], q[j[keep]], dots[keep]))
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return tuple(map(np.concatenate, zip(*found)))
+
+
 def _distance(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * cosine, 0.0))
 
@@ -127,16 +170,13 @@ def linked_nodes(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndarra
             whole_a.append(np.array([i]))
             whole_b.append(np.array([j]))
             continue
-        dots = a.x[a.centre[left]] @ b.x[b.centre[right]].T
-        ra, rb = a.radius[left], b.radius[right]
-        pointlike = (ra == 0)[:, None] & (rb == 0)[None, :]
-        reach = ra[:, None] + rb[None, :]
-        # points: by the cosine itself; others: by the bound of their radii
-        p, q = np.nonzero(dots >= np.where(pointlike, cosine, 1.0 - (reach + limit + _SAFE) ** 2 / 2.0))
+        p, q, dots = _near(a, left, b, right, cosine, limit)
         if same and i == j:
-            p, q = p[p <= q], q[p <= q]
+            once = p <= q
+            p, q, dots = p[once], q[once], dots[once]
         n, m = left[p], right[q]
-        sure = pointlike[p, q] | (_distance(dots[p, q]) + reach[p, q] + _SAFE <= limit)
+        reach = a.radius[n] + b.radius[m]
+        sure = (reach == 0) | (_distance(dots) + reach + _SAFE <= limit)
         own = same & (n == m)
         sure = np.where(own, False, sure)
         whole_a.append(n[sure])
@@ -150,6 +190,12 @@ def linked_nodes(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(whole_a), np.concatenate(whole_b)
 
 
+def _may_meet(a: Tree, b: Tree, limit: float) -> bool:
+    """Whether the covering radii of two roots leave room for a link."""
+    apart = float(_distance(np.array(a.x[a.centre[0]] @ b.x[b.centre[0]])))
+    return apart <= a.radius[0] + b.radius[0] + limit + _SAFE
+
+
 def roots_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest number in the component of each of ``n`` points."""
     label = np.arange(n)
@@ -268,13 +314,19 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE, id: str = "vec_id
     stats = {r.cell: r for r in cells.groupBy("cell").agg(F.max("away").alias("away"), F.count("cls").alias("n")).collect()}
     limit = math.sqrt(2.0 - 2.0 * cosine) + _SAFE
     blocks = {c: max(1, -(-r.n // block)) for c, r in stats.items()}
+    # trees are numbered cell by cell, and so many neighbours make a group
+    starts, trees_in_all = {}, 0
+    for c in sorted(blocks):
+        starts[c], trees_in_all = trees_in_all, trees_in_all + blocks[c]
+    size = max(1, min(GROUP, -(-trees_in_all // GROUPS)))
+    spans = {c: (starts[c] // size, (starts[c] + blocks[c] - 1) // size) for c in blocks}
     pairs = []  # at most MAX_PIVOTS ** 2 / 2 pairs of cells
     for c in sorted(stats):
         for d in sorted(stats):
             if c <= d and pivots[c][0] == pivots[d][0]:
                 apart = float(_distance(np.array(pivots[c][1] @ pivots[d][1])))
                 if c == d or apart <= stats[c].away + stats[d].away + limit:
-                    pairs.append((c, d, blocks[c], blocks[d]))
+                    pairs.append((*spans[c], *spans[d]))
     number = F.create_map(*(F.lit(v) for c, n in blocks.items() for v in (c, n)))
     dealt = cells.withColumn("part", F.pmod(F.hash("cls"), number[F.col("cell")]))
 
@@ -285,37 +337,51 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE, id: str = "vec_id
         return pa.table({"cell": [key[0].as_py()], "part": [key[1].as_py()], "payload": [payload]}, schema=_TREE)
 
     trees = stored(dealt.groupBy("cell", "part").applyInArrow(planted, "cell int, part int, payload binary"), "cover-trees")
-    wide = spark.createDataFrame(pairs, "c int, d int, nc int, nd int")
-    wide = wide.select("c", "d", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("i"), "nd")
-    wide = wide.select("c", "d", "i", F.explode(F.sequence(F.lit(0), F.col("nd") - 1)).alias("j")).where("c < d OR i <= j")
-    left = wide.join(trees.select(F.col("cell").alias("c"), F.col("part").alias("i"), "payload"), ["c", "i"])
-    right = wide.where("c < d OR i < j").join(trees.select(F.col("cell").alias("d"), F.col("part").alias("j"), "payload"), ["d", "j"])
-    order = ["c", "i", "d", "j", "side", "payload"]
-    sides = left.withColumn("side", F.lit(0)).select(*order).unionByName(right.withColumn("side", F.lit(1)).select(*order))
+    start = F.create_map(*(F.lit(v) for c, n in starts.items() for v in (c, n)))
+    grouped = trees.withColumn("g", F.floor((start[F.col("cell")] + F.col("part")) / size).cast("int"))
+    wide = spark.createDataFrame(sorted(set(pairs)), "c0 int, c1 int, d0 int, d1 int")
+    wide = wide.select(F.explode(F.sequence("c0", "c1")).alias("c"), "d0", "d1").select("c", F.explode(F.sequence("d0", "d1")).alias("d"))
+    wide = wide.select(F.least("c", "d").alias("c"), F.greatest("c", "d").alias("d")).distinct()
+    left = wide.join(grouped.withColumnRenamed("g", "c"), "c").withColumn("side", F.lit(0))
+    right = wide.where("c < d").join(grouped.withColumnRenamed("g", "d"), "d").withColumn("side", F.lit(1))
+    order = ["c", "d", "side", "cell", "part", "payload"]
+    sides = left.select(*order).unionByName(right.select(*order))
+    names = ("order", "centre", "radius", "low", "high", "first", "child")
 
     def compared(key: tuple, group: pa.Table) -> pa.Table:
-        held = {s: unpack(p) for s, p in zip(group.column("side").to_pylist(), group.column("payload").to_pylist())}
-        itself = key[0] == key[2] and key[1] == key[3]
-        if not itself and len(held) < 2:  # hashing left the other block empty
+        held: tuple[list, list] = [], []
+        rows_of = zip(*(group.column(c).to_pylist() for c in ("cell", "part", "side", "payload")))
+        for cell, part, side, payload in sorted(rows_of, key=lambda r: r[:2]):
+            one = unpack(payload)
+            held[side].append((one["cls"], one["weight"], Tree(one["x"], **{k: one[k] for k in names})))
+        itself = key[0] == key[1]
+        counts, ends, roots = [], [], []
+        for k, (cls, weight, a) in enumerate(held[0]):
+            for other, other_weight, b in held[0][k:] if itself else held[1]:
+                if a.x.shape[1] != b.x.shape[1] or not _may_meet(a, b, limit):
+                    continue
+                count, tied, root = links_of(a, b, weight, other_weight, cosine)
+                ids = cls if a is b else np.concatenate([cls, other])
+                some = np.flatnonzero(count)
+                counts.append((ids[some], count[some]))
+                ends.append(ids[tied])
+                roots.append(ids[root])
+        if not counts:
             return _FOUND.empty_table()
-        one = held[0]
-        other = one if itself else held[1]
-        names = ("order", "centre", "radius", "low", "high", "first", "child")
-        a = Tree(one["x"], **{k: one[k] for k in names})
-        b = a if itself else Tree(other["x"], **{k: other[k] for k in names})
-        count, tied, root = links_of(a, b, one["weight"], other["weight"], cosine)
-        ids = one["cls"] if itself else np.concatenate([one["cls"], other["cls"]])
-        some = np.flatnonzero(count)
+        ids, place = np.unique(np.concatenate([i for i, _ in counts]), return_inverse=True)
+        sums = np.zeros(len(ids), np.int64)
+        np.add.at(sums, place, np.concatenate([n for _, n in counts]))
+        tied, root = np.concatenate(ends), np.concatenate(roots)
         return pa.table(
             [
-                np.concatenate([ids[some], ids[tied]]),
-                pa.array(np.concatenate([ids[some], ids[root]]), mask=np.arange(len(some) + len(tied)) < len(some)),
-                np.concatenate([count[some], np.zeros(len(tied), np.int64)]),
+                np.concatenate([ids, tied]),
+                pa.array(np.concatenate([ids, root]), mask=np.arange(len(ids) + len(tied)) < len(ids)),
+                np.concatenate([sums, np.zeros(len(tied), np.int64)]),
             ],
             schema=_FOUND,
         )
 
-    found = stored(sides.groupBy("c", "i", "d", "j").applyInArrow(compared, "a long, b long, n long"), "vector-links")
+    found = stored(sides.groupBy("c", "d").applyInArrow(compared, "a long, b long, n long"), "vector-links")
     groups = components(found.where("b IS NOT NULL"))
     counts = found.where("n > 0").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))
     known = classes.select("cls", "weight").join(counts, "cls", "left").join(groups.withColumnRenamed("node", "cls"), "cls", "left")
