@@ -11,11 +11,16 @@ broadcast or whole in one place; of each pair of blocks only k rows a query go o
 
 Defined results: vectors that are null, empty or hold null or non-finite components, and rows without id, take no part;
 vectors of different lengths are not compared; ids that repeat are rows of their own, and only the query's own row is
-left out. A query with fewer than k candidates gets all of them.
+left out. A query with fewer than k candidates gets all of them. Scores beyond a long are ranked by their exact value and
+shown as the largest or smallest long; components that are beyond the range of a double once they are scaled count as the
+end of that range.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +34,7 @@ QUERY_BLOCK = 1_024
 BLOCK = 8_192
 SEGMENTS = (4, 16)
 _EXACT = 2.0**52  # sums below this are whole numbers in double precision
+_LIMIT = 2**63 - 1
 
 
 def statistics(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,18 +51,53 @@ def upper_bounds(q: tuple[np.ndarray, np.ndarray], c: tuple[np.ndarray, np.ndarr
     return q[0] @ c[0].T + q[1] @ c[1].T
 
 
-def best(q: np.ndarray, c: np.ndarray, q_row: np.ndarray, c_row: np.ndarray, c_id: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its number, and place and score of the best ``k`` candidates, ties to the smaller id."""
+def best(q: np.ndarray, c: np.ndarray, q_row: np.ndarray, c_row: np.ndarray, c_id: np.ndarray, k: int) -> list[tuple[int, list[int], list[int]]]:
+    """For each query its number, and places and exact scores of the best ``k`` candidates, ties to the smaller id.
+
+    Rows whose components are so large that a sum of products may not be exact in double precision are set apart: only
+    pairs with such a row are computed in whole numbers of any size.
+    """
     if not len(q) or not len(c):
         return []
-    exact = float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] < _EXACT
-    if not exact:
-        return _best_of_large(q, c, q_row, c_row, c_id, k)
+    largest = math.sqrt(_EXACT / q.shape[1])
+    q_large, c_large = (np.abs(x).max(axis=1) >= largest for x in (q, c))
+    plain, rest = np.flatnonzero(~c_large), np.flatnonzero(c_large)
+    whole: dict[int, list[int]] = {}
+
+    def scored(i: int, places: np.ndarray) -> list[tuple[int, int, int]]:
+        mine = _whole(q[i])
+        for j in places.tolist():
+            if j not in whole:
+                whole[j] = _whole(c[j])
+        return [(-sum(a * b for a, b in zip(mine, whole[j])), int(c_id[j]), j) for j in places.tolist() if c_row[j] != q_row[i]]
+
+    found: dict[int, list[tuple[int, int, int]]] = {i: scored(i, np.arange(len(c))) for i in np.flatnonzero(q_large).tolist()}
+    usual = np.flatnonzero(~q_large)
+    for i, places, scores in _best_of_plain(q[usual], c[plain], q_row[usual], c_row[plain], c_id[plain], k):
+        place = plain[places]
+        pairs = list(zip((-scores).tolist(), c_id[place].tolist(), place.tolist()))
+        found[int(usual[i])] = pairs + scored(int(usual[i]), rest)
+    for i in usual.tolist() if not len(plain) else ():
+        found[i] = scored(i, rest)
+    out = []
+    for i in sorted(found):
+        first = heapq.nsmallest(k, found[i])
+        out.append((i, [j for _, _, j in first], [-s for s, _, _ in first]))
+    return out
+
+
+def _whole(row: np.ndarray) -> list[int]:
+    return [int(v) for v in row.tolist()]
+
+
+def _best_of_plain(q, c, q_row, c_row, c_id, k):
+    """The same by bounds, coarse to fine, for rows whose products are exact in double precision."""
+    if not len(q) or not len(c):
+        return
     bounds = upper_bounds(statistics(q, SEGMENTS[0]), statistics(c, SEGMENTS[0]))
     fine_q, fine_c = statistics(q, SEGMENTS[1]), statistics(c, SEGMENTS[1])
     margin = 1e-9 * (1.0 + np.abs(bounds).max())
     seeds = min(4 * k + 1, len(c))
-    out = []
     for i in range(len(q)):
         own = c_row == q_row[i]
         first = np.argpartition(-bounds[i], seeds - 1)[:seeds]
@@ -71,20 +112,16 @@ def best(q: np.ndarray, c: np.ndarray, q_row: np.ndarray, c_row: np.ndarray, c_i
             cut = np.partition(scores, len(scores) - k)[len(scores) - k]
             left, scores = left[scores >= cut], scores[scores >= cut]
         order = np.lexsort((c_id[left], -scores))[:k]
-        out.append((i, left[order], scores[order].astype(np.int64)))
-    return out
+        yield i, left[order], scores[order].astype(np.int64)
 
 
-def _best_of_large(q, c, q_row, c_row, c_id, k):
-    """The same for components too large for exact sums in double precision; scores are cut to the range of a long."""
-    whole = [[int(v) for v in row] for row in c]
-    out = []
-    for i, row in enumerate(q):
-        mine = [int(v) for v in row]
-        scored = sorted((-sum(a * b for a, b in zip(mine, other)), int(c_id[j]), j) for j, other in enumerate(whole) if c_row[j] != q_row[i])[:k]
-        limit = 2**63 - 1
-        out.append((i, np.array([j for _, _, j in scored], int), np.array([max(-limit, min(limit, -s)) for s, _, _ in scored], np.int64)))
-    return out
+def order_key(score: int) -> bytes | None:
+    """Bytes in the order of the scores, for scores beyond a long; null for all others, which a long holds."""
+    if -_LIMIT < score < _LIMIT:
+        return None
+    data = abs(score).to_bytes((abs(score).bit_length() + 7) // 8, "big")
+    data = len(data).to_bytes(4, "big") + data
+    return b"\x01" + data if score > 0 else b"\x00" + bytes(255 - b for b in data)
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
@@ -97,6 +134,7 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 
     def packed(key: tuple, group: pa.Table) -> pa.Table:
         x = np.floor(matrix(group.column("vector")) * SCALE)
+        x = np.where(np.isfinite(x), x, np.copysign(np.finfo(np.float64).max, x))
         payload = pack(x=x, id=np.asarray(group.column("id")), row=np.asarray(group.column("row")))
         return pa.table({"dim": [key[0].as_py()], "block": [key[1].as_py()], "payload": [payload]}, schema=_PACKED)
 
@@ -104,7 +142,7 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 
 
 _PACKED = pa.schema([("dim", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
-_FOUND = pa.schema([("query_id", pa.int64()), ("query_row", pa.int64()), ("vec_id", pa.int64()), ("row", pa.int64()), ("score", pa.int64())])
+_FOUND = pa.schema([("query_id", pa.int64()), ("query_row", pa.int64()), ("vec_id", pa.int64()), ("row", pa.int64()), ("score", pa.int64()), ("key", pa.binary())])
 
 
 def _search(k: int):
@@ -114,9 +152,10 @@ def _search(k: int):
         found = best(q["x"], c["x"], q["row"], c["row"], c["id"], k)
         sizes = [len(p) for _, p, _ in found]
         who = np.repeat([i for i, _, _ in found], sizes).astype(int)
-        place = np.concatenate([p for _, p, _ in found]) if found else np.zeros(0, int)
-        score = np.concatenate([s for _, _, s in found]) if found else np.zeros(0, np.int64)
-        return pa.table([q["id"][who], q["row"][who], c["id"][place], c["row"][place], score], schema=_FOUND)
+        place = np.array([j for _, p, _ in found for j in p], int)
+        exact = [s for _, _, scores in found for s in scores]
+        score = np.array([max(-_LIMIT, min(_LIMIT, s)) for s in exact], np.int64)
+        return pa.table([q["id"][who], q["row"][who], c["id"][place], c["row"][place], score, pa.array(map(order_key, exact), pa.binary())], schema=_FOUND)
 
     return run
 
@@ -141,7 +180,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id: str = "vec_id",
     sides = sides.unionByName(
         numbers.join(candidates.withColumnRenamed("block", "cb"), ["dim", "cb"]).select("dim", "qb", "cb", F.lit("c").alias("side"), "payload")
     )
-    found = sides.groupBy("dim", "qb", "cb").applyInArrow(_search(k), "query_id long, query_row long, vec_id long, row long, score long")
-    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
+    found = sides.groupBy("dim", "qb", "cb").applyInArrow(_search(k), "query_id long, query_row long, vec_id long, row long, score long, key binary")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.desc("key"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -114,3 +114,17 @@ def test_bounds_hold():
     for segments in (1, 4, 16, 64):
         bound = segment_search.upper_bounds(segment_search.statistics(q, segments), segment_search.statistics(c, segments))
         assert (bound >= exact - 1e-6).all()
+
+
+@pytest.mark.parametrize("block", [4, 64])
+def test_scores_beyond_a_long_are_ranked_exactly(spark, block):
+    rows = [(k, [1e20 * (k + 1), -1.0]) for k in range(19)] + [(50 + k, [-1e20 * (k + 1), 3.0]) for k in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = segment_search.top_k(df, F.col("vec_id").isin(0, 50), k=2, query_block=4, block=block).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == [(0, 1, 18), (0, 2, 17), (50, 1, 54), (50, 2, 53)]
+
+
+def test_order_keys_are_in_the_order_of_the_scores():
+    scores = [s * v for s in (-1, 1) for v in (2**63, 2**63 + 1, 2**64, 2**71 + 5, 2**72, 10**40)]
+    assert sorted(scores) == sorted(scores, key=segment_search.order_key)
+    assert segment_search.order_key(2**63 - 2) is None
