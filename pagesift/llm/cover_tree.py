@@ -38,6 +38,7 @@ MAX_PIVOTS = 1_024
 GROUP = 64  # trees of a side that a task holds at most
 GROUPS = 8  # groups to begin with: 36 tasks
 AXES = 24  # axes that are compared first
+PAIRS = 500_000  # pairs of nodes that are compared at once
 _NEAR = 1e-5  # rounding of products in single precision
 _SAFE = 1e-6  # distances come from cosines, whose rounding grows to this near zero
 
@@ -107,9 +108,13 @@ class Tree:
         child = np.array([c for group in children for c in group], np.int64)
         return cls(x, order=order, centre=np.array(centre), radius=np.array(radius), low=np.array(low), high=np.array(high), first=first, child=child)
 
-    def below(self, node: int) -> np.ndarray:
-        found = self.child[self.first[node] : self.first[node + 1]]
-        return found if len(found) else np.array([node])
+    def below(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each node where its children begin in the last array, and how many it has; a leaf is its own child."""
+        count = np.diff(self.first)
+        leaves = np.flatnonzero(count == 0)
+        start = self.first[:-1].copy()
+        start[leaves] = len(self.child) + np.arange(len(leaves))
+        return start, np.maximum(count, 1), np.concatenate([self.child, leaves])
 
 
 def _coarse(x: np.ndarray) -> np.ndarray:
@@ -121,30 +126,25 @@ def _coarse(x: np.ndarray) -> np.ndarray:
     return np.concatenate([first, rest], axis=1).astype(np.float32)
 
 
-def _near(a: Tree, left: np.ndarray, b: Tree, right: np.ndarray, cosine: float, limit: float) -> tuple[np.ndarray, ...]:
-    """Places in ``left`` and ``right`` of nodes that may hold linked pairs, and the cosines of their centres.
-
-    Points are compared by the cosine itself, other nodes by the bound of their radii.
-    """
+def _near(a: Tree, left: np.ndarray, b: Tree, right: np.ndarray, cosine: float, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a node of ``left`` and one of ``right`` that may hold linked pairs, among all pairs of them."""
     found = []
     ra, rb = a.radius[left], b.radius[right]
     for p in (np.flatnonzero(ra == 0), np.flatnonzero(ra > 0)):
         for q in (np.flatnonzero(rb == 0), np.flatnonzero(rb > 0)):
-            if not len(p) or not len(q):
-                continue
-            ca, cb = a.centre[left[p]], b.centre[right[q]]
-            pointlike = ra[p[0]] == 0 and rb[q[0]] == 0
-            least = cosine if pointlike else 1.0 - (ra[p].max() + rb[q].max() + limit + _SAFE) ** 2 / 2.0
-            i, j = np.divmod(np.flatnonzero(a.coarse[ca] @ b.coarse[cb].T >= np.float32(least - _NEAR)), len(q))
-            dots = np.einsum("ij,ij->i", a.x[ca[i]], b.x[cb[j]])
-            bound = cosine if pointlike else 1.0 - (ra[p[i]] + rb[q[j]] + limit + _SAFE) ** 2 / 2.0
-            keep = dots >= bound
-            found.append((p[i[keep]], q[j[keep]], dots[keep]))
-    if not found:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+            if len(p) and len(q):
+                least = _least(ra[p].max(), rb[q].max(), cosine, limit)
+                dots = a.coarse[a.centre[left[p]]] @ b.coarse[b.centre[right[q]]].T
+                i, j = np.divmod(np.flatnonzero(dots >= np.float32(least - _NEAR)), len(q))
+                found.append((p[i], q[j]))
     return tuple(map(np.concatenate, zip(*found)))
 
 
+def _least(ra, rb, cosine: float, limit: float):
+    """The cosine that centres must have for a link below them; for points, with no radius, the threshold itself."""
+    return np.where((ra == 0) & (rb == 0), cosine, 1.0 - (ra + rb + limit + _SAFE) ** 2 / 2.0)
+
+
 def _distance(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * cosine, 0.0))
 
@@ -158,35 +158,48 @@ def linked_nodes(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndarra
     same = a is b
     whole_a, whole_b = [np.zeros(0, int)], [np.zeros(0, int)]
     leaf = np.diff(a.first) == 0
-    todo = [(0, 0)]
+    (start_a, count_a, kids_a), (start_b, count_b, kids_b) = a.below(), b.below()
+    todo = [(np.zeros(1, int), np.zeros(1, int))]
     while todo:
         i, j = todo.pop()
-        if same and i == j and leaf[i]:
-            whole_a.append(np.array([i]))
-            whole_b.append(np.array([j]))
+        if same:
+            done = (i == j) & (leaf[i] | (2 * a.radius[i] + _SAFE <= limit))
+            whole_a.append(i[done])
+            whole_b.append(j[done])
+            i, j = i[~done], j[~done]
+        size = count_a[i] * count_b[j]
+        if not len(i):
             continue
-        left, right = a.below(i), b.below(j)
-        if same and i == j and 2 * a.radius[i] + _SAFE <= limit:
-            whole_a.append(np.array([i]))
-            whole_b.append(np.array([j]))
+        if len(i) > 1 and size.sum() > PAIRS:
+            middle = len(i) // 2
+            todo += [(i[:middle], j[:middle]), (i[middle:], j[middle:])]
             continue
-        p, q, dots = _near(a, left, b, right, cosine, limit)
-        if same and i == j:
-            once = p <= q
-            p, q, dots = p[once], q[once], dots[once]
-        n, m = left[p], right[q]
+        if len(i) == 1 and size[0] > PAIRS:
+            p, q = _near(a, kids_a[start_a[i[0]] :][: count_a[i[0]]], b, kids_b[start_b[j[0]] :][: count_b[j[0]]], cosine, limit)
+            of = np.zeros(len(p), int)
+        else:
+            of = np.repeat(np.arange(len(i)), size)
+            p, q = np.divmod(np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size), count_b[j][of])
+        if same:
+            once = (i[of] != j[of]) | (p <= q)
+            of, p, q = of[once], p[once], q[once]
+        n, m = kids_a[start_a[i][of] + p], kids_b[start_b[j][of] + q]
+        least = _least(a.radius[n], b.radius[m], cosine, limit)
+        near = np.einsum("ij,ij->i", a.coarse[a.centre[n]], b.coarse[b.centre[m]]) >= least - _NEAR
+        n, m, least = n[near], m[near], least[near]
+        dots = np.einsum("ij,ij->i", a.x[a.centre[n]], b.x[b.centre[m]])
+        near = dots >= least
+        n, m, dots = n[near], m[near], dots[near]
         reach = a.radius[n] + b.radius[m]
         sure = (reach == 0) | (_distance(dots) + reach + _SAFE <= limit)
         own = same & (n == m)
         sure = np.where(own, False, sure)
-        whole_a.append(n[sure])
-        whole_b.append(m[sure])
         alone = own & leaf[n] if same else own
-        whole_a.append(n[alone])
-        whole_b.append(m[alone])
-        open_pairs = ~sure & ~alone
-        for x, y in zip(n[open_pairs].tolist(), m[open_pairs].tolist()):
-            todo.append((x, y))
+        for taken in (sure, alone):
+            whole_a.append(n[taken])
+            whole_b.append(m[taken])
+        further = ~sure & ~alone
+        todo.append((n[further], m[further]))
     return np.concatenate(whole_a), np.concatenate(whole_b)
 
 
