@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_WORK_DIR: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_SCRATCH: dict[str, str] = {}
 
 # A page is one row of up to tens of kilobytes, so Arrow batches are cut by rows well below the
 # default of 10,000. Pages cost far more to parse than to read, so a shuffle in front of the
@@ -75,7 +78,36 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_dir(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder, so that no run meets another run's files."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = _SCRATCH.get(spark.sparkContext.applicationId) or shared_dir(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str):
+    """Paths that are made inside lie in one folder, which is handed out; ``drop`` it when nothing reads it any more."""
+    app = spark.sparkContext.applicationId
+    before, folder = _SCRATCH.get(app), new_dir(spark, name)
+    _SCRATCH[app] = folder
+    try:
+        yield folder
+    finally:
+        if before:
+            _SCRATCH[app] = before
+        else:
+            _SCRATCH.pop(app)
+
+
+def drop(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder with the tables in it, and what Spark holds for plans that are gone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nobody refers to any more; it looks for them after a collection."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
