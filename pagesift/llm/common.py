@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.session import new_dir, ship, stored
+from pagesift.session import drop, new_dir, release, scratch, ship, stored
 
-__all__ = ["arrow_rows", "components", "least_hashes", "new_dir", "ship", "stored", "strings", "read_table", "tidy"]
+__all__ = [
+    "arrow_rows", "components", "drop", "least_hashes", "new_dir", "read_table", "release", "scratch", "ship", "stored", "strings", "tidy",
+]
 
 
 def tidy() -> None:

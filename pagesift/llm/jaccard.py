@@ -27,16 +27,17 @@ joined. A row without ``doc_id`` links others, but has no id to lend; its compon
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.llm.bpe import _powers
-from pagesift.llm.common import arrow_rows, components, new_dir, ship, strings, tidy
+from pagesift.llm.common import arrow_rows, components, new_dir, release, ship, stored, strings, tidy
 
 SPARE = 2
 TILE = 2_048
@@ -394,6 +395,7 @@ def linked_documents(documents: DataFrame, how: Similarity = Similarity(), text:
     keyed = full.select(F.explode("keys").alias("key"), "cls", "n")
     sorted_keys = keyed.repartition("key").sortWithinPartitions("key", "n", "cls")
     tiles = written(sorted_keys.mapInArrow(_runs(how), "key long, cls long, n long, first long, m long"), "tiles", 50_000)
+    release(spark)
     signatures = full.where("bits IS NOT NULL").select("cls", "n", "bits")
     signatures = written(signatures.join(tiles.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "signatures")
     holder = F.coalesce("doc_id", F.lit(2**63 - 1))  # rows without id stand behind classes that no other row has
@@ -447,15 +449,24 @@ def linked_documents(documents: DataFrame, how: Similarity = Similarity(), text:
 
 
 def one_of_each(documents: DataFrame, how: Similarity = Similarity(), text: str = "text") -> DataFrame:
-    """``documents`` without near copies: of each component the row whose ``doc_id`` names it stays.
+    """``documents`` without near copies: of each component the row with the smallest ``doc_id`` stays.
 
-    Documents with empty sets and rows without ``doc_id`` stay; of rows that repeat a ``doc_id`` one with a text stays.
+    Rows are linked, not ids: every row has a key of its own, the hash of its id and text, so unrelated texts under one id
+    all stay and equal texts without id are copies. Rows that agree in id and text are one document, of which one row
+    stays. Rows whose text is null or has no words stay as they are. Other columns may have any name.
     """
-    found = linked_documents(documents, how, text).where("doc_id IS NOT NULL AND n_shingles > 0")
-    keep = found.groupBy("doc_id").agg(F.min("component_id").alias("_component"))
-    rows = documents.join(keep, "doc_id", "left").select(*documents.columns, "_component")
-    blank = ~F.regexp_like(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_component").orderBy(F.xxhash64(text)))
-    rows = rows.withColumn("_blank", blank)
-    full = rows.where("NOT _blank AND doc_id = _component").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-    return full.unionByName(rows.where("_blank OR doc_id IS NULL")).select(*documents.columns)
+    spark = documents.sparkSession
+    row, key = (f"_{n}_{uuid.uuid4().hex[:8]}" for n in ("row", "key"))
+    keyed = documents.select(F.struct(*documents.columns).alias(row), F.xxhash64("doc_id", text).alias(key), F.col(text).alias("_text"))
+    found = linked_documents(keyed.select(F.col(key).alias("doc_id"), "_text"), how, "_text").where("n_shingles > 0")
+    found = stored(found.select(F.col("doc_id").alias(key), "component_id").distinct(), "near-copies")
+    release(spark)
+    names = keyed.select(key, F.col(row)["doc_id"].alias("name")).groupBy(key).agg(F.first("name").alias("name"), F.count("*").alias("rows"))
+    place = F.struct(F.col("name").isNull(), "name", key)
+    first = found.join(names, key).groupBy("component_id").agg(F.min(F.struct(place.alias("place"), "rows")).alias("first"))
+    kept = stored(first.select(F.col("first.place")[key].alias(key), "first.rows"), "kept-rows")
+    blank = ~F.regexp_like(F.coalesce("_text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
+    single = keyed.join(kept.where("rows = 1").select(key), key, "left_semi").select(row)
+    # rows that repeat: one of each, chosen by task before they meet
+    repeated = keyed.join(kept.where("rows > 1").select(key), key, "left_semi").groupBy(key).agg(F.first(row).alias(row)).select(row)
+    return single.unionByName(repeated).unionByName(keyed.where(blank).select(row)).select(f"{row}.*")

@@ -121,7 +121,15 @@ def test_one_of_each(spark):
     df = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
     kept = jaccard.one_of_each(df)
     assert kept.columns == df.columns
-    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted([("2", "A b c d e f g h"), ("9", "x"), ("7", ""), ("8", "None"), ("None", "a b c d e f g h")])
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted([("2", "A b c d e f g h"), ("9", "x"), ("7", ""), ("8", "None")])
+
+
+def test_one_of_each_links_rows_not_ids(spark):
+    rows = [(1, "one two three four five six"), (1, "seven eight nine ten eleven twelve"), (1, "red green blue black white grey"),
+            (None, "sun moon star sky cloud rain"), (None, "sun moon star sky cloud rain"), (4, None), (4, None), (4, " ")]
+    df = spark.createDataFrame([(*r, "c", "b") for r in rows], "doc_id long, text string, _component string, _blank string")
+    got = sorted((str(r.doc_id), str(r.text), r._component, r._blank) for r in jaccard.one_of_each(df).collect())
+    assert got == sorted((str(a), str(b), "c", "b") for a, b in [*rows[:4], *rows[5:]])
 
 
 def test_empty_table(spark):
