@@ -18,7 +18,7 @@ from pagesift.llm.queries import TOKENIZER
 
 
 class _Carried:
-    """Documents as ``doc_id, text, n_chars`` beside one column that holds the caller's whole row.
+    """Documents as ``doc_id, text, n_chars`` beside one column that holds all the others of the caller's row.
 
     That column's name is made up anew, so no column of the caller can meet one that a stage uses; all of them come out
     as they were, but for the text and, where there is such a column, its length.
@@ -28,7 +28,8 @@ class _Carried:
         self.columns = docs.columns
         self.name = f"_row_{uuid.uuid4().hex[:8]}"
         self.own = [c for c in ("doc_id", "text", "n_chars") if c in docs.columns]
-        self.docs = docs.select(F.struct(*docs.columns).alias(self.name), *self.own)
+        others = [c for c in docs.columns if c not in self.own]
+        self.docs = docs.select((F.struct(*others) if others else F.lit(None)).alias(self.name), *self.own)
 
     def rows(self, found: DataFrame) -> DataFrame:
         return found.select(*[F.col(c) if c in self.own else F.col(self.name)[c].alias(c) for c in self.columns])
