@@ -38,6 +38,7 @@ MAX_PIVOTS = 1_024
 GROUP = 64  # trees of a side that a task holds at most
 GROUPS = 8  # groups to begin with: 36 tasks
 AXES = 24  # axes that are compared first
+TOP = 0.5  # radius of the first level below the root; balls much wider than a link rule out nothing
 PAIRS = 500_000  # pairs of nodes that are compared at once
 _NEAR = 1e-5  # rounding of products in single precision
 _SAFE = 1e-6  # distances come from cosines, whose rounding grows to this near zero
@@ -58,7 +59,7 @@ class Tree:
     def build(cls, x: np.ndarray) -> Tree:
         order = np.arange(len(x))
         centre, radius, low, high, children = [0], [0.0], [0], [len(x)], [[]]
-        todo = [(0, 2.0)]
+        todo = [(0, TOP)]
         while todo:
             node, r = todo.pop()
             a, b = low[node], high[node]
