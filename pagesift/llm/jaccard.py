@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.llm.bpe import _powers
-from pagesift.llm.common import arrow_rows, components, new_dir, release, ship, stored, strings, tidy
+from pagesift.llm.common import arrow_rows, components, drop, new_dir, release, scratch, ship, stored, strings, tidy
 
 SPARE = 2
 TILE = 2_048
@@ -390,12 +390,15 @@ def linked_documents(documents: DataFrame, how: Similarity = Similarity(), text:
         return spark.read.schema(df.schema).parquet(path)
 
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    sets = written(source.mapInArrow(_sets(how), _SETS), "shingle-sets")
+    # the keys are by far the largest part, and are only needed for the tiles: their table goes when these are written
+    with scratch(spark, "keys") as folder:
+        with_keys = written(source.mapInArrow(_sets(how), _SETS), "shingle-sets")
+    sets = written(with_keys.drop("keys"), "shingle-sets", 50_000)
     full = sets.where("n > 0")
-    keyed = full.select(F.explode("keys").alias("key"), "cls", "n")
+    keyed = with_keys.where("n > 0").select(F.explode("keys").alias("key"), "cls", "n")
     sorted_keys = keyed.repartition("key").sortWithinPartitions("key", "n", "cls")
     tiles = written(sorted_keys.mapInArrow(_runs(how), "key long, cls long, n long, first long, m long"), "tiles", 50_000)
-    release(spark)
+    drop(spark, folder)
     signatures = full.where("bits IS NOT NULL").select("cls", "n", "bits")
     signatures = written(signatures.join(tiles.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "signatures")
     holder = F.coalesce("doc_id", F.lit(2**63 - 1))  # rows without id stand behind classes that no other row has

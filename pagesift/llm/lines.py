@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.common import new_dir, stored
+from pagesift.llm.common import drop, new_dir, release, scratch, stored
 
 MIN_WORDS = 8
 PASSAGE, WINDOW, PRINT = 51, 36, 16  # words; a run of PASSAGE words holds WINDOW places at which PRINT words begin
@@ -192,14 +192,19 @@ def without_passages(documents: DataFrame, text: str = "text") -> DataFrame:
         "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)),
         "_hash": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
     }
+    spark = documents.sparkSession
     hashes = F.transform("_pieces", lambda p: F.xxhash64(F.btrim(p, F.lit(BLANKS))))
     rows = documents.withColumns(keys).select("_doc", "_hash", _pieces(F.col(text)).alias("_pieces")).where(F.size("_pieces") >= PASSAGE)
     rows = rows.select("_doc", "_hash", hashes.alias("_words"))
-    prints = stored(rows.select("_doc", "_hash", F.inline(_prints(F.col("_words")))), "word-prints")
+    with scratch(spark, "prints") as folder:
+        prints = stored(rows.select("_doc", "_hash", F.inline(_prints(F.col("_words")))), "word-prints")
     shared = _twice(prints, "print", True).groupBy("_doc", "_hash").agg(F.collect_set("at").alias("_places"))
     runs = rows.join(shared, ["_doc", "_hash"]).select("_doc", "_hash", F.inline(_runs(F.col("_words"), F.col("_places"))))
-    later = _twice(stored(runs, "word-runs"), "run", False)
-    starts = later.groupBy("_doc", "_hash").agg(F.array_sort(F.collect_set("at")).alias("_starts"))
+    runs = stored(runs, "word-runs")
+    drop(spark, folder)
+    later = _twice(runs, "run", False)
+    starts = stored(later.groupBy("_doc", "_hash").agg(F.array_sort(F.collect_set("at")).alias("_starts")), "later-runs")
+    release(spark)
     # the stretches that stay, and behind each passage its line break
     none = F.array().cast("array<struct<a:int,b:int>>")
     stretches = F.aggregate(
