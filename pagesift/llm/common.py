@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pagesift.session import drop, new_dir, release, scratch, ship, stored
 
 __all__ = [
-    "arrow_rows", "components", "drop", "least_hashes", "new_dir", "read_table", "release", "scratch", "ship", "stored", "strings", "tidy",
+    "arrow_rows", "components", "drop", "least_hashes", "new_dir", "read_table", "release", "scratch", "ship", "stored", "strings", "tidy", "trimmed",
 ]
 
 
@@ -25,6 +25,16 @@ def tidy() -> None:
         pass
 
 
+def trimmed(run):
+    """``run`` over batches, which gives back memory when it has ended: an idle worker then holds none of its arrays."""
+
+    def whole(batches):
+        yield from run(batches)
+        tidy()
+
+    return whole
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.llm.bpe import _powers
-from pagesift.llm.common import arrow_rows, components, drop, new_dir, release, scratch, ship, stored, strings, tidy
+from pagesift.llm.common import arrow_rows, components, drop, new_dir, release, scratch, ship, stored, strings, tidy, trimmed
 
 SPARE = 2
 TILE = 2_048
@@ -189,7 +189,7 @@ def _sets(how: Similarity):
                 names=["doc_id", "n", "cls", "keys", "bits"],
             )
 
-    return run
+    return trimmed(run)
 
 
 def _arrays(how: Similarity):
@@ -203,7 +203,7 @@ def _arrays(how: Similarity):
                 names=["cls", "shingles"],
             )
 
-    return run
+    return trimmed(run)
 
 
 _TILED = pa.schema([("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("first", pa.int64()), ("m", pa.int64())])
@@ -237,7 +237,7 @@ def _runs(how: Similarity):
             yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (key, cls, n, first_of, m_of)], schema=_TILED)
             last = (int(key[-1]), int(cls[-1]), int(n[-1]), int(first_of[-1]), int(m_of[-1]), last_out)
 
-    return run
+    return trimmed(run)
 
 
 def _sift(how: Similarity):
@@ -253,7 +253,7 @@ def _sift(how: Similarity):
                 good[k] = int(np.bitwise_count(fold(maps[0], size) ^ fold(maps[1], size)).sum()) <= how.differing(int(total[k]))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
 
-    return run
+    return trimmed(run)
 
 
 def _verify(how: Similarity):
@@ -270,7 +270,7 @@ def _verify(how: Similarity):
                 good[k] = how.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
 
-    return run
+    return trimmed(run)
 
 
 FILTER_BITS = 22
@@ -375,7 +375,7 @@ def _squares(how: Similarity, whole: bool):
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in pairs(held)], names=["a", "b"])
 
-    return run
+    return trimmed(run)
 
 
 def linked_documents(documents: DataFrame, how: Similarity = Similarity(), text: str = "text") -> DataFrame:

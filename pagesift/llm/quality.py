@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesift.llm.bpe import LETTER, NUMBER, SPACE, character_classes
-from pagesift.llm.common import least_hashes, ship, tidy
+from pagesift.llm.common import least_hashes, ship, tidy, trimmed
 
 SAMPLE = 4_000
 BUCKETS = 4_096
@@ -193,7 +193,7 @@ def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE) -> Mod
                 names=["h", "place", "value", "code"],
             )
 
-    some = rows.where(F.col("h") <= upto).select("h", "_text").mapInArrow(sampled, "h long, place array<long>, value array<double>, code int")
+    some = rows.where(F.col("h") <= upto).select("h", "_text").mapInArrow(trimmed(sampled), "h long, place array<long>, value array<double>, code int")
     one = some.groupBy("h").agg(F.min(F.struct("place", "value", "code")).alias("s")).orderBy("h").select("s.*")
     table = [(np.array(r.place), np.array(r.value), posterior[r.code]) for r in one.collect()]
     accuracies = tuple((float(chance[1, k, 1]), float(chance[0, k, 0])) for k in range(LABELLERS))
@@ -219,4 +219,4 @@ def with_quality(documents: DataFrame, model: Model, text: str = "text") -> Data
             tidy()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(scores, pa.float64()), pa.array([s >= KEEP for s in scores])], names=schema.names)
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(trimmed(run), schema)
