@@ -7,8 +7,10 @@ inside such a part and the articles hold most of the page's words without links;
 most words and all articles are inside, nearly all where there is no article. A decision tree, trained on the small labelled table below,
 decides whether a block belongs to the article.
 
-Defined results: null and empty pages give an empty text; markup that is cut off counts as far as it goes; rows that repeat
-a page are read each. Character references are decoded, white space inside a block becomes one blank.
+Defined results: null and empty pages give an empty text; markup that is cut off counts as far as it goes, and a head that is not
+closed ends where a browser ends it, at the first text or at a tag that may not be in it; the text of formulas and drawings
+belongs to its block; rows that repeat a page are read each; very long pages are read whole, by one task. Extra columns are
+not read, whatever their names. Character references are decoded, white space inside a block becomes one blank.
 """
 
 from __future__ import annotations
@@ -62,15 +64,20 @@ LABELLED = (
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|title|textarea|select|option|button|svg|iframe|object|canvas|audio|video|map|math)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|title|textarea|select|option|button|svg|iframe|object|canvas|audio|video|annotation-xml|annotation)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-z!?][^>]*(?:>|\Z)",
     re.I | re.S,
 )
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr map area"
+    " math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd"
+    " mtext mtr munder munderover none semantics".split()
 )
+_HEAD_TAGS = frozenset("html head base basefont bgsound link meta noframes script style noscript template title".split())  # any other tag ends the head
+_DRAWN = re.compile(r"<text\b[^>]*(?<!/)>(.*?)(?:</text\s*>|\Z)", re.I | re.S)
+_TAG = re.compile(r"<[^>]*>")
 _SCOPES = frozenset("html body div section article main nav header footer aside form ul ol dl table figure fieldset details dialog menu center blockquote".split())
 _ASIDE_TAGS = frozenset("nav footer aside form dialog menu fieldset".split())
 _ASIDE_NAMES = frozenset(
@@ -146,20 +153,29 @@ def blocks_of(html: str) -> tuple[list[str], np.ndarray]:
             parts.clear()
         linked = 0
 
+    def add(piece: str) -> None:
+        nonlocal linked
+        parts.append(piece)
+        if in_link:
+            linked += len(piece.split())
+
     at = 0
     for found in _TOKEN.finditer(html):
-        if found.start() > at and not head:
-            piece = html[at : found.start()]
-            parts.append(piece)
-            if in_link:
-                linked += len(piece.split())
+        piece = html[at : found.start()]
         at = found.end()
-        name = (found["name"] or "").lower()
+        name, raw = (found["name"] or "").lower(), (found["raw"] or "").lower()
+        end = bool(found["end"])
+        if piece.strip() or (raw or name and not end) and (raw or name) not in _HEAD_TAGS:
+            head = 0
+        if piece and not head:
+            add(piece)
         if not name:
-            if found["raw"] and found["raw"].lower() not in ("svg", "map", "math"):
+            if raw == "svg":
+                for drawn in _DRAWN.findall(found[0]):
+                    add(f" {_TAG.sub('', drawn)} ")
+            elif raw and not raw.startswith("annotation"):
                 close()
             continue
-        end = bool(found["end"])
         if name == "a":
             in_link = 0 if end else 1
         elif name == "br":
@@ -198,8 +214,8 @@ def blocks_of(html: str) -> tuple[list[str], np.ndarray]:
                     del open_tags[places[-1] :]
             if name in _SCOPES:
                 in_link = 0
-    if at < len(html) and not head:
-        parts.append(html[at:])
+    if at < len(html) and (html[at:].strip() or not head):
+        add(html[at:])
     close()
     m = np.array(marks, np.float64).reshape(-1, 3)
     none = np.zeros((1, 2))
