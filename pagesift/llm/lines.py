@@ -1,13 +1,16 @@
 """Repeated runs of lines: winnowed windows as fingerprints, joined to their first place. JVM operators only.
 
 A run of lines counts when it holds at least ``min_words`` words. For every line the shortest window of that many words
-that starts there, and the one that ends there, is taken; its smallest line hash (the winnowing choice) and a hash of
-all its lines make its fingerprint. Two equal runs have equal windows, so no common run of ``min_words`` words is
-missed; a run is as long as its windows reach to both sides. A window that occurs at an earlier place is a repetition,
-and all its lines go. The first place stays: the lowest ``doc_id``, then the hash of the text, then the position.
+that starts there, and the one that ends there, is looked at; winnowing selects the first line with the smallest hash of each, and only
+selected lines are fingerprints. Two equal runs have equal windows and so select equal lines: no common run of ``min_words``
+words is missed. Places are joined on the fingerprints that occur at two places or more, and a match is extended from
+there to both sides by the windows around it, each compared whole by a hash of its lines. A window that
+occurs at an earlier place is a repetition, and all its lines go: a run is as long as its windows reach both ways. The
+first place stays: the lowest ``doc_id``, then the hash of the text, then the position.
 
-A fingerprint that a third of all lines share costs one row per task, because only the first place is looked for
-(a minimum, taken map-side); no pairs of places are made.
+A line that a third of all documents share costs one row per task: whether a fingerprint occurs twice, and which place of a
+window is the first, are minima taken map-side; no pairs of places are made. A plain join of a fingerprint with its first
+place would miss runs, as a line's first place need not be that of the run.
 
 Defined results: lines are compared without blanks around them; empty lines are no lines of a run; those behind
 a line that goes do so with it. Null texts
@@ -26,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.common import drop, new_dir, release, scratch, stored
+from pagesift.llm.common import drop, release, scratch, stored
 
 MIN_WORDS = 8
 PASSAGE, WINDOW, PRINT = 51, 36, 16  # words; a run of PASSAGE words holds WINDOW places at which PRINT words begin
@@ -63,10 +66,13 @@ def _window(lines: Column, least: int) -> Column:
     )
 
 
-def _fingerprint(lines: Column) -> Column:
+def _selected(lines: Column) -> Column:
+    """A window with the line that winnowing selects in it: the first one with the smallest hash."""
     content = F.aggregate(lines, F.lit(0).cast("long"), lambda h, x: F.xxhash64(h, x["hash"]))
+    least = F.array_min(F.transform(lines, lambda x: F.struct(x["hash"], x["pos"])))
     return F.struct(
-        F.array_min(F.transform(lines, lambda x: x["hash"])).alias("least"),
+        least["hash"].alias("least"),
+        least["pos"].alias("at"),
         content.alias("content"),
         F.get(lines, F.lit(0))["pos"].alias("start"),
         F.element_at(lines, -1)["till"].alias("end"),
@@ -74,18 +80,18 @@ def _fingerprint(lines: Column) -> Column:
 
 
 def _windows(lines: Column, least: int) -> Column:
-    """Fingerprints of the windows that start and that end at each line; at most ``least`` lines make a window."""
+    """The windows that start and that end at each line; at most ``least`` lines make a window."""
     places = F.sequence(F.lit(1), F.size(lines))
 
     def forward(i: Column) -> Column:
         n = _window(F.slice(lines, i, least), least)
-        return F.when(n.isNotNull(), _fingerprint(F.slice(lines, i, F.coalesce(n, F.lit(1)))))
+        return F.when(n.isNotNull(), _selected(F.slice(lines, i, F.coalesce(n, F.lit(1)))))
 
     def backward(i: Column) -> Column:
         first = F.greatest(i - (least - 1), F.lit(1))
         n = _window(F.reverse(F.slice(lines, first, i - first + 1)), least)
         # a window of one line has been found forwards already
-        return F.when(n > 1, _fingerprint(F.slice(lines, i - F.coalesce(n, F.lit(1)) + 1, F.coalesce(n, F.lit(1)))))
+        return F.when(n > 1, _selected(F.slice(lines, i - F.coalesce(n, F.lit(1)) + 1, F.coalesce(n, F.lit(1)))))
 
     found = F.when(F.size(lines) > 0, F.concat(F.transform(places, forward), F.transform(places, backward)))
     return F.array_distinct(F.filter(F.coalesce(found, F.array()), lambda w: w.isNotNull()))
@@ -93,19 +99,20 @@ def _windows(lines: Column, least: int) -> Column:
 
 def repeated_spans(documents: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``_doc, _hash, spans``: first and last line (from 0) of every window that occurs at an earlier place."""
-    spark = documents.sparkSession
     rows = documents.where(F.length(text) > 0).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_doc"), F.xxhash64(text).alias("_hash"), _lines(F.col(text)).alias("_lines")
     )
-    windows = rows.select("_doc", "_hash", F.inline(_windows(F.col("_lines"), min_words)))
-    path = new_dir(spark, "line-windows")
-    windows.write.parquet(path)
-    stored = spark.read.schema(windows.schema).parquet(path)
+    windows = stored(rows.select("_doc", "_hash", F.inline(_windows(F.col("_lines"), min_words))), "line-windows")
+    # fingerprints: selected lines, each at its places however many windows select it there
+    prints = windows.select("least", F.xxhash64("_doc", "_hash", "at").alias("place"))
+    ends = prints.groupBy("least").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    shared = ends.where("low <> high").select("least")
+    # matches: the windows around shared fingerprints, told apart by all their lines
     place = F.struct("_doc", "_hash", "start", "end")
-    first = stored.groupBy("least", "content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    # most windows occur once: only the others are joined with their places
+    around = windows.join(shared, "least").drop("at")
+    first = around.groupBy("least", "content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.where("first <> last").select("least", "content", "first")
-    later = stored.join(first, ["least", "content"]).where(place > F.col("first"))
+    later = around.join(first, ["least", "content"]).where(place > F.col("first"))
     return later.groupBy("_doc", "_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
