@@ -21,7 +21,7 @@ Whole lines miss a passage in mid-line and a line edited in one word. ``without_
 lines: each run of ``PASSAGE`` words that occurs at an earlier place goes. Winnowing (the smallest word hash of every
 window of ``WINDOW`` words, with a hash of the ``PRINT`` words from there) finds the places that can share such a run,
 as any run holds a whole window and its print; around the prints that occur twice every run of ``PASSAGE`` words is
-compared by its hash. A line break that ends a passage stays. Texts of more than 2 ** 26 words would miss passages.
+compared by its hash. A line break that ends a passage stays.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pagesift.llm.common import drop, release, scratch, stored
 
 MIN_WORDS = 8
 PASSAGE, WINDOW, PRINT = 51, 36, 16  # words; a run of PASSAGE words holds WINDOW places at which PRINT words begin
-POSITION = 2**26  # places of words in a packed number
+POSITION = 2**31  # places of words in a packed number: more than an array can hold
 BLANKS = " \t\n\x0b\f\r"
 LAST_ID = 2**63 - 1
 
