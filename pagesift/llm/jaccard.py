@@ -15,7 +15,8 @@ classes of its tiles, which links much of a group at a cost that follows its siz
 and two later rounds look at pairs of different components only, in tiles cut into squares of bounded size. The first takes
 from each square a least spanning forest of the signatures' distances, so a square hands on fewer pairs than it has
 classes; the last takes every pair that is still between components. Every link is thus either verified or lies
-within a component already. A tile is also cut where, in order of size, two neighbours differ too much in size.
+within a component already. A tile is also cut where, in order of size, two neighbours differ too much in size, and
+of the tiles that hold the same classes only one is looked at.
 
 Signatures travel with the candidates; shingles are made again from the texts, and only for documents whose candidates
 pass the signatures. A bitmap of fixed size over their ids keeps the other texts out of the shuffle.
@@ -422,7 +423,10 @@ def linked_documents(documents: DataFrame, how: Similarity = Similarity(), text:
     def between(so_far: DataFrame, whole: bool) -> DataFrame:
         """Verified links between the components so far, from squares of the tiles that hold more than one component."""
         labelled = tiles.select("key", "first", "cls", "n").join(so_far, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        mixed = labelled.groupBy("key", "first").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("cls").alias("held")).where("low < high")
+        same = [F.bit_xor(F.xxhash64("cls", F.lit(k))).alias(f"same{k}") for k in (0, 1)]
+        mixed = labelled.groupBy("key", "first").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("cls").alias("held"), *same).where("low < high")
+        # two sets that agree in one part mostly agree in many: of the tiles that hold the same classes one is looked at
+        mixed = mixed.groupBy("held", "same0", "same1").agg(F.min(F.struct("key", "first")).alias("tile")).select("tile.*", "held")
         rest = labelled.join(mixed.select("key", "first", F.ceil(F.col("held") / TILE).cast("int").alias("squares")), ["key", "first"])
         rest = rest.withColumn("part", F.pmod(F.hash("cls"), F.col("squares")))
         rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("squares") - 1)))
@@ -437,6 +441,7 @@ def linked_documents(documents: DataFrame, how: Similarity = Similarity(), text:
     tried = tiles.where(fits).groupBy("cls").agg(F.min("first").alias("x"), F.max("first").alias("y"))
     links = verified(sifted(tried.select(F.col("cls").alias("b"), F.explode(F.array_distinct(F.array("x", "y"))).alias("a")).select("a", "b")))
     for whole in (False, True):
+        release(spark)
         so_far = components(links).select(F.col("node").alias("cls"), F.col("component").alias("comp"))
         links = links.unionByName(between(so_far, whole))
 
