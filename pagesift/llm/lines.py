@@ -103,13 +103,9 @@ def repeated_spans(documents: DataFrame, text: str = "text", min_words: int = MI
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_doc"), F.xxhash64(text).alias("_hash"), _lines(F.col(text)).alias("_lines")
     )
     windows = stored(rows.select("_doc", "_hash", F.inline(_windows(F.col("_lines"), min_words))), "line-windows")
-    # fingerprints: selected lines, each at its places however many windows select it there
-    prints = windows.select("least", F.xxhash64("_doc", "_hash", "at").alias("place"))
-    ends = prints.groupBy("least").agg(F.min("place").alias("low"), F.max("place").alias("high"))
-    shared = ends.where("low <> high").select("least")
-    # matches: the windows around shared fingerprints, told apart by all their lines
+    # matches: the windows around selected lines that are at two places or more, told apart by all their lines
     place = F.struct("_doc", "_hash", "start", "end")
-    around = windows.join(shared, "least").drop("at")
+    around = windows.join(_shared(windows, "least", "at"), "least").drop("at")
     first = around.groupBy("least", "content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.where("first <> last").select("least", "content", "first")
     later = around.join(first, ["least", "content"]).where(place > F.col("first"))
@@ -182,12 +178,10 @@ def _runs(words: Column, places: Column) -> Column:
     return F.transform(F.array_distinct(starts), lambda k: F.struct(F.xxhash64(F.slice(words, k + 1, PASSAGE)).alias("run"), k.alias("at")))
 
 
-def _twice(places: DataFrame, key: str, first_too: bool) -> DataFrame:
-    """Rows of ``places`` whose ``key`` occurs at another place, or at an earlier one."""
-    place = F.struct("_doc", "_hash", "at")
-    ends = places.groupBy(key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    found = places.join(ends.select(key, "first"), key)
-    return found if first_too else found.where(place > F.col("first"))
+def _shared(places: DataFrame, key: str, name: str) -> DataFrame:
+    """The values of ``key`` that occur at more than one place, places told apart by a hash."""
+    ends = places.select(key, F.xxhash64("_doc", "_hash", name).alias("place")).groupBy(key).agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    return ends.where("low <> high").select(key)
 
 
 def without_passages(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -205,11 +199,15 @@ def without_passages(documents: DataFrame, text: str = "text") -> DataFrame:
     rows = rows.select("_doc", "_hash", hashes.alias("_words"))
     with scratch(spark, "prints") as folder:
         prints = stored(rows.select("_doc", "_hash", F.inline(_prints(F.col("_words")))), "word-prints")
-    shared = _twice(prints, "print", True).groupBy("_doc", "_hash").agg(F.collect_set("at").alias("_places"))
+    shared = prints.join(_shared(prints, "print", "at"), "print").groupBy("_doc", "_hash").agg(F.collect_set("at").alias("_places"))
+    shared = stored(shared, "print-places")
+    drop(spark, folder)  # before the texts' words are shuffled
     runs = rows.join(shared, ["_doc", "_hash"]).select("_doc", "_hash", F.inline(_runs(F.col("_words"), F.col("_places"))))
     runs = stored(runs, "word-runs")
-    drop(spark, folder)
-    later = _twice(runs, "run", False)
+    release(spark)
+    place = F.struct("_doc", "_hash", "at")
+    first = runs.groupBy("run").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("run", "first")
+    later = runs.join(first, "run").where(place > F.col("first"))
     starts = stored(later.groupBy("_doc", "_hash").agg(F.array_sort(F.collect_set("at")).alias("_starts")), "later-runs")
     release(spark)
     # the stretches that stay, and behind each passage its line break
