@@ -1,11 +1,13 @@
 """Documents whose word shingles agree: an exact Jaccard join by size-banded tiles and bitmap signatures.
 
 *Candidates.* Sets of similarity J or more differ in at most H = (1 - J) / (1 + J) * (|x| + |y|) elements. The shingles of
-a set are dealt by hash into more than H parts, so two such sets agree in at least one whole part; the number of parts
+a set are dealt by hash into P > H parts, so two such sets agree in at least P - H whole parts; the number of parts
 is fixed for a band of sizes (a power of two), and a set that can pair with the next band appears there too. A tile is
 what shares a band, a part and the part's content, so a line or passage that a third of all documents have does not by
-itself bring them together. A part may be empty by chance in both sets: ``SPARE`` more parts than needed make up for
-that, and a set with more empty parts than these puts them out as well, so nothing is lost.
+itself bring them together. Parts with few shingles agree by chance, the more so the more documents there are, and empty
+parts always. Parts are therefore put in one order for all sets, the fullest first, and a set appears under its first
+H + 1 only, H being that of its own size: of the P - H parts in which two sets agree, the first one has at least
+P - H - 1 behind it, so it is among the first H + 1 of both and nothing is lost.
 
 *Checks.* A signature is a bitmap in which every shingle flips one bit; the number of differing bits is at most the number
 of differing shingles, which bounds the overlap from above. Survivors are compared by intersecting sorted arrays.
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from pagesift.llm.bpe import _powers
 from pagesift.llm.common import arrow_rows, components, drop, new_dir, release, scratch, ship, stored, strings, tidy, trimmed
 
-SPARE = 2
+SPARE = 3  # for so many parts that are needed, one more: those with the fewest shingles can then be left out
 TILE = 2_048
 CHUNK = 2_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -66,7 +68,11 @@ class Similarity:
 
     def parts(self, band: int) -> int:
         most = self.differing(2 * (2 ** (band + 1) - 1))
-        return most + 1 + SPARE if most else 0
+        return most + 2 + most // SPARE if most else 0
+
+    def kept(self, n: int, band: int) -> int:
+        """Under how many of its parts a set of ``n`` elements appears in a band: one more than it can differ in there."""
+        return self.differing(n + min(n * self.of // self.share, 2 ** (band + 1) - 1)) + 1
 
     def bands(self, n: int) -> list[int]:
         own = n.bit_length() - 1
@@ -137,7 +143,7 @@ def fold(bits: np.ndarray, size: int) -> np.ndarray:
 
 
 def part_keys(shingles: np.ndarray, how: Similarity) -> np.ndarray:
-    """Hashes of (band, part, content) under which the set appears."""
+    """Hashes of (band, part, content) under which the set appears: its fullest parts, those of one size by their hash."""
     out = []
     low = _mix(shingles ^ np.uint64(0x2545F4914F6CDD1D))
     place = _mix(shingles + np.uint64(0x632BE59BD9B4E019))
@@ -151,7 +157,7 @@ def part_keys(shingles: np.ndarray, how: Similarity) -> np.ndarray:
         with np.errstate(over="ignore"):
             content = halves[0] + (halves[1] << np.uint64(32)) + count.astype(np.uint64)
             keys = _mix(_mix(content) + np.arange(parts, dtype=np.uint64) * np.uint64(64) + np.uint64(band))
-        out.append(keys[count > 0] if (count == 0).sum() <= SPARE else keys)
+        out.append(keys[np.lexsort((keys, -count))[: how.kept(len(shingles), band)]])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 

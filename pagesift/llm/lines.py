@@ -22,6 +22,9 @@ lines: each run of ``PASSAGE`` words that occurs at an earlier place goes. Winno
 window of ``WINDOW`` words, with a hash of the ``PRINT`` words from there) finds the places that can share such a run,
 as any run holds a whole window and its print; around the prints that occur twice every run of ``PASSAGE`` words is
 compared by its hash. A line break that ends a passage stays.
+
+Most documents repeat nothing: only those that may do so, told by a bitmap of their keys, are shuffled to meet what was found.
+Tables of one step go before the next one shuffles texts.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.common import drop, release, scratch, stored
+from pagesift.llm.common import drop, met_and_others, release, scratch, stored
 
 MIN_WORDS = 8
 PASSAGE, WINDOW, PRINT = 51, 36, 16  # words; a run of PASSAGE words holds WINDOW places at which PRINT words begin
@@ -102,14 +105,19 @@ def repeated_spans(documents: DataFrame, text: str = "text", min_words: int = MI
     rows = documents.where(F.length(text) > 0).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_doc"), F.xxhash64(text).alias("_hash"), _lines(F.col(text)).alias("_lines")
     )
-    windows = stored(rows.select("_doc", "_hash", F.inline(_windows(F.col("_lines"), min_words))), "line-windows")
+    spark = documents.sparkSession
+    with scratch(spark, "windows") as folder:
+        windows = stored(rows.select("_doc", "_hash", F.inline(_windows(F.col("_lines"), min_words))), "line-windows")
     # matches: the windows around selected lines that are at two places or more, told apart by all their lines
     place = F.struct("_doc", "_hash", "start", "end")
     around = windows.join(_shared(windows, "least", "at"), "least").drop("at")
     first = around.groupBy("least", "content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.where("first <> last").select("least", "content", "first")
     later = around.join(first, ["least", "content"]).where(place > F.col("first"))
-    return later.groupBy("_doc", "_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = stored(later.groupBy("_doc", "_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "line-spans")
+    del windows, around, first, later
+    drop(spark, folder)  # and what Spark holds for it, before the texts are joined
+    return spans
 
 
 def without_repeats(documents: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -122,7 +130,7 @@ def without_repeats(documents: DataFrame, text: str = "text", min_words: int = M
         "_hash": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
     }
     spans = repeated_spans(documents, text, min_words)
-    joined = documents.withColumns(keys).join(spans, ["_doc", "_hash"], "left")
+    met, others = met_and_others(documents.withColumns(keys), spans, ["_doc", "_hash"])
     lines = F.split(text, "\n")
     # the stretches between the spans, from the spans in order
     stretches = F.aggregate(
@@ -141,7 +149,7 @@ def without_repeats(documents: DataFrame, text: str = "text", min_words: int = M
     )
     n = F.size("_all")
     kept = F.flatten(F.transform("_keep", lambda s: F.slice("_all", s["a"] + 1, F.greatest(F.least(s["b"], n) - s["a"], F.lit(0)))))
-    out = joined.withColumns({"_all": lines, "_keep": F.when(F.col("spans").isNotNull(), stretches)})
+    out = met.join(spans, ["_doc", "_hash"], "left").withColumns({"_all": lines, "_keep": F.when(F.col("spans").isNotNull(), stretches)})
     out = out.withColumn("_left", F.when(F.col("_keep").isNotNull(), kept))
     changed = F.col("_left").isNotNull()
     new = {
@@ -152,7 +160,8 @@ def without_repeats(documents: DataFrame, text: str = "text", min_words: int = M
     out = out.withColumns(new)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*documents.columns, "n_lines", "n_removed")
+    as_before = others.withColumns({"n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)), "n_removed": F.lit(0)})
+    return out.select(*documents.columns, "n_lines", "n_removed").unionByName(as_before.select(*documents.columns, "n_lines", "n_removed"))
 
 
 def _pieces(text: Column) -> Column:
@@ -196,20 +205,24 @@ def without_passages(documents: DataFrame, text: str = "text") -> DataFrame:
     spark = documents.sparkSession
     hashes = F.transform("_pieces", lambda p: F.xxhash64(F.btrim(p, F.lit(BLANKS))))
     rows = documents.withColumns(keys).select("_doc", "_hash", _pieces(F.col(text)).alias("_pieces")).where(F.size("_pieces") >= PASSAGE)
-    rows = rows.select("_doc", "_hash", hashes.alias("_words"))
     with scratch(spark, "prints") as folder:
-        prints = stored(rows.select("_doc", "_hash", F.inline(_prints(F.col("_words")))), "word-prints")
+        prints = stored(rows.select("_doc", "_hash", hashes.alias("_words")).select("_doc", "_hash", F.inline(_prints(F.col("_words")))), "word-prints")
     shared = prints.join(_shared(prints, "print", "at"), "print").groupBy("_doc", "_hash").agg(F.collect_set("at").alias("_places"))
     shared = stored(shared, "print-places")
+    del prints
     drop(spark, folder)  # before the texts' words are shuffled
-    runs = rows.join(shared, ["_doc", "_hash"]).select("_doc", "_hash", F.inline(_runs(F.col("_words"), F.col("_places"))))
-    runs = stored(runs, "word-runs")
+    with scratch(spark, "runs") as folder:
+        met, _ = met_and_others(rows, shared, ["_doc", "_hash"])
+        runs = met.select("_doc", "_hash", hashes.alias("_words")).join(shared, ["_doc", "_hash"])
+        runs = stored(runs.select("_doc", "_hash", F.inline(_runs(F.col("_words"), F.col("_places")))), "word-runs")
+        place = F.struct("_doc", "_hash", "at")
+        first = runs.groupBy("run").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("run", "first")
+        first = stored(first, "first-runs")  # read again, so that the join may split the rows of a run that very many have
     release(spark)
-    place = F.struct("_doc", "_hash", "at")
-    first = runs.groupBy("run").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("run", "first")
     later = runs.join(first, "run").where(place > F.col("first"))
     starts = stored(later.groupBy("_doc", "_hash").agg(F.array_sort(F.collect_set("at")).alias("_starts")), "later-runs")
-    release(spark)
+    del runs, first, later
+    drop(spark, folder)
     # the stretches that stay, and behind each passage its line break
     none = F.array().cast("array<struct<a:int,b:int>>")
     stretches = F.aggregate(
@@ -228,7 +241,8 @@ def without_passages(documents: DataFrame, text: str = "text") -> DataFrame:
         broken = (s["a"] > 0) & F.get("_pieces", s["a"] - 1).contains("\n")
         return F.concat(F.when(broken, "\n").otherwise(""), F.array_join(F.slice("_pieces", s["a"] + 1, s["b"] - s["a"]), ""))
 
-    out = documents.withColumns(keys).join(starts, ["_doc", "_hash"], "left")
+    met, others = met_and_others(documents.withColumns(keys), starts, ["_doc", "_hash"])
+    out = met.join(starts, ["_doc", "_hash"], "left")
     out = out.withColumn("_pieces", F.when(F.col("_starts").isNotNull(), _pieces(F.col(text))))
     out = out.withColumn("_keep", F.when(F.col("_starts").isNotNull(), stretches))
     changed = F.col("_keep").isNotNull()
@@ -240,4 +254,5 @@ def without_passages(documents: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumns(new)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_words_removed") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*documents.columns, "n_words_removed")
+    as_before = others.withColumn("n_words_removed", F.lit(0)).select(*documents.columns, "n_words_removed")
+    return out.select(*documents.columns, "n_words_removed").unionByName(as_before)
