@@ -44,7 +44,7 @@ from pagesift.llm.common import arrow_rows, components, drop, new_dir, release,
 
 SPARE = 3  # for so many parts that are needed, one more: those with the fewest shingles can then be left out
 TILE = 2_048
-CHUNK = 2_000_000
+CHUNK = 250_000  # characters that are handled at once: some 50 bytes of arrays stand behind each
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.common import new_dir, tidy
+from pagesift.llm.common import arrow_rows, new_dir, tidy, trimmed
 from pagesift.llm.encoding import encoder_of
 
 CAPACITY = 1024
@@ -25,6 +25,7 @@ END_ID = 2
 SLACK = 8  # free places up to which a bin counts as full
 GROUP = 20_000  # bins that one group of a later round packs
 FLUSH = 100_000  # pieces that a task holds before it packs them
+TEXTS = 2_000  # texts that a worker holds at once
 
 MEMBER = pa.struct(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("offset", pa.int64())]
@@ -105,8 +106,8 @@ def _first_round(encoder: str, capacity: int, end_id: int, slack: int) -> Callab
 
         end = np.array([end_id], np.uint32)
         for whole in batches:
-            for k in range(0, whole.num_rows, 2_000):
-                batch = whole.slice(k, 2_000)
+            for k in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(k, TEXTS)
                 texts = [t or "" for t in batch.column("_text").to_pylist()]
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode(texts)):
                     raw = np.concatenate([ids, end]).astype("<u4").tobytes()
@@ -118,7 +119,7 @@ def _first_round(encoder: str, capacity: int, end_id: int, slack: int) -> Callab
         if rows:
             yield packed()
 
-    return run
+    return trimmed(run)
 
 
 def _later_round(capacity: int, limit: int, base: int, last: bool) -> Callable:
@@ -160,7 +161,8 @@ def packed_bins(documents: DataFrame, encoder: str, capacity: int = CAPACITY, en
         return spark.read.schema(BIN_SQL).parquet(path)
 
     source = documents.select(F.col("doc_id").cast("long"), F.col(text).alias("_text"))
-    bins = written(source.mapInArrow(_first_round(encoder, capacity, end_id, slack), BIN_SQL), "bins")
+    with arrow_rows(spark, TEXTS):
+        bins = written(source.mapInArrow(_first_round(encoder, capacity, end_id, slack), BIN_SQL), "bins")
     out, level, left = bins.where("done"), 0, bins.where("NOT done")
     waiting = left.count()
     while waiting:
