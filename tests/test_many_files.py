@@ -7,7 +7,7 @@ from test_files_and_runs import local
 
 from pagesift.session import new_dir, tune
 from pagesift.sinks import files, many_files
-from pagesift.sources import snapshots
+from pagesift.sources import csv_files, snapshots
 
 
 def contents(path):
@@ -66,3 +66,29 @@ def test_many_small_files_are_listed_and_read_by_few_tasks(spark, tmp_path):
     assert pages.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
     assert {r.html for r in pages.select("html").collect()} == {f"<p>{n}</p>" for n in range(1500)}
     assert int(tune(spark).conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 256
+
+
+ODD = ['a "b", c', None, " x ", "l1\nl2", "r\r\nn", "", "-", "é—﻿", ",", '"', "#x", "\t", "a\\b", "1'2"]
+
+
+@pytest.mark.parametrize("to_a_folder", [1, 3])
+def test_batches_as_spark_writes_them(spark, elsewhere, to_a_folder):
+    labels = ["a/b:c=%", "", None]
+    rows = [
+        (i, f"batch_{i // 4}" if i < 20 else labels[i % 3], i // 4, ODD[i % len(ODD)], ODD[(i * 5 + 1) % len(ODD)], i * 1.5 if i % 3 else None)
+        for i in range(40)
+    ]
+    batches = spark.createDataFrame(rows, "row_num LONG, batch_label STRING, batch_id LONG, npsn STRING, name STRING, x DOUBLE")
+    path = files.write_batches(batches, new_dir(spark, "batches"), to_a_folder)
+    assert not list(local(path).rglob(".part*"))
+    elsewhere()
+    there = files.write_batches(batches, new_dir(spark, "batches"), to_a_folder)
+    assert contents(path) == contents(there) and len(contents(path)) == (7 if to_a_folder == 1 else 4)
+
+
+def test_many_batch_files_are_read_by_few_tasks(spark):
+    rows = spark.range(1500).selectExpr("id + 1 AS row_num", "id AS batch_id", "CAST(id AS STRING) AS batch_label", "CAST(id AS STRING) AS npsn")
+    path = files.write_batches(rows, new_dir(spark, "batches"))
+    read = csv_files.read_published_csv(spark, path, ["npsn", "batch"])
+    assert read.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, read.collect())) == sorted((str(n), str(n)) for n in range(1500))
