@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from pagesift.operators import cards as cd
+from pagesift.plans import run as runs
 from pagesift.sources import html_nodes
 
 CARD = '<article class="p-card"><!-- card -->\n<div class="head"><span>NPSN : 1</span></div><br><h3>A <b>&amp; B</b></h3></article>\n'
@@ -50,3 +51,14 @@ def test_other_markup_goes_to_the_tokenizer(html):
 
 def test_the_whole_card_is_searched_once_for_its_divs():
     assert cd.card_record("card").count("filter(card, ") == 3  # divs, headings, strings
+
+
+def test_pages_that_were_not_loaded_are_not_parsed(spark):
+    rows = [(0, CARD, True), (1, CARD, False), (2, CARD, None), (3, "<p>", True), (4, None, True), (5, None, False)]
+    pages = spark.createDataFrame(rows, "page_num INT, html STRING, success BOOLEAN").selectExpr("*", "TIMESTAMP '2024-05-06' AS fetched_at")
+    found = {r.page_num: r for r in runs.page_results(pages).collect()}
+    assert {n: (r.ok, r.n_rows, r.error) for n, r in found.items()} == {
+        0: (True, 1, None), 1: (False, 0, "not loaded"), 2: (False, 0, "not loaded"),
+        3: (False, 0, "no rows"), 4: (False, 0, "no html"), 5: (False, 0, "not loaded"),
+    }
+    assert [n for n, r in found.items() if r.cards] == [0]
