@@ -92,3 +92,19 @@ def test_many_batch_files_are_read_by_few_tasks(spark):
     read = csv_files.read_published_csv(spark, path, ["npsn", "batch"])
     assert read.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
     assert sorted(map(tuple, read.collect())) == sorted((str(n), str(n)) for n in range(1500))
+
+
+def test_cells_longer_than_the_readers_buffer(spark):
+    cells = ["x" * 65_534 + '",\n"' + "y" * 200_000, ", ".join(["é\n"] * 70_000), "z"]
+    rows = spark.createDataFrame([(str(n), cell) for n, cell in enumerate(cells)], "npsn STRING, name STRING").coalesce(1)
+    path = files.write_csv(rows, new_dir(spark, "long"))
+    assert {int(r.npsn): r.name for r in csv_files.read_published_csv(spark, path, ["npsn", "name"]).collect()} == dict(enumerate(cells))
+
+
+@pytest.mark.parametrize("charset, text", [("ISO-8859-1", "é plain"), ("windows-1252", "\x80 € \x93"), ("latin1", "\x81\x9f")])
+def test_characters_of_windows_1252(spark, tmp_path, charset, text):
+    raw = text.replace("€", "\x80").encode("latin-1")
+    (tmp_path / "1.html").write_bytes(f'<meta charset="{charset}">'.encode() + raw)
+    kept = {0x81, 0x8D, 0x8F, 0x90, 0x9D}
+    wanted = "".join(chr(b) if b in kept else bytes([b]).decode("cp1252") for b in raw)
+    assert snapshots.read_html_files(spark, f"file:{tmp_path}").first().html.endswith(">" + wanted)
